@@ -7,6 +7,7 @@ from math import isfinite
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 # The symbols of the chemical elements, by atomic number.
 ELEMENTS = (
@@ -91,7 +92,7 @@ def is_block(block: str | None) -> bool:
     return all(x.startswith("M  ") for x in rest)
 
 
-@F.arrow_udf("boolean")
+@F.arrow_udf(BooleanType())
 def block_valid(block: pa.Array) -> pa.Array:
     """is_block over Arrow batches: lambdas over the lines inside the JVM took many times as long."""
     return pa.array([is_block(b.as_py()) for b in block], pa.bool_())
