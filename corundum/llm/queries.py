@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corundum.functions.ids import bare, compound_of, label, readable_compound, smiles_compound
 from corundum.llm import digests as D
-from corundum.llm import mixing, splits, survivors, tokens
+from corundum.llm import mixing, splits, survivors, tokens, toxicity
 from corundum.session import materialise, read_table
 
 SUPPLIED = ("Energy_Ha", "HOMO_Ha", "LUMO_Ha", "PartialCharges")
@@ -131,4 +131,23 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.reached(mixed, rated)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_splits, p1_shares, p3_percentiles, p3_digests, p3_merged_months, p3_bounds, p5_found, p5_survivors, p6_ids, p7_mixture, p7_shares)}
+# 8. Abusive, hateful or sexual content
+
+
+def p8_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document, and whether it is flagged for review."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", label(F.col("source")).alias("source"), "text")
+    return toxicity.with_scores(docs, read_table(spark, sf_dir, "review_labels")).drop("text")
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_scores(spark, sf_dir).filter("flagged").select("doc_id")
+
+
+def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate of flagged documents by source; null where a document names none."""
+    flagged = F.count_if("flagged")
+    return p8_scores(spark, sf_dir).groupBy("source").agg(F.count(F.lit(1)).alias("documents"), flagged.alias("flagged"), (flagged / F.count(F.lit(1))).alias("rate"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_splits, p1_shares, p3_percentiles, p3_digests, p3_merged_months, p3_bounds, p5_found, p5_survivors, p6_ids, p7_mixture, p7_shares, p8_scores, p8_found, p8_rates)}
