@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
+from inspect import signature
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -32,7 +34,7 @@ def by_row(function: Callable, returns: DataType) -> Callable:
         raise ValueError("a type is needed")
     # Arrow functions take a fixed number of columns.
     one, two, three = (lambda a: run(a)), (lambda a, b: run(a, b)), (lambda a, b, c: run(a, b, c))
-    return {1: F.arrow_udf(_typed(one, 1), returns), 2: F.arrow_udf(_typed(two, 2), returns), 3: F.arrow_udf(_typed(three, 3), returns)}[function.__code__.co_argcount]
+    return {1: F.arrow_udf(_typed(one, 1), returns), 2: F.arrow_udf(_typed(two, 2), returns), 3: F.arrow_udf(_typed(three, 3), returns)}[len(signature(function).parameters)]
 
 
 def _typed(function: Callable, n: int) -> Callable:
@@ -54,7 +56,9 @@ def _facts(smiles: str | None) -> dict | None:
     return None if found is None else dict(zip(FACTS.names, found, strict=True))
 
 
+@lru_cache(maxsize=4096)
 def _block_facts(block: str | None) -> dict | None:
+    # The cache serves the stages of one pipeline, which ask for the same block one after another.
     mol = chem.parse_block(block)
     if mol is None:
         return None

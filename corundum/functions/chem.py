@@ -332,6 +332,17 @@ def ranks(mol: Molecule, stereo: bool = True) -> list[int]:
     if stereo and any(a.chirality for a in mol.atoms):
         signs = [_handedness(a, [(-1 if j == -1 else rank[j]) for j in a.around]) for a in mol.atoms]
         rank = refine(_dense([(rank[i], signs[i]) for i in range(n)]))
+    # Leaves of one kind at one neighbour may take any order; told apart at once they cost no refinement.
+    alike: dict[tuple[int, int], list[int]] = {}
+    for i, r in enumerate(rank):
+        if len(near[i]) == 1:
+            alike.setdefault((r, near[i][0]), []).append(i)
+    class_size: dict[int, int] = {}
+    for r in rank:
+        class_size[r] = class_size.get(r, 0) + 1
+    place = {i: k for (r, _), group in alike.items() if len(group) == class_size[r] for k, i in enumerate(group)}
+    if place:
+        rank = refine(_dense([(r, place.get(i, 0)) for i, r in enumerate(rank)]))
     while max(rank, default=-1) + 1 < n:
         seen: dict[int, int] = {}
         for i, r in enumerate(rank):

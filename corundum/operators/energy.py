@@ -5,10 +5,12 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
-from corundum.functions.v2000 import atom_symbols
+from corundum.functions.arrow import by_row
 from corundum.operators.medians import exact_median
 from corundum.schema import FIT_ELEMENTS
+from corundum.session import materialise
 
 THRESHOLD = 3.5
 CONSISTENCY = 0.6745
@@ -16,7 +18,11 @@ CONSISTENCY = 0.6745
 
 def element_counts(symbols: Column, elements: tuple[str, ...] = FIT_ELEMENTS) -> dict[str, Column]:
     """n_<element> by element; other elements are not counted, a null list counts nothing."""
-    return {f"n_{e}": F.when(symbols.isNotNull(), F.size(F.filter(symbols, lambda s, e=e: s == e))).otherwise(0) for e in elements}
+
+    def count(element: str) -> Column:
+        return F.when(symbols.isNotNull(), F.size(F.filter(symbols, lambda s: s == element))).otherwise(0)
+
+    return {f"n_{e}": count(e) for e in elements}
 
 
 def _finite(c: Column) -> Column:
@@ -53,25 +59,43 @@ def flag_outliers(df: DataFrame, counts: list[str], energy: str, threshold: floa
     """(df with residual, z_residual and energy_status, coefficients).
 
     energy_status: `flagged` if |z| > threshold, `energy_nonfinite` for null, NaN and infinite energies, which take no
-    part in the fit, else `ok`. With a median deviation of 0 nothing is flagged and z is null.
+    part in the fit, else `ok`. With a median deviation of 0 nothing is flagged and z is null. The fit and the medians
+    read a narrow copy of counts and energies, written once.
     """
-    beta = fit_composition(df, counts, energy)
+    narrow = materialise(df.select(*counts, energy))
+    beta = fit_composition(narrow, counts, energy)
     fitted = sum((F.col(c) * b for c, b in beta.items()), F.lit(0.0))
-    out = df.withColumn("residual", F.when(_finite(F.col(energy)), F.col(energy) - fitted))
-    middle = exact_median(out, F.col("residual"))
-    spread = None if middle is None else exact_median(out, F.abs(F.col("residual") - middle))
+    residual = F.when(_finite(F.col(energy)), F.col(energy) - fitted)
+    middle = exact_median(narrow, residual)
+    spread = None if middle is None else exact_median(narrow, F.abs(residual - middle))
     z = F.lit(None).cast("double") if not spread else CONSISTENCY * (F.col("residual") - middle) / spread
     status = F.when(F.col("residual").isNull(), "energy_nonfinite").when(F.abs("z_residual") > threshold, "flagged").otherwise("ok")
-    return out.withColumn("z_residual", z).withColumn("energy_status", status), beta
+    return df.withColumn("residual", residual).withColumn("z_residual", z).withColumn("energy_status", status), beta
+
+
+def block_counts(block: Column, elements: tuple[str, ...]) -> Column:
+    """array<int>: atoms of each element in the atom lines; null for a block without any. An Arrow function, so that the
+    ten counts come from one reading of the block however often they are used."""
+
+    def count(text: str | None) -> list[int] | None:
+        lines = (text or "").split("\n")
+        if len(lines) < 5 or not lines[3][:3].strip().isdigit():
+            return None
+        symbols = [x[31:34].strip() for x in lines[4 : 4 + int(lines[3][:3])]]
+        return [symbols.count(e) for e in elements] if symbols else None
+
+    return by_row(count, ArrayType(IntegerType()))(block)
 
 
 def energy_prefilter(batch: DataFrame, threshold: float = THRESHOLD, elements: tuple[str, ...] = FIT_ELEMENTS) -> DataFrame:
     """The stage over batch records: composition from the atom lines; records without a readable one are `mol_corrupt`."""
-    symbols = atom_symbols(F.col("mol_block"))
-    counted = batch.withColumns({**element_counts(symbols, elements), "_atoms": F.coalesce(F.size(symbols), F.lit(0))})
-    good, _ = flag_outliers(counted.filter("_atoms > 0"), [f"n_{e}" for e in elements], "Energy_Ha", threshold)
-    bad = counted.filter("_atoms <= 0").withColumn("energy_status", F.lit("mol_corrupt"))
-    return good.unionByName(bad, allowMissingColumns=True).drop("_atoms", *[f"n_{e}" for e in elements])
+    names = [f"n_{e}" for e in elements]
+    counted = batch.withColumn("_counts", block_counts(F.col("mol_block"), elements)).withColumns({n: F.get("_counts", F.lit(i)) for i, n in enumerate(names)})
+    # A corrupt record has null counts and so neither takes part in the fit nor gets a residual.
+    energy = F.when(F.col("_counts").isNotNull(), F.col("Energy_Ha"))
+    done, _ = flag_outliers(counted.withColumn("_energy", energy), names, "_energy", threshold)
+    status = F.when(F.col("_counts").isNull(), "mol_corrupt").otherwise(F.col("energy_status"))
+    return done.withColumn("energy_status", status).drop("_counts", "_energy", *names)
 
 
 def feature_presence(df: DataFrame, counts: list[str]) -> DataFrame:

@@ -60,8 +60,8 @@ def range_buckets(df: DataFrame, column: str, ranges: Sequence[tuple[int, int]]
 
 def threshold_share(df: DataFrame, tests: dict[str, tuple[str, Column]]) -> DataFrame:
     """name, rows, n, share: of each test (column, condition), over that column's usable values."""
-    sums = df.agg(*[a for k, (c, cond) in tests.items() for a in (F.count_if(usable(F.col(c)).isNotNull() & cond).alias(f"{k}|rows"), F.count(usable(F.col(c))).alias(f"{k}|n"))])
-    each = F.array(*[F.struct(F.lit(k).alias("name"), F.col(f"{k}|rows").alias("rows"), F.col(f"{k}|n").alias("n")) for k in tests])
+    sums = df.agg(*[a for i, (c, cond) in enumerate(tests.values()) for a in (F.count_if(usable(F.col(c)).isNotNull() & cond).alias(f"rows{i}"), F.count(usable(F.col(c))).alias(f"n{i}"))])
+    each = F.array(*[F.struct(F.lit(k).alias("name"), F.col(f"rows{i}").alias("rows"), F.col(f"n{i}").alias("n")) for i, k in enumerate(tests)])
     return sums.select(F.explode(each).alias("x")).select("x.*").withColumn("share", F.try_divide("rows", "n"))
 
 
