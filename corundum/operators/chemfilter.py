@@ -21,8 +21,8 @@ def state_reason(net: Column, charged: Column, unpaired: Column, preset: str = "
 
 def filter_smiles(df: DataFrame, smiles: str, preset: str = "neutral_closed_shell") -> DataFrame:
     """df with filter_status (ok, rejected) and filter_reason; a null or unreadable SMILES is `smiles_unparseable`."""
-    facts = df.withColumn("_f", smiles_facts(F.col(smiles)))
-    reason = F.when(F.col("_f").isNull(), "smiles_unparseable").otherwise(state_reason(F.col("_f.net_charge"), F.col("_f.charged_atoms"), F.col("_f.radicals"), preset))
+    facts = df.withColumn("__f", smiles_facts(F.col(smiles)))
+    reason = F.when(F.col("__f").isNull(), "smiles_unparseable").otherwise(state_reason(F.col("__f.net_charge"), F.col("__f.charged_atoms"), F.col("__f.radicals"), preset))
     return _tagged(facts, reason)
 
 
@@ -34,15 +34,15 @@ def filter_blocks(df: DataFrame, preset: str = "neutral_closed_shell", elements:
     """
     from corundum.functions.v2000 import atom_symbols
 
-    facts = df.withColumn("_f", block_facts(F.col("mol_block")))
+    facts = df.withColumn("__f", block_facts(F.col("mol_block")))
     symbols = atom_symbols(F.col("mol_block"))
-    reason = state_reason(F.col("_f.net_charge"), F.col("_f.charged_atoms"), F.col("_f.radicals"), preset)
+    reason = state_reason(F.col("__f.net_charge"), F.col("__f.charged_atoms"), F.col("__f.radicals"), preset)
     if elements is not None:
         reason = F.coalesce(reason, F.when(~F.forall(symbols, lambda s: s.isin(*elements)), "element"))
     if heavy is not None:
         n = F.size(F.filter(symbols, lambda s: s != "H"))
         reason = F.coalesce(reason, F.when(~n.between(*heavy), F.concat(F.lit("heavy_atoms="), n.cast("string"))))
-    return _tagged(facts, F.when(F.col("_f").isNull(), "could not parse mol_block").otherwise(reason), F.col("_f").isNull())
+    return _tagged(facts, F.when(F.col("__f").isNull(), "could not parse mol_block").otherwise(reason), F.col("__f").isNull())
 
 
 def _tagged(facts: DataFrame, reason: Column, corrupt: Column | None = None) -> DataFrame:
@@ -50,7 +50,7 @@ def _tagged(facts: DataFrame, reason: Column, corrupt: Column | None = None) ->
     status = F.when(F.col("filter_reason").isNull(), "ok").otherwise("rejected")
     if corrupt is not None:
         status = F.when(corrupt, "mol_corrupt").otherwise(status)
-    return out.withColumn("filter_status", status).drop("_f")
+    return out.withColumn("filter_status", status).drop("__f")
 
 
 def reason_counts(df: DataFrame, reason: str = "filter_reason") -> DataFrame:

@@ -19,11 +19,11 @@ def first_occurrence(df: DataFrame, key: str, order: str, eligible: Column | Non
     `order` must be unique. Rows with a null key, and rows that are not eligible, get neither and never come first.
     """
     may = F.col(key).isNotNull() if eligible is None else F.col(key).isNotNull() & F.coalesce(eligible, F.lit(False))
-    marked = df.withColumn("_may", may)
-    firsts = marked.filter("_may").groupBy(key).agg(F.min(order).alias("_first"))
+    marked = df.withColumn("__may", may)
+    firsts = marked.filter("__may").groupBy(key).agg(F.min(order).alias("__first"))
     out = salted_join(marked, firsts, [key], "left")
-    status = F.when(F.col("_may"), F.when(F.col(order) == F.col("_first"), "ok").otherwise("conformer_duplicate"))
-    return out.withColumns({"dedup_status": status, "ICONF": F.when(F.col("_may") & (F.col(order) == F.col("_first")), F.lit(1))}).drop("_may", "_first").select(*[c for c in df.columns if c not in ("dedup_status", "ICONF")], "dedup_status", "ICONF")
+    status = F.when(F.col("__may"), F.when(F.col(order) == F.col("__first"), "ok").otherwise("conformer_duplicate"))
+    return out.withColumns({"dedup_status": status, "ICONF": F.when(F.col("__may") & (F.col(order) == F.col("__first")), F.lit(1))}).drop("__may", "__first").select(*[c for c in df.columns if c not in ("dedup_status", "ICONF")], "dedup_status", "ICONF")
 
 
 def canonicalize(batch: DataFrame) -> DataFrame:
@@ -31,21 +31,21 @@ def canonicalize(batch: DataFrame) -> DataFrame:
 
     `mol_corrupt` for unreadable blocks; others are open (null) until first_occurrence.
     """
-    out = batch.withColumn("_f", block_facts(F.col("mol_block")))
-    bad = F.col("_f").isNull()
+    out = batch.withColumn("__f", block_facts(F.col("mol_block")))
+    bad = F.col("__f").isNull()
     return out.withColumns(
         {
-            "CanonicalSMILES": F.col("_f.canonical"), "CompoundID": F.md5(F.col("_f.canonical").cast("binary")),
+            "CanonicalSMILES": F.col("__f.canonical"), "CompoundID": F.md5(F.col("__f.canonical").cast("binary")),
             "dedup_status": F.when(bad, "mol_corrupt"), "dedup_reason": F.when(bad, "could not parse mol_block"),
         }
-    ).drop("_f")
+    ).drop("__f")
 
 
 def deduplicate(batch: DataFrame, eligible: Column | None = None) -> DataFrame:
     """canonicalize, then first occurrences over row_seq; corrupt rows keep their status."""
-    named = canonicalize(batch).withColumnRenamed("dedup_status", "_status")
+    named = canonicalize(batch).withColumnRenamed("dedup_status", "__status")
     done = first_occurrence(named, "CompoundID", "row_seq", eligible)
-    return done.withColumn("dedup_status", F.coalesce("_status", "dedup_status")).drop("_status")
+    return done.withColumn("dedup_status", F.coalesce("__status", "dedup_status")).drop("__status")
 
 
 def keep_first(df: DataFrame, key: str, order: str) -> DataFrame:
@@ -59,11 +59,11 @@ def mirror_removal(df: DataFrame, form: Column, mirrored: Column, order: str) ->
     A null form or mirrored form means no stereo: kept. Exact repeats of the first stay; a form that is its own mirror
     image counts as mirroring its first row.
     """
-    out = df.withColumns({"_s": form, "_m": mirrored})
-    out = out.withColumn("_class", F.when(F.col("_s").isNotNull() & F.col("_m").isNotNull(), F.to_json(F.array(F.least("_s", "_m"), F.greatest("_s", "_m")))))
-    firsts = out.filter("_class is not null").groupBy("_class").agg(F.min(order).alias("_first"), F.min_by("_s", order).alias("_first_form"))
-    met = salted_join(out, firsts, ["_class"], "left")
-    gone = (F.col(order) != F.col("_first")) & (F.col("_m") == F.col("_first_form"))
+    out = df.withColumns({"__s": form, "__m": mirrored})
+    out = out.withColumn("__class", F.when(F.col("__s").isNotNull() & F.col("__m").isNotNull(), F.to_json(F.array(F.least("__s", "__m"), F.greatest("__s", "__m")))))
+    firsts = out.filter("__class is not null").groupBy("__class").agg(F.min(order).alias("__first"), F.min_by("__s", order).alias("__first_form"))
+    met = salted_join(out, firsts, ["__class"], "left")
+    gone = (F.col(order) != F.col("__first")) & (F.col("__m") == F.col("__first_form"))
     return met.withColumn("stereo_status", F.when(gone, "removed_enantiomer").otherwise("kept")).select(*[c for c in df.columns if c != "stereo_status"], "stereo_status")
 
 
@@ -72,5 +72,5 @@ def collisions(df: DataFrame, key: str, form: str) -> DataFrame:
 
     A collision is one key over different forms; rows of one form are duplicates and no collision.
     """
-    forms = df.filter(F.col(key).isNotNull()).groupBy(key, form).agg(F.count(F.lit(1)).alias("_n"))
-    return forms.groupBy(key).agg(F.sum("_n").alias("rows"), F.count(form).alias("forms"))
+    forms = df.filter(F.col(key).isNotNull()).groupBy(key, form).agg(F.count(F.lit(1)).alias("__n"))
+    return forms.groupBy(key).agg(F.sum("__n").alias("rows"), F.count(form).alias("forms"))

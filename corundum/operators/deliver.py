@@ -27,16 +27,16 @@ def frames(batch: DataFrame, family: str = "QM40") -> DataFrame:
     Rows whose block has no atom line are left out. Missing values are shown empty, except the charge (0), multiplicity
     and iconf (1). tpsa and nrot come from the CanonicalSMILES; logp stays empty, as this kernel has no such table.
     """
-    read = batch.withColumn("_a", atoms(F.col("mol_block"))).filter(F.size("_a") > 0)
-    read = with_composition(read, F.transform("_a", lambda a: a["symbol"])).withColumn("_f", F.when(F.col("CanonicalSMILES") != "", smiles_facts(F.col("CanonicalSMILES"))))
+    read = batch.withColumn("__a", atoms(F.col("mol_block"))).filter(F.size("__a") > 0)
+    read = with_composition(read, F.transform("__a", lambda a: a["symbol"])).withColumn("__f", F.when(F.col("CanonicalSMILES") != "", smiles_facts(F.col("CanonicalSMILES"))))
     two = fixed_text(2)
     pairs = {
         "SourceID": _shown(F.col("SourceID")), "CompoundID": _shown(F.col("CompoundID")), "Formula": F.col("Formula"), "Nat": F.col("Nat"), "CNSO": F.col("CNSO"),
         "chrg": _shown(F.col("FormalCharge"), "0"), "mult": _shown(F.col("Multiplicity"), "1"), "E": _shown(number_text(F.col("Energy_Ha"))), "fmax": F.lit(""), "Family": F.lit(family),
-        "smiles": _shown(F.col("CanonicalSMILES")), "tpsa": _shown(two(F.col("_f.TPSA"))), "logp": F.lit(""), "nrot": _shown(F.col("_f.nrot")), "nfrag": F.lit("1"), "iconf": _shown(F.col("ICONF"), "1"),
+        "smiles": _shown(F.col("CanonicalSMILES")), "tpsa": _shown(two(F.col("__f.TPSA"))), "logp": F.lit(""), "nrot": _shown(F.col("__f.nrot")), "nfrag": F.lit("1"), "iconf": _shown(F.col("ICONF"), "1"),
     }
     comment = F.concat_ws(",", *[x for k, v in pairs.items() for x in (F.lit(k), v.cast("string"))])
-    lines = frame_lines(F.transform("_a", lambda a: a["symbol"]), F.flatten(F.transform("_a", lambda a: F.array(a["x"], a["y"], a["z"]))))
+    lines = frame_lines(F.transform("__a", lambda a: a["symbol"]), F.flatten(F.transform("__a", lambda a: F.array(a["x"], a["y"], a["z"]))))
     return read.select("row_seq", F.concat(F.col("Nat").cast("string"), F.lit("\n"), comment, F.lit("\n"), lines).alias("frame"))
 
 

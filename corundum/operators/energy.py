@@ -90,12 +90,12 @@ def block_counts(block: Column, elements: tuple[str, ...]) -> Column:
 def energy_prefilter(batch: DataFrame, threshold: float = THRESHOLD, elements: tuple[str, ...] = FIT_ELEMENTS) -> DataFrame:
     """The stage over batch records: composition from the atom lines; records without a readable one are `mol_corrupt`."""
     names = [f"n_{e}" for e in elements]
-    counted = batch.withColumn("_counts", block_counts(F.col("mol_block"), elements)).withColumns({n: F.get("_counts", F.lit(i)) for i, n in enumerate(names)})
+    counted = batch.withColumn("__counts", block_counts(F.col("mol_block"), elements)).withColumns({n: F.get("__counts", F.lit(i)) for i, n in enumerate(names)})
     # A corrupt record has null counts and so neither takes part in the fit nor gets a residual.
-    energy = F.when(F.col("_counts").isNotNull(), F.col("Energy_Ha"))
-    done, _ = flag_outliers(counted.withColumn("_energy", energy), names, "_energy", threshold)
-    status = F.when(F.col("_counts").isNull(), "mol_corrupt").otherwise(F.col("energy_status"))
-    return done.withColumn("energy_status", status).drop("_counts", "_energy", *names)
+    energy = F.when(F.col("__counts").isNotNull(), F.col("Energy_Ha"))
+    done, _ = flag_outliers(counted.withColumn("__energy", energy), names, "__energy", threshold)
+    status = F.when(F.col("__counts").isNull(), "mol_corrupt").otherwise(F.col("energy_status"))
+    return done.withColumn("energy_status", status).drop("__counts", "__energy", *names)
 
 
 def feature_presence(df: DataFrame, counts: list[str]) -> DataFrame:

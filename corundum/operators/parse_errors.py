@@ -98,7 +98,8 @@ def least_edits(line: str, wanted: int, delimiter: str = ",", quote: str = '"')
             else:
                 if n + 1 < wanted:
                     _offer(after, (START, n + 1), q, d, e)
-                _offer(after, (START if state == CLOSED else state, n), q, d + 1, e, ("delete delimiter", at))
+                # Two fields become one, each part bare or enclosed as it was.
+                _offer(after, (START, n), q, d + 1, e, ("delete delimiter", at))
         cells = after
     best = min(((q, d + wanted - 1 - n, wanted - 1 - n, e) for (state, n), (q, d, e) in cells.items() if state != QUOTED), key=lambda x: x[:3])
     edits: list[str] = []
@@ -164,13 +165,13 @@ def judge_raw(raw: DataFrame) -> DataFrame:
     mol_block are judged each by themselves. Empty table: no rows.
     """
     parsed = parse_delimited(raw, "raw_line", ["raw_id", "file_name", "received_at"], RAW_FIELDS)
-    typed = parsed.withColumns({"_block": block_valid("mol_block"), "_energy": finite_number(F.col("Energy_Ha")), "_charge": whole_number(F.col("FormalCharge"))})
-    tests = {"energy": F.col("_energy").isNull(), "formal_charge": F.col("_charge").isNull(), "mol_block": ~F.col("_block")}
+    typed = parsed.withColumns({"__block": block_valid("mol_block"), "__energy": finite_number(F.col("Energy_Ha")), "__charge": whole_number(F.col("FormalCharge"))})
+    tests = {"energy": F.col("__energy").isNull(), "formal_charge": F.col("__charge").isNull(), "mol_block": ~F.col("__block")}
     judged = _with_reasons(typed, tests, line_reason=True)
     return judged.select(
-        "raw_id", "file_name", "received_at", "SourceID", "SMILES", F.col("_energy").alias("Energy_Ha"), F.col("_charge").alias("FormalCharge"),
+        "raw_id", "file_name", "received_at", "SourceID", "SMILES", F.col("__energy").alias("Energy_Ha"), F.col("__charge").alias("FormalCharge"),
         whole_number(F.col("Multiplicity")).alias("Multiplicity"), *[finite_number(F.col(c)).alias(c) for c in ("HOMO_Ha", "LUMO_Ha", "HL_Gap_Ha")],
-        "PartialCharges", F.when(F.col("_block"), F.col("mol_block")).alias("mol_block"), "reasons", "line_edits",
+        "PartialCharges", F.when(F.col("__block"), F.col("mol_block")).alias("mol_block"), "reasons", "line_edits",
     )
 
 
@@ -178,8 +179,8 @@ def judge_batch(batch: DataFrame) -> DataFrame:
     """Every batch record with `reasons`; null, NaN and infinite energies, null charges and unusable blocks are the cases."""
     e = F.col("Energy_Ha")
     bad = e.isNull() | F.isnan(e) | e.isin(float("inf"), float("-inf"))
-    tests = {"energy": F.coalesce(bad, F.lit(True)), "formal_charge": F.col("FormalCharge").isNull(), "mol_block": ~F.col("_block")}
-    return _with_reasons(batch.withColumn("_block", block_valid("mol_block")), tests).drop("_block")
+    tests = {"energy": F.coalesce(bad, F.lit(True)), "formal_charge": F.col("FormalCharge").isNull(), "mol_block": ~F.col("__block")}
+    return _with_reasons(batch.withColumn("__block", block_valid("mol_block")), tests).drop("__block")
 
 
 def loaded(judged: DataFrame) -> DataFrame:

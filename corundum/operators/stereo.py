@@ -11,8 +11,8 @@ from corundum.operators.dedup import mirror_removal
 
 def stereo_filter(df: DataFrame, smiles: str = "CanonicalSMILES", order: str = "row_seq") -> DataFrame:
     """df with stereo_status: kept, removed_enantiomer, skipped_no_smiles (null or empty) or smiles_unparseable."""
-    facts = df.withColumn("_f", F.when(F.col(smiles) != "", smiles_facts(F.col(smiles))))
-    has = F.col("_f.has_stereo")
-    done = mirror_removal(facts, F.when(has, F.col("_f.canonical")), F.when(has, F.col("_f.mirrored")), order)
-    status = F.when(F.coalesce(F.col(smiles), F.lit("")) == "", "skipped_no_smiles").when(F.col("_f").isNull(), "smiles_unparseable").otherwise(F.col("stereo_status"))
-    return done.withColumn("stereo_status", status).drop("_f")
+    facts = df.withColumn("__f", F.when(F.col(smiles) != "", smiles_facts(F.col(smiles))))
+    has = F.col("__f.has_stereo")
+    done = mirror_removal(facts, F.when(has, F.col("__f.canonical")), F.when(has, F.col("__f.mirrored")), order)
+    status = F.when(F.coalesce(F.col(smiles), F.lit("")) == "", "skipped_no_smiles").when(F.col("__f").isNull(), "smiles_unparseable").otherwise(F.col("stereo_status"))
+    return done.withColumn("stereo_status", status).drop("__f")

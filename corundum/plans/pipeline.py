@@ -51,8 +51,8 @@ def run_stage(name: str, df: DataFrame, options: Options) -> DataFrame:
     if name == "stereo":
         return stereo.stereo_filter(df)
     if name == "reorder":
-        done = df.withColumn("_block", reorder_block(F.col("mol_block")))
-        return done.withColumns({"reorder_status": F.when(F.col("_block").isNull(), "failed").otherwise("ok"), "mol_block": F.coalesce("_block", "mol_block")}).drop("_block")
+        done = df.withColumn("__block", reorder_block(F.col("mol_block")))
+        return done.withColumns({"reorder_status": F.when(F.col("__block").isNull(), "failed").otherwise("ok"), "mol_block": F.coalesce("__block", "mol_block")}).drop("__block")
     raise ValueError(f"no stage {name}")
 
 

@@ -70,9 +70,9 @@ def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "le
 
 def hot_keys(df: DataFrame, on: list[str], parts: int = 200) -> DataFrame:
     """Keys that hold more than 1/parts of the rows: by construction fewer than `parts` rows."""
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.select(F.count(F.lit(1)).alias("_total"))
-    return counts.join(F.broadcast(total), F.col("_n") * parts > F.col("_total"), "inner").select(*on)
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+    total = df.select(F.count(F.lit(1)).alias("__total"))
+    return counts.join(F.broadcast(total), F.col("__n") * parts > F.col("__total"), "inner").select(*on)
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left", salts: int = 32, by: Column | None = None) -> DataFrame:
@@ -81,12 +81,12 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "lef
     Hot keys (fewer than 200 by construction, so broadcast safely) get a random-free salt from a hash of the
     row, and only their rows of `small` are repeated once for each salt. Null keys match nothing, as in any join.
     """
-    hot = F.broadcast(hot_keys(big, on).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot_keys(big, on).withColumn("__hot", F.lit(True)))
     row = by if by is not None else F.xxhash64(*[F.col(c) for c in big.columns])
-    left = big.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(row, F.lit(salts)).cast("int")).otherwise(0)).drop("_hot")
+    left = big.join(hot, on, "left").withColumn("__salt", F.when(F.col("__hot"), F.pmod(row, F.lit(salts)).cast("int")).otherwise(0)).drop("__hot")
     right = (
         small.join(hot, on, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
+        .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+        .drop("__hot")
     )
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    return left.join(right, [*on, "__salt"], how).drop("__salt")

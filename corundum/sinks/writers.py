@@ -14,10 +14,15 @@ def write_batches(df: DataFrame, directory: str, rows_per_file: int = 5000, orde
     df.repartitionByRange(order).sortWithinPartitions(order).write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).parquet(directory)
 
 
+def _write_text(df: DataFrame, directory: str) -> None:
+    """Texts that end their own lines."""
+    df.select(F.regexp_replace("value", r"\n\z", "")).write.mode("overwrite").text(directory)
+
+
 def write_sdf(df: DataFrame, directory: str, tags: tuple[str, ...] = tuple({**REQUIRED, **RECOMMENDED, **OPTIONAL})) -> None:
     """Structure records of every row with a block, with the tags that are not null."""
     text = df.filter("mol_block is not null").select(sdf_record(F.col("mol_block"), {t: F.col(t) for t in tags if t in df.columns}).alias("value"))
-    text.write.mode("overwrite").option("lineSep", "").text(directory)
+    _write_text(text, directory)
 
 
 def reject_records(df: DataFrame, reason: str) -> DataFrame:
@@ -29,12 +34,12 @@ def reject_records(df: DataFrame, reason: str) -> DataFrame:
 
 
 def write_rejects(df: DataFrame, directory: str, reason: str) -> None:
-    reject_records(df, reason).write.mode("overwrite").option("lineSep", "").text(directory)
+    _write_text(reject_records(df, reason), directory)
 
 
 def write_frames(batch: DataFrame, directory: str, family: str = "QM40") -> None:
     """One text file of frames for each partition."""
-    frames(batch, family).select(F.col("frame").alias("value")).write.mode("overwrite").option("lineSep", "").text(directory)
+    _write_text(frames(batch, family).select(F.col("frame").alias("value")), directory)
 
 
 def write_csv(df: DataFrame, directory: str) -> None:
