@@ -43,17 +43,17 @@ def copies(rate: Column, doc_id: Column, seed: int) -> Column:
 def mixture(sizes: DataFrame, rated: DataFrame, seed: int = 29) -> DataFrame:
     """One row for each copy: the columns of sizes and copy_no from 1. Sources that are no target are left out."""
     met = join_checked(sizes, rated.select("source", "rate"), ["source"], "inner")
-    used = met.withColumn("_copies", copies(F.col("rate"), F.col("doc_id"), seed)).filter("_copies > 0")
-    return used.select(*sizes.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy_no"))
+    used = met.withColumn("__copies", copies(F.col("rate"), F.col("doc_id"), seed)).filter("__copies > 0")
+    return used.select(*sizes.columns, F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("copy_no"))
 
 
 def reached(mixed: DataFrame, rated: DataFrame) -> DataFrame:
     """Shares by target source: reached_share of all tokens there were, mix_share of the tokens emitted, and `met` (within 2 percent of the target)."""
     got = mixed.groupBy("source").agg(F.sum("n_tokens").alias("emitted_tokens"), F.count(F.lit(1)).alias("emitted_documents"))
-    total = got.agg(F.sum("emitted_tokens").alias("_emitted"))
+    total = got.agg(F.sum("emitted_tokens").alias("__emitted"))
     out = rated.join(got, "source", "left").crossJoin(F.broadcast(total)).fillna(0, ["emitted_tokens", "emitted_documents"])
     share = F.coalesce(F.try_divide("emitted_tokens", "total_tokens"), F.lit(0.0))
     return out.select(
         "source", "target_share", "max_repeats", "documents", "source_tokens", "rate", "emitted_documents", "emitted_tokens", share.alias("reached_share"),
-        F.coalesce(F.try_divide("emitted_tokens", "_emitted"), F.lit(0.0)).alias("mix_share"), (share >= F.col("target_share") * 0.98).alias("met"),
+        F.coalesce(F.try_divide("emitted_tokens", "__emitted"), F.lit(0.0)).alias("mix_share"), (share >= F.col("target_share") * 0.98).alias("met"),
     )

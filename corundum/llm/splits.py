@@ -25,7 +25,7 @@ HASH_BUCKETS = 1 << 32
 def entity_nodes(df: DataFrame, entities: dict[str, Column]) -> DataFrame:
     """df with `_nodes`: the record's entities as text nodes `name:value`, nulls left out."""
     nodes = F.array(*[F.concat(F.lit(f"{name}:"), value.cast("string")) for name, value in entities.items()])
-    return df.withColumn("_nodes", F.filter(nodes, lambda x: x.isNotNull()))
+    return df.withColumn("__nodes", F.filter(nodes, lambda x: x.isNotNull()))
 
 
 def _pairs(df: DataFrame) -> DataFrame:
@@ -74,13 +74,13 @@ def with_components(df: DataFrame, entities: dict[str, Column], row_id: str) ->
     their component; df may have columns of any other name.
     """
     nodes = entity_nodes(df, entities)
-    first = F.get("_nodes", F.lit(0))
-    star = nodes.select("_nodes").filter(F.size("_nodes") > 1).distinct()
-    edges = star.select(first.alias("b"), F.explode(F.slice("_nodes", 2, 1 << 20)).alias("a"))
-    components = connected_components(edges).select(F.col("node").alias("_first"), F.col("component").alias("_component"))
-    named = join_checked(nodes.withColumn("_first", first), components, ["_first"])
+    first = F.get("__nodes", F.lit(0))
+    star = nodes.select("__nodes").filter(F.size("__nodes") > 1).distinct()
+    edges = star.select(first.alias("b"), F.explode(F.slice("__nodes", 2, 1 << 20)).alias("a"))
+    components = connected_components(edges).select(F.col("node").alias("__first"), F.col("component").alias("__component"))
+    named = join_checked(nodes.withColumn("__first", first), components, ["__first"])
     own = F.concat(F.lit("row:"), F.col(row_id).cast("string"))
-    return named.withColumn("component_id", F.coalesce("_component", "_first", own)).drop("_nodes", "_first", "_component")
+    return named.withColumn("component_id", F.coalesce("__component", "__first", own)).drop("__nodes", "__first", "__component")
 
 
 def _ranges(weights: dict[str, float]) -> list[tuple[str, int]]:
@@ -122,5 +122,5 @@ def assign_splits(df: DataFrame, targets: dict[str, float], component: str = "co
 
 def grouped_records(df: DataFrame, component: str, key: str, least: int = 2) -> DataFrame:
     """Rows of df whose key, within its component, has at least `least` rows; null keys have none."""
-    counts = df.filter(F.col(key).isNotNull()).groupBy(component, key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= least)
-    return salted_join(df, counts, [component, key], "inner").drop("_rows")
+    counts = df.filter(F.col(key).isNotNull()).groupBy(component, key).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") >= least)
+    return salted_join(df, counts, [component, key], "inner").drop("__rows")
