@@ -7,7 +7,7 @@ from corundum.llm import toxicity
 
 @pytest.mark.parametrize(
     ("disguised", "shown"),
-    [("You are an 1d10t", "you are an idiot"), ("what a t.r.o.l.l", "what a troll"), ("m o r o n !", "moron !"), ("ѕtuріd", "stupid"), ("fooool", "fol"), ("ZINC000012", "zinc0"), ("it costs 12,5", "it costs 0"), ("bas​alt", "basalt"), ("Énergie", "energie")],
+    [("You are an 1diot", "you are an idiot"), ("what a t.r.o.l.l", "what a troll"), ("m o r o n !", "moron !"), ("ѕtuріd", "stupid"), ("fooool", "fol"), ("ZINC000012", "zinc0"), ("it costs 12,5", "it costs 0"), ("bas​alt", "basalt"), ("Énergie", "energie")],
 )
 def test_disguises_are_read_through(disguised, shown):
     assert toxicity.plain(disguised) == shown
