@@ -68,6 +68,15 @@ def _block_facts(block: str | None) -> dict | None:
     return dict(zip(FACTS.names, (text, text, text, False, net, charged, chem.radicals(mol), chem.fragments(mol), chem.weight(mol), chem.polar_surface(heavy), chem.rotatable(heavy), len(mol.atoms)), strict=True))
 
 
+def _geometry_facts(block: str | None, charge: int | None) -> dict | None:
+    own = _block_facts(block)
+    mol = chem.bonds_from_geometry(block, charge or 0) if own else None
+    if mol is None:
+        return own
+    net, charged = chem.charges(mol)
+    return own | {"net_charge": net, "charged_atoms": charged, "radicals": chem.radicals(mol), "fragments": chem.fragments(mol)}
+
+
 def _bits(smiles: str | None) -> list[int] | None:
     mol = chem.parse_smiles(smiles)
     return None if mol is None or not mol.atoms else chem.fingerprint(mol)
@@ -97,6 +106,8 @@ def fixed_text(places: int) -> Callable:
 smiles_facts = by_row(_facts, FACTS)
 #: The same of a V2000 block, from its own bonds and charges; null for no valid block.
 block_facts = by_row(_block_facts, FACTS)
+#: The same with bonds and charges from coordinates and the total charge, where they can be worked out.
+geometry_facts = by_row(_geometry_facts, FACTS)
 #: 2048-bit circular fingerprint of a SMILES text as 32 words.
 fingerprint = by_row(_bits, ArrayType(LongType()))
 #: Atom lines of a frame from symbols and flattened coordinates.

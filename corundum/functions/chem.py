@@ -612,3 +612,59 @@ def reorder_block(block: str | None) -> str | None:
             x = x[:9] + "".join(f" {new[int(i) - 1]:3d} {q:>3s}" for i, q in zip(pairs[::2], pairs[1::2], strict=False))
         rest.append(x)
     return "\n".join([*lines[:4], *[lines[4 + i] for i in order], *[f"{a:3d}{b:3d}{tail}" for (a, b), tail in bonds], *rest])
+
+
+# Covalent radii in angstrom.
+RADII = {"H": 0.31, "B": 0.84, "C": 0.76, "N": 0.71, "O": 0.66, "F": 0.57, "Si": 1.11, "P": 1.07, "S": 1.05, "Cl": 1.02, "Se": 1.20, "Br": 1.20, "I": 1.39}
+#: Angstrom beyond the sum of radii up to which two atoms are bound.
+SLACK = 0.40
+
+
+def bonds_from_geometry(block: str | None, charge: int = 0) -> Molecule | None:
+    """The molecule of a block with bonds and charges worked out from its coordinates and total charge.
+
+    Atoms nearer than their covalent radii allow are bound; free valences of neighbours become double and triple bonds,
+    the least connected atoms first; the charge goes to atoms whose valence calls for one. None for unreadable blocks,
+    for elements without a radius, and where valences and charge cannot be met: the block's own bonds then have to do.
+    """
+    mol = parse_block(block)
+    if mol is None or any(a.symbol not in RADII for a in mol.atoms):
+        return None
+    lines = block.replace("\r\n", "\n").split("\n")
+    at = [tuple(float(x[i : i + 10]) for i in (0, 10, 20)) for x in lines[4 : 4 + len(mol.atoms)]]
+    # A grid of cells as wide as the longest bond, so that only near atoms are compared.
+    cells: dict[tuple[int, ...], list[int]] = {}
+    for i, p in enumerate(at):
+        cells.setdefault(tuple(int(c // 3.2) for c in p), []).append(i)
+    out = Molecule([replace(a, charge=0) for a in mol.atoms])
+    for (x, y, z), own in cells.items():
+        close = [j for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1) for j in cells.get((x + dx, y + dy, z + dz), ())]
+        for i in own:
+            for j in close:
+                if i < j and sum((a - b) ** 2 for a, b in zip(at[i], at[j], strict=True)) <= (RADII[mol.atoms[i].symbol] + RADII[mol.atoms[j].symbol] + SLACK) ** 2:
+                    out.bonds[(i, j)] = 1.0
+    near = out.neighbours()
+    least = [VALENCES_IN_BRACKETS[a.symbol][0] for a in out.atoms]
+    free = []
+    for i, a in enumerate(out.atoms):
+        kinds = [v for v in VALENCES_IN_BRACKETS[a.symbol] if v >= len(near[i])]
+        if not kinds and a.symbol == "N" and len(near[i]) == 4:
+            a.charge, kinds = 1, [4]
+        if not kinds:
+            return None
+        free.append(kinds[0] - len(near[i]))
+    for _ in range(2):
+        for i in sorted(range(len(free)), key=lambda i: (sum(free[j] > 0 for j in near[i]), least[i], i)):
+            open_ = [j for j in near[i] if free[j] > 0]
+            if free[i] > 0 and open_:
+                j = min(open_, key=lambda j: (sum(free[k] > 0 for k in near[j]), j))
+                key = (min(i, j), max(i, j))
+                if out.bonds[key] < 3:
+                    out.bonds[key] += 1
+                    free[i] -= 1
+                    free[j] -= 1
+    for i, a in enumerate(out.atoms):
+        # A lone valence of an electronegative atom is a negative charge, as far as the total still asks for one.
+        if free[i] == 1 and a.symbol in ("O", "S", "N") and sum(b.charge for b in out.atoms) > charge:
+            a.charge, free[i] = -1, 0
+    return out if sum(a.charge for a in out.atoms) == charge else None

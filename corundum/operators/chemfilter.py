@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corundum.functions.arrow import block_facts, smiles_facts
+from corundum.functions.arrow import block_facts, geometry_facts, smiles_facts
 from corundum.schema import PRESETS
 
 
@@ -26,15 +26,16 @@ def filter_smiles(df: DataFrame, smiles: str, preset: str = "neutral_closed_shel
     return _tagged(facts, reason)
 
 
-def filter_blocks(df: DataFrame, preset: str = "neutral_closed_shell", elements: tuple[str, ...] | None = None, heavy: tuple[int, int] | None = None) -> DataFrame:
+def filter_blocks(df: DataFrame, preset: str = "neutral_closed_shell", elements: tuple[str, ...] | None = None, heavy: tuple[int, int] | None = None, geometry: bool = False) -> DataFrame:
     """df with filter_status (ok, rejected, mol_corrupt) and filter_reason, from the blocks' own bonds and charges.
 
     `elements` and `heavy` are the documented options: a whitelist of elements and a range of heavy atoms; they are
-    checked after the preset.
+    checked after the preset. With `geometry` bonds and charges are worked out from the coordinates and FormalCharge,
+    and the block's own ones serve where that fails.
     """
     from corundum.functions.v2000 import atom_symbols
 
-    facts = df.withColumn("__f", block_facts(F.col("mol_block")))
+    facts = df.withColumn("__f", geometry_facts(F.col("mol_block"), F.col("FormalCharge")) if geometry else block_facts(F.col("mol_block")))
     symbols = atom_symbols(F.col("mol_block"))
     reason = state_reason(F.col("__f.net_charge"), F.col("__f.charged_atoms"), F.col("__f.radicals"), preset)
     if elements is not None:

@@ -183,3 +183,21 @@ def test_filter_options_and_pipeline(spark):
     assert pipeline.curate(df, pipeline.Options(on_reject="drop", preset="none")).count() <= 2
     assert pipeline.stage_report(tagged).count() > 0 and pipeline.failed(tagged)
     assert pipeline.rejects_by_stage(tagged).filter("stage = 'energy'").count() == 2
+
+
+def geometry(atoms):
+    lines = [f"{x:10.4f}{y:10.4f}{z:10.4f} {s:<3s} 0  0" for s, x, y, z in atoms]
+    return "\n".join(["t", "", "", f"{len(atoms):3d}  0  0  0  0  0  0  0  0  0999 V2000", *lines, "M  END"])
+
+
+def test_bonds_from_geometry():
+    ethene = geometry([("C", 0, 0, 0), ("C", 1.33, 0, 0), ("H", -0.55, 0.93, 0), ("H", -0.55, -0.93, 0), ("H", 1.88, 0.93, 0), ("H", 1.88, -0.93, 0)])
+    mol = chem.bonds_from_geometry(ethene)
+    assert mol.bonds[(0, 1)] == 2 and len(mol.bonds) == 5 and chem.radicals(mol) == 0
+    cyanide = geometry([("H", -1.06, 0, 0), ("C", 0, 0, 0), ("N", 1.16, 0, 0)])
+    assert chem.bonds_from_geometry(cyanide).bonds == {(0, 1): 1.0, (1, 2): 3.0}
+    hydroxide = geometry([("O", 0, 0, 0), ("H", 0.96, 0, 0)])
+    assert chem.charges(chem.bonds_from_geometry(hydroxide, -1)) == (-1, 1) and chem.bonds_from_geometry(hydroxide, 1) is None
+    methyl = geometry([("C", 0, 0, 0), ("H", 1.09, 0, 0), ("H", -0.55, 0.94, 0), ("H", -0.55, -0.94, 0)])
+    assert chem.radicals(chem.bonds_from_geometry(methyl)) == 1
+    assert chem.bonds_from_geometry(geometry([("Fe", 0, 0, 0)])) is None and chem.bonds_from_geometry(None) is None
