@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corundum.session import materialise
+
 #: Queries that travel at once: 4,096 of 256 bytes are a megabyte.
 BLOCK = 4096
 
@@ -29,7 +31,8 @@ def nearest_neighbours(df: DataFrame, row_id: str, bits: str, divisor: int = 20,
     Rows are told apart by id, so repeats of a query score 1. Rows without fingerprint are neither query nor match. Two
     fingerprints without any bit have similarity 0. With fewer than two fingerprints the result is null for each query.
     """
-    rows = df.select(F.col(row_id).cast("bigint").alias("id"), F.col(bits).alias("bits")).filter("bits is not null")
+    # Written once: every block of queries reads all fingerprints again.
+    rows = materialise(df.select(F.col(row_id).cast("bigint").alias("id"), F.col(bits).alias("bits")).filter("bits is not null"))
     asked = rows.filter(F.col("id") % divisor == 0)
     parts = max(1, -(-asked.count() // block))
     out = None

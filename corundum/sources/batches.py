@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 from corundum.schema import BATCH
+from corundum.session import join_checked
 
 
 def read_batches(spark: SparkSession, directory: str, schema: StructType = BATCH, order: str = "row_seq") -> DataFrame:
@@ -18,13 +20,13 @@ def read_batches(spark: SparkSession, directory: str, schema: StructType = BATCH
     """
     wide = StructType([StructField(f.name, DoubleType() if isinstance(f.dataType, IntegerType) else f.dataType, True) for f in schema.fields])
     found = spark.read.schema(wide).parquet(directory)
-    numbered = any(f.name == order for f in schema.fields)
-    names = sorted(r["f"] for r in found.select(F.col("_metadata.file_name").alias("f")).distinct().collect()) if numbered else []
     place = F.lit(None).cast("bigint")
-    if names:
-        at = found.sparkSession.createDataFrame(list(enumerate(names)), "_place bigint, _file string")
-        found = found.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_index")).join(F.broadcast(at), "_file")
-        place = F.shiftleft(F.col("_place"), 40) + F.col("_index")
+    if any(f.name == order for f in schema.fields):
+        # One row for each file goes through one task; the rows themselves are joined by name.
+        names = found.select(F.col("_metadata.file_name").alias("__file")).distinct()
+        at = names.withColumn("__place", F.row_number().over(W.orderBy("__file")).cast("bigint"))
+        found = join_checked(found.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__index")), at, ["__file"])
+        place = F.shiftleft(F.col("__place"), 40) + F.col("__index")
 
     def column(f: StructField):  # noqa: ANN202
         c = F.col(f"`{f.name}`")
