@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corundum.functions.ids import zinc_number, zinc_other, zinc_text
-from corundum.session import salted_join
+from corundum.session import materialise, salted_join
 
 BUCKET_BITS = 16
 NEVER = "9999-12-31 00:00:00"
@@ -106,20 +106,22 @@ def orphan_references(main: DataFrame, children: dict[str, DataFrame], id_col: s
     loaded_at is only ever judged `missing`, with a null period. Repeated rows and ties change nothing; empty parents
     make every reference missing. Extra columns are not read.
     """
-    parents = _keyed(main, id_col, "loaded_at", "deleted_at")
+    # Distinct deliveries are a small part of the children's rows and are read several times below, so they are written once.
+    parents = materialise(_keyed(main, id_col, "loaded_at", "deleted_at"))
     runs = key_runs(parents, "key")
     refs = None
     for name, child in children.items():
         part = _keyed(child, id_col, "loaded_at").withColumn("table_name", F.lit(name))
         refs = part if refs is None else refs.unionByName(part)
     assert refs is not None
+    refs = materialise(refs)
     present = match_runs(refs, "key", runs)
     month = lambda c: F.date_format(c, "yyyy-MM").alias("period")
     judged = live_as_of(salted_join(refs, present, ["key"], "inner"), parents, "key", "loaded_at", "loaded_at", "deleted_at")
     kind = F.when(~F.col("present"), "missing").when(F.col("live"), None).when(F.col("known"), "deleted").when(~F.col("known"), "late")
     out = judged.withColumn("kind", kind).filter("kind is not null").select("table_name", "zinc_id", month("loaded_at"), "kind")
     for name in complete:
-        theirs = key_runs(_keyed(children[name], id_col), "key")
+        theirs = key_runs(refs.filter(F.col("table_name") == name), "key")
         lone = salted_join(parents, match_runs(parents, "key", theirs).filter("not present"), ["key"], "inner")
         out = out.unionByName(lone.select(F.lit("main").alias("table_name"), "zinc_id", month("loaded_at"), F.lit("missing").alias("kind")))
     return out.distinct()
