@@ -18,7 +18,8 @@ SUPPLIED = ("Energy_Ha", "HOMO_Ha", "LUMO_Ha", "PartialCharges")
 
 def _compound_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = read_table(spark, sf_dir, "batch").select("row_seq", "CompoundID", "CanonicalSMILES")
-    entities = {"cid": readable_compound(F.col("CompoundID")), "smi": smiles_compound(F.col("CanonicalSMILES"))}
+    # One name: both are the 32 hex digits of the compound, and a record may have either alone.
+    entities = {"compound": (readable_compound(F.col("CompoundID")), smiles_compound(F.col("CanonicalSMILES")))}
     keyed = batch.withColumn("compound_id", compound_of(F.col("CompoundID"), F.col("CanonicalSMILES")))
     return splits.with_components(keyed, entities, "row_seq").select("row_seq", "compound_id", "component_id")
 

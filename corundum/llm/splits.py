@@ -22,10 +22,14 @@ GIANT_SHARE = 0.002
 HASH_BUCKETS = 1 << 32
 
 
-def entity_nodes(df: DataFrame, entities: dict[str, Column]) -> DataFrame:
-    """df with `_nodes`: the record's entities as text nodes `name:value`, nulls left out."""
-    nodes = F.array(*[F.concat(F.lit(f"{name}:"), value.cast("string")) for name, value in entities.items()])
-    return df.withColumn("__nodes", F.filter(nodes, lambda x: x.isNotNull()))
+def entity_nodes(df: DataFrame, entities: dict[str, Column | tuple[Column, ...]]) -> DataFrame:
+    """df with `__nodes`: the record's entities as distinct text nodes `name:value`, nulls left out.
+
+    Several columns of one name are spellings of one entity: equal values are one node, whichever column has them.
+    """
+    spelt = [(name, v) for name, value in entities.items() for v in (value if isinstance(value, tuple) else (value,))]
+    nodes = F.array(*[F.concat(F.lit(f"{name}:"), v.cast("string")) for name, v in spelt])
+    return df.withColumn("__nodes", F.array_distinct(F.filter(nodes, lambda x: x.isNotNull())))
 
 
 def _pairs(df: DataFrame) -> DataFrame:
@@ -67,7 +71,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
-def with_components(df: DataFrame, entities: dict[str, Column], row_id: str) -> DataFrame:
+def with_components(df: DataFrame, entities: dict[str, Column | tuple[Column, ...]], row_id: str) -> DataFrame:
     """df with `component_id` (string): equal for records that share an entity, directly or through others.
 
     A record without any entity is a component of its own, `row:<row_id>`. Works on empty tables; repeated rows share

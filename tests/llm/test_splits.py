@@ -1,9 +1,10 @@
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from corundum.llm import splits
+from corundum.llm import queries, splits
 
 
 def union_find(edges, nodes):
@@ -65,3 +66,17 @@ def test_split_edges(spark):
 def test_grouped_records(spark):
     df = spark.createDataFrame([(1, "c", "k"), (2, "c", "k"), (3, "c", "l"), (4, "d", None), (5, "d", None)], "row_seq bigint, component_id string, compound_id string")
     assert sorted(r["row_seq"] for r in splits.grouped_records(df, "component_id", "compound_id").collect()) == [1, 2]
+
+
+def test_one_compound_by_either_spelling(spark, tmp_path):
+    smiles = ["CCO", "CCN", "CCC"]
+    hexes = [hashlib.md5(x.encode()).hexdigest() for x in smiles]
+    # The first compound has one record by CompoundID only and one by SMILES only, the third one record alone.
+    rows = [(1, hexes[0].upper(), None), (2, None, smiles[0]), (3, hexes[1], smiles[1]), (4, "?", smiles[1]), (5, hexes[2], None), (6, None, None)]
+    spark.createDataFrame(rows, "row_seq bigint, CompoundID string, CanonicalSMILES string").write.parquet(f"{tmp_path}/batch.parquet")
+    spark.createDataFrame([("train", 0.5), ("test", 0.5)], "split_name string, share double").write.parquet(f"{tmp_path}/split_targets.parquet")
+    found = sorted(map(tuple, queries.p1_found(spark, str(tmp_path)).collect()))
+    assert found == [(1, hexes[0]), (2, hexes[0]), (3, hexes[1]), (4, hexes[1])]
+    got = {r["row_seq"]: (r["component_id"], r["split_name"]) for r in queries.p1_splits(spark, str(tmp_path)).collect()}
+    assert got[1] == got[2] and got[3] == got[4] and len({got[i][0] for i in (1, 3, 5, 6)}) == 4
+    assert queries.p1_shares(spark, str(tmp_path)).agg(F.sum("components")).first()[0] == 4
