@@ -1,6 +1,6 @@
 """Nearest neighbours by Tanimoto similarity of bit fingerprints.
 
-The query set is stated (ids divisible by a number) and is compared with all rows in blocks: the queries of a block,
+The query set is stated (ids divisible by a number, or rows marked by a column) and is compared with all rows in blocks: the queries of a block,
 bounded in number, go to every partition, which keeps the best match of each query. Rows are sorted by the number of
 bits within a batch, and since T <= min(a, b) / max(a, b), only those that can still beat the best so far are compared.
 """
@@ -25,15 +25,16 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1).view(np.uint64)
 
 
-def nearest_neighbours(df: DataFrame, row_id: str, bits: str, divisor: int = 20, block: int = BLOCK) -> DataFrame:
+def nearest_neighbours(df: DataFrame, row_id: str, bits: str, divisor: int = 20, block: int = BLOCK, asks: str | None = None) -> DataFrame:
     """query_id, max_tanimoto: for every row whose id is divisible by `divisor`, its largest similarity to another row.
 
-    Rows are told apart by id, so repeats of a query score 1. Rows without fingerprint are neither query nor match. Two
+    `asks` names a boolean column that marks the queries instead. Rows are told apart by id, so repeats of a query score 1. Rows without fingerprint are neither query nor match. Two
     fingerprints without any bit have similarity 0. With fewer than two fingerprints the result is null for each query.
     """
     # Written once: every block of queries reads all fingerprints again.
-    rows = materialise(df.select(F.col(row_id).cast("bigint").alias("id"), F.col(bits).alias("bits")).filter("bits is not null"))
-    asked = rows.filter(F.col("id") % divisor == 0)
+    asking = F.col(row_id).cast("bigint") % divisor == 0 if asks is None else F.col(asks)
+    rows = materialise(df.select(F.col(row_id).cast("bigint").alias("id"), F.col(bits).alias("bits"), asking.alias("asks")).filter("bits is not null"))
+    asked = rows.filter("asks")
     parts = max(1, -(-asked.count() // block))
     out = None
     for p in range(parts):

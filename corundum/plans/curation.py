@@ -13,7 +13,7 @@ from corundum.functions.v2000 import block_lines, counts
 from corundum.operators import assemble, chemfilter, contract, dedup, deliver, energy, integrity, similarity, stats, stereo
 from corundum.plans import pipeline
 from corundum.schema import FIT_ELEMENTS, PRESETS
-from corundum.session import read_table
+from corundum.session import read_table, salted_join
 from corundum.sinks.writers import reject_records
 
 # SQL pieces.
@@ -176,9 +176,18 @@ SELECT query_id, round(max(CASE WHEN nq + nr - shared = 0 THEN 0 ELSE shared / (
 
 
 def nearest_structures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J6, P15 over different structures of the batch: queries are the first rows divisible by 20."""
-    forms = _batch(spark, sf_dir, "row_seq", "CanonicalSMILES").filter("CanonicalSMILES <> ''").groupBy("CanonicalSMILES").agg(F.min("row_seq").alias("row_seq"))
-    return similarity.nearest_neighbours(forms.select("row_seq", fingerprint(F.col("CanonicalSMILES")).alias("bits")), "row_seq", "bits")
+    """For every row of the batch divisible by 20, the largest similarity of its structure to a different one.
+
+    Each structure that such a row has is asked once against all structures; all its rows get the answer. Rows without
+    a readable SMILES have none and are left out.
+    """
+    batch = _batch(spark, sf_dir, "row_seq", "CanonicalSMILES").filter("CanonicalSMILES <> ''")
+    asks = F.col("row_seq") % 20 == 0
+    forms = batch.groupBy("CanonicalSMILES").agg(F.min("row_seq").alias("form_id"), F.bool_or(asks).alias("asks"))
+    best = similarity.nearest_neighbours(forms.withColumn("bits", fingerprint(F.col("CanonicalSMILES"))), "form_id", "bits", asks="asks")
+    known = forms.select("CanonicalSMILES", F.col("form_id").alias("query_id")).join(best, "query_id").select("CanonicalSMILES", "max_tanimoto")
+    members = batch.filter(asks).select(F.col("row_seq").cast("bigint").alias("query_id"), "CanonicalSMILES")
+    return salted_join(members, known, ["CanonicalSMILES"], "inner").select("query_id", "max_tanimoto")
 
 
 def assemble_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -310,8 +319,6 @@ def smiles_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Descriptors of every record of the batch; each structure is worked out once."""
     batch = _batch(spark, sf_dir, "row_seq", "CompoundID", "SourceID", "CanonicalSMILES", "Energy_Ha")
     forms = batch.select("CanonicalSMILES").filter("CanonicalSMILES <> ''").distinct().withColumn("_f", smiles_facts(F.col("CanonicalSMILES")))
-    from corundum.session import salted_join
-
     met = salted_join(batch, forms, ["CanonicalSMILES"])
     return met.select("row_seq", "CompoundID", "SourceID", "CanonicalSMILES", *[F.col(f"_f.{c}").alias(c) for c in ("MolWt", "TPSA", "nrot", "num_atoms", "fragments")], "Energy_Ha")
 

@@ -7,7 +7,7 @@ from corundum.functions import chem
 from corundum.functions.arrow import fixed_text, number_text
 from corundum.operators import assemble, chemfilter, contract, dedup, energy, similarity, stats
 from corundum.operators.medians import exact_median
-from corundum.plans import pipeline
+from corundum.plans import curation, pipeline
 from tests.test_parse_errors import GOOD
 
 SMILES = ["CCO", "N[C@@H](C)C(=O)O", "C1=CC=NC=C1", "c1ccc2ccccc2c1", "C[N+](C)(C)CC(=O)[O-]", "OP(=O)(O)O", "FC(F)(F)C1CC1", "CS(=O)(=O)C", "CC.O", "O=C(C)Oc1ccccc1C(=O)O"]
@@ -201,3 +201,16 @@ def test_bonds_from_geometry():
     methyl = geometry([("C", 0, 0, 0), ("H", 1.09, 0, 0), ("H", -0.55, 0.94, 0), ("H", -0.55, -0.94, 0)])
     assert chem.radicals(chem.bonds_from_geometry(methyl)) == 1
     assert chem.bonds_from_geometry(geometry([("Fe", 0, 0, 0)])) is None and chem.bonds_from_geometry(None) is None
+
+
+def test_every_row_divisible_by_twenty_asks_its_structure(spark, tmp_path):
+    forms = ["CCO", "CCN", "CCCO", "c1ccccc1O", "CC(=O)O", None, "", "C("]
+    # Each structure comes first in a row that isn't divisible by 20; a later one that is repeats it.
+    rows = [(1 + i, s) for i, s in enumerate(forms)] + [(20 * (i + 2), s) for i, s in enumerate(forms)] + [(20 * (i + 10), "CCO") for i in range(3)] + [(401, "CCCCO")]
+    spark.createDataFrame(rows, "row_seq bigint, CanonicalSMILES string").write.parquet(f"{tmp_path}/batch.parquet")
+    bits = lambda s: {64 * k + b for k, w in enumerate(chem.fingerprint(chem.parse_smiles(s))) for b in range(64) if w >> b & 1}
+    sets = {s: bits(s) for s in {*forms[:5], "CCCCO"}}
+    best = {s: max(len(a & b) / len(a | b) for t, b in sets.items() if t != s) for s, a in sets.items()}
+    want = {i: best[s] for i, s in rows if i % 20 == 0 and s in best}
+    got = curation.nearest_structures(spark, str(tmp_path)).collect()
+    assert {r["query_id"]: r["max_tanimoto"] for r in got} == pytest.approx(want) and len(got) == len(want) == 8
