@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corundum.functions.arrow import fingerprint, smiles_facts
+from corundum.functions.arrow import block_facts, fingerprint, smiles_facts
 from corundum.functions.ids import compound_of, zinc_text
-from corundum.functions.v2000 import block_lines, counts
+from corundum.functions.v2000 import block_lines, block_valid, counts
 from corundum.operators import assemble, chemfilter, contract, dedup, deliver, energy, integrity, similarity, stats, stereo
 from corundum.plans import pipeline
 from corundum.schema import FIT_ELEMENTS, PRESETS
@@ -122,7 +122,10 @@ def filter_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def integrity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F5 without the SMILES round trip: counts, energies and ids of every record with a counts line."""
+    """The part of F5 that its SQL expresses: counts, energies and ids of every record with a counts line.
+
+    It takes truncated blocks and bad atom or bond lines; integrity_full is the whole check.
+    """
     batch = _batch(spark, sf_dir, "row_seq", "mol_block", "num_atoms", "num_bonds", "CanonicalSMILES", "CompoundID", "Energy_Ha")
     atoms, _ = counts(block_lines(F.col("mol_block")))
     return integrity.integrity(batch, atoms.isNotNull() & F.col("mol_block").contains("V2000")).select("row_seq", "validate_status", "validate_errors")
@@ -140,6 +143,18 @@ e AS (SELECT row_seq, CASE WHEN a IS NULL OR mol_block IS NULL OR NOT contains(m
 SELECT row_seq, CASE WHEN coalesce(errors, '') = '' THEN 'ok' ELSE 'invalid' END AS validate_status, nullif(errors, '') AS validate_errors FROM e"""
 
 
+def integrity_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F5, as the pipeline checks it: whole blocks, counts, SMILES round trip, energies and ids.
+
+    The stored CanonicalSMILES may be another toolkit's text, so both sides are compared as this kernel writes them
+    without stereo; an unreadable text is a mismatch.
+    """
+    batch = _batch(spark, sf_dir, "row_seq", "mol_block", "num_atoms", "num_bonds", "CanonicalSMILES", "CompoundID", "Energy_Ha")
+    read = batch.withColumns({"__valid": block_valid("mol_block"), "__own": block_facts(F.col("mol_block"))["canonical"], "__stored": smiles_facts(F.col("CanonicalSMILES"))["flat"]})
+    own = F.when(F.col("__stored") == F.col("__own"), F.col("CanonicalSMILES")).otherwise(F.col("__own"))
+    return integrity.integrity(read, F.col("__valid"), own).select("row_seq", "validate_status", "validate_errors")
+
+
 def mirror_pair_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W2 on lines: pairs of numbers whose mirror image is the swapped pair."""
     order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
@@ -343,7 +358,7 @@ def curation_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _FUNCTIONS = (
     contract_validate, dedup_first_occurrence, unique_keep_first, collision_count, energy_outliers, energy_outlier_ols_mad, chemical_filter_presets, filter_reason_counts,
-    integrity_check, mirror_pair_removal, stereo_filter, nearest_neighbour_tanimoto, nearest_structures, assemble_left_join, built_records, composition_formula, feature_presence,
+    integrity_check, integrity_full, mirror_pair_removal, stereo_filter, nearest_neighbour_tanimoto, nearest_structures, assemble_left_join, built_records, composition_formula, feature_presence,
     element_whitelist, exclude_filter, status_counts, histogram_50, range_buckets, descriptor_summary, threshold_share, curation_funnel, smiles_descriptors, frame_export, reject_export,
     curation_pipeline,
 )

@@ -214,3 +214,33 @@ def test_every_row_divisible_by_twenty_asks_its_structure(spark, tmp_path):
     want = {i: best[s] for i, s in rows if i % 20 == 0 and s in best}
     got = curation.nearest_structures(spark, str(tmp_path)).collect()
     assert {r["query_id"]: r["max_tanimoto"] for r in got} == pytest.approx(want) and len(got) == len(want) == 8
+
+
+def test_full_integrity_against_brute_force(spark, tmp_path):
+    import hashlib
+
+    lines = GOOD.split("\n")
+    cut = lambda n: "\n".join(lines[:n])
+    first, bond = lines[4], next(i for i in range(len(lines)) if lines[i].startswith("M  ")) - 1
+    own = chem.write_smiles(chem._aromatize(chem.without_hydrogens(chem.parse_block(GOOD))), isomeric=False)
+    n, m = int(lines[3][:3]), int(lines[3][3:6])
+    whole = {
+        "good": GOOD, "cut in an atom line": cut(4) + "\n" + first[:20], "no end": cut(len(lines) - 1) if lines[-1].startswith("M  END") else cut(len(lines) - 2),
+        "bad number": GOOD.replace(first[:10], "   x.00000", 1), "bad element": GOOD.replace(first, first[:31] + "Qq " + first[34:], 1),
+        "bad bond": GOOD.replace(lines[bond], "  1  1" + lines[bond][6:], 1), "no counts": "x", "null": None,
+    }
+    md5 = lambda s: hashlib.md5(s.encode()).hexdigest()
+    rows, want = [], {}
+    for name, block in whole.items():
+        for text in (own, "C#CC#CBr", "C(", None, ""):
+            for cid, e, atoms in ((md5(text or ""), -1.0, n), ("0" * 32, -1.0, n), (None, float("nan"), n), (None, -1.0, n + 1)):
+                errors = [] if name == "good" else ["mol_block: could not parse"]
+                if name == "good":
+                    errors += [f"num_atoms mismatch: stored={atoms}, mol={n}"] * (atoms != n) + [f"CanonicalSMILES mismatch: stored={text}, recomputed={own}"] * (text in ("C#CC#CBr", "C("))
+                    errors += ["Energy_Ha: not finite"] * (e != e) + [f"CompoundID mismatch: stored={cid}, recomputed={md5(text or "")}"] * bool(cid and text and cid != md5(text))
+                want[len(rows)] = "; ".join(errors) or None
+                rows.append((len(rows), block, atoms, m, text, cid, e))
+    spark.createDataFrame(rows, "row_seq bigint, mol_block string, num_atoms int, num_bonds int, CanonicalSMILES string, CompoundID string, Energy_Ha double").write.parquet(f"{tmp_path}/batch.parquet")
+    got = {r["row_seq"]: r for r in curation.QUERIES["integrity_full"](spark, str(tmp_path)).collect()}
+    assert {i: r["validate_errors"] for i, r in got.items()} == want
+    assert all((r["validate_status"] == "ok") == (want[i] is None) for i, r in got.items())
