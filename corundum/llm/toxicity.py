@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from math import log
@@ -38,6 +39,8 @@ MAX_CHARS = 32_000_000
 DICTIONARY_BYTES = 1 << 18
 LEVEL = 19
 WINDOW_WORDS, WINDOW_STEP = 24, 12
+#: Signs of a word from which it is scored in pieces, and their step.
+WORD_CHARS, WORD_STEP = 120, 60
 #: Shares saved from which a window of a marked document trains as marked, and from which one of an unmarked one doesn't train.
 MINED, MISSED = 0.2, 0.3
 #: Shares of marked documents above which a window may train as marked and above which one of an unmarked document is
@@ -124,6 +127,7 @@ LOOKALIKES = str.maketrans("аеорсухіјѕһԁӏմոԛԝαοτνκβ", "ae
 WRITTEN_FOR = str.maketrans("0134578@$!|€£", "oieastbasiiel")
 
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_]([ ._*\-]))(?:[^\W\d_]\1){2,}[^\W\d_](?![^\W_])")
+_DOTTED = re.compile(r"(?<![^\W_])([._*\-]?)(?:[^\W\d_]([._*\-]))(?:[^\W\d_]\2){2,}[^\W\d_](?![^\W_])(?:\2(?=\s+[._*\-]?[^\W\d_A-Z]))?")
 _RUN = re.compile(r"([^\W\d_])\1{2,}")
 _MIXED = re.compile(r"[^\W_0-9]*[0-9@$!|€£*][\w@$!|€£*]*")
 _NUMBER = re.compile(r"[0-9]+(?:[.,][0-9]+)*")
@@ -149,6 +153,10 @@ def _join_letters(m: re.Match) -> str:
     return f"a {joined[1:]}" if joined[0] == "a" and m.group(1) == " " else joined
 
 
+def _join_signs(m: re.Match) -> str:
+    return m.group().replace(m.group(2), "")
+
+
 def plain(text: str) -> str:
     """A window without disguise: lower case, no marks and invisible signs, look-alikes and signs read as letters,
     letters set apart joined, runs of a letter cut to one, numbers as 0."""
@@ -160,23 +168,50 @@ def plain(text: str) -> str:
     return _NUMBER.sub("0", _RUN.sub(r"\1", text)).strip()
 
 
-def windows(text: str | None) -> list[str]:
-    """Distinct windows of a whole text without disguise: sentences and lines, long ones in overlapping pieces.
+def _sentences(text: str | None) -> Iterator[tuple[str, list[tuple[int, int]]]]:
+    """(sentence or line without disguise, spans of its words)."""
+    # Words spelt with signs between the letters are joined first, where a dot before a blank would end a sentence. The
+    # dot behind such a word ends one still if a capital follows.
+    for part in _END.split(_DOTTED.sub(_join_signs, text or "")):
+        if part and not part.isspace():
+            flat = plain(part)
+            yield flat, [m.span() for m in _WORD.finditer(flat)]
 
-    A piece has WINDOW_WORDS words; a CJK sign counts as a word. Windows of fewer than two words are left out.
-    """
+
+def _pieces(text: str | None) -> tuple[list[str], list[str]]:
+    """(windows, word windows) of a text, which is read once for both."""
     found: dict[str, None] = {}
-    for part in _END.split(text or ""):
-        if not part or part.isspace():
-            continue
-        flat = plain(part)
-        spans = [m.span() for m in _WORD.finditer(flat)]
+    words: dict[str, None] = {}
+    for flat, spans in _sentences(text):
+        for a, b in spans:
+            if b - a > WORD_CHARS:
+                words.update((flat[i : min(b, i + WORD_CHARS)], None) for i in range(a, b - WORD_CHARS + WORD_STEP, WORD_STEP))
+            elif len(spans) == 1:
+                words[flat[a:b]] = None
         if len(spans) < 2:
             continue
         for i in range(0, max(1, len(spans) - WINDOW_WORDS + WINDOW_STEP), WINDOW_STEP):
             piece = spans[i : i + WINDOW_WORDS]
             found[flat[piece[0][0] : piece[-1][1]]] = None
-    return list(found)
+    return list(found), list(words)
+
+
+def windows(text: str | None) -> list[str]:
+    """Distinct windows of a whole text without disguise: sentences and lines, long ones in overlapping pieces.
+
+    A piece has WINDOW_WORDS words; a CJK sign counts as a word. Windows of fewer than two words are left out; see
+    word_windows.
+    """
+    return _pieces(text)[0]
+
+
+def word_windows(text: str | None) -> list[str]:
+    """Distinct windows of the single words that `windows` leaves out or holds whole; they are scored and don't train.
+
+    The word of a sentence or line that has no other, and overlapping pieces of WORD_CHARS signs of every longer word,
+    such as a text without blanks.
+    """
+    return _pieces(text)[1]
 
 
 class _Coder:
@@ -249,7 +284,8 @@ class Scorer:
 
     def document(self, text: str | None) -> float:
         """The score of the worst window; 0 for a text without windows, such as a null or an empty one."""
-        return max(map(self.window, windows(text)), default=0.0)
+        found, words = _pieces(text)
+        return max(map(self.window, [*found, *words]), default=0.0)
 
 
 def _model(ordinary: Counter, marked: Counter) -> Scorer:

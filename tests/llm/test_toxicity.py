@@ -64,3 +64,15 @@ def test_columns(spark):
     assert got.count() == 6 and {r["doc_id"] for r in got.filter("flagged").collect()} == {3}
     assert toxicity.labelled_sample(docs, labels) == [(5, "Fine.", False)]
     assert toxicity.with_scores(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_single_words_and_dotted_words_are_scored():
+    assert toxicity.word_windows("Asshole!\nTwo words. Fine.") == ["asshole!", "fine."]
+    long = "".join(chr(97 + i * i % 26) + str(i % 10) for i in range(500))
+    pieces = toxicity.word_windows(f"see {long} here")
+    assert max(map(len, pieces)) <= toxicity.WORD_CHARS and {p[:9] for p in pieces} >= {toxicity.plain(long)[:9]} and pieces[-1][-9:] == toxicity.plain(long)[-9:]
+    assert toxicity.windows("go k.i.l.l. .y.o.u.r.s.e.l.f.") == ["go kill yourself."]
+    assert toxicity.windows("what a t.r.o.l.l. Next one.") == ["what a troll.", "next one."]
+    assert toxicity.word_windows(None) == toxicity.word_windows("") == toxicity.word_windows(" \n ") == []
+    scorer = toxicity.Scorer(toxicity.train([]))
+    assert scorer.document("you-stupid-idiot-everybody-hates-you") > 0 and scorer.document("go.kill.yourself.you.worthless.piece.of.shit" + "x" * 3000) > 0
