@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from corundum.functions.arrow import by_row, fixed_text, frame_lines, number_text, smiles_facts
-from corundum.functions.v2000 import atoms, formula
+from corundum.functions.v2000 import atoms, block_valid, formula
 
 CNSO = ("C", "N", "S", "O")
 
@@ -24,10 +24,10 @@ def _shown(c: Column, missing: str = "") -> Column:
 def frames(batch: DataFrame, family: str = "QM40") -> DataFrame:
     """row_seq and `frame`: atom count, a line of key,value pairs, one line for each atom.
 
-    Rows whose block has no atom line are left out. Missing values are shown empty, except the charge (0), multiplicity
+    Rows whose block is not valid or has no atom line are left out. Missing values are shown empty, except the charge (0), multiplicity
     and iconf (1). tpsa and nrot come from the CanonicalSMILES; logp stays empty, as this kernel has no such table.
     """
-    read = batch.withColumn("__a", atoms(F.col("mol_block"))).filter(F.size("__a") > 0)
+    read = batch.filter(block_valid("mol_block")).withColumn("__a", atoms(F.col("mol_block"))).filter(F.size("__a") > 0)
     read = with_composition(read, F.transform("__a", lambda a: a["symbol"])).withColumn("__f", F.when(F.col("CanonicalSMILES") != "", smiles_facts(F.col("CanonicalSMILES"))))
     two = fixed_text(2)
     pairs = {

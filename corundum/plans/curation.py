@@ -339,8 +339,8 @@ def smiles_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def frame_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training frames of the records that every stage took."""
-    batch = read_table(spark, sf_dir, "batch").filter("energy_status = 'ok' AND filter_status = 'ok' AND validate_status = 'ok'")
+    """Training frames of every record with a readable block; chemfilter.exclude leaves records out by status."""
+    batch = read_table(spark, sf_dir, "batch")
     return deliver.frames(batch.select("row_seq", "mol_block", "SourceID", "CompoundID", "FormalCharge", "Multiplicity", "Energy_Ha", "CanonicalSMILES", "ICONF"))
 
 

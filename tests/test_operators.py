@@ -244,3 +244,12 @@ def test_full_integrity_against_brute_force(spark, tmp_path):
     got = {r["row_seq"]: r for r in curation.QUERIES["integrity_full"](spark, str(tmp_path)).collect()}
     assert {i: r["validate_errors"] for i, r in got.items()} == want
     assert all((r["validate_status"] == "ok") == (want[i] is None) for i, r in got.items())
+
+
+def test_frames_of_every_readable_block(spark, tmp_path):
+    statuses = [("ok", "ok", "ok"), ("flagged", "ok", "ok"), (None, None, None), ("ok", "rejected", "invalid")]
+    blocks = [GOOD, GOOD.replace("M  END", ""), GOOD[:120], "x", None]
+    rows = [(10 * i + j, b, "s", "c", 0, 1, -1.0, "CCl", 1, *s) for i, b in enumerate(blocks) for j, s in enumerate(statuses)]
+    schema = "row_seq bigint, mol_block string, SourceID string, CompoundID string, FormalCharge int, Multiplicity int, Energy_Ha double, CanonicalSMILES string, ICONF int, energy_status string, filter_status string, validate_status string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/batch.parquet")
+    assert sorted(r["row_seq"] for r in curation.frame_export(spark, str(tmp_path)).collect()) == [0, 1, 2, 3]
