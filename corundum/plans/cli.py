@@ -38,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--allowed-elements", nargs="*")
     c.add_argument("--min-heavy", type=int)
     c.add_argument("--max-heavy", type=int)
+    c.add_argument("--geometry", action="store_true", help="the filter works out bonds from coordinates and FormalCharge")
     c.add_argument("--rejects")
     c = add("report", "status counts, funnel and descriptors of curated batches", "input")
     c.add_argument("--funnel-only", action="store_true")
@@ -79,7 +80,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
     heavy = None if o.min_heavy is None and o.max_heavy is None else (o.min_heavy or 0, 999 if o.max_heavy is None else o.max_heavy)
     options = pipeline.Options(
         stages=tuple(s for s in o.stages if s not in o.skip), on_reject="drop" if o.drop_rejected else "tag", threshold=o.threshold, preset=o.preset,
-        elements=tuple(o.allowed_elements) if o.allowed_elements else None, heavy=heavy,
+        elements=tuple(o.allowed_elements) if o.allowed_elements else None, heavy=heavy, geometry=o.geometry,
     )
     base = batches.read_batches(spark, o.input)
     base = base.drop(*[f"{s}_status" for s in pipeline.STAGES], "filter_reason", "dedup_reason", "validate_errors", "ICONF", "CanonicalSMILES", "CompoundID")

@@ -21,7 +21,10 @@ REJECTED = {
 
 @dataclass(frozen=True)
 class Options:
-    """on_reject: `tag` keeps every row with its statuses, `drop` passes on only what a stage takes."""
+    """on_reject: `tag` keeps every row with its statuses, `drop` passes on only what a stage takes.
+
+    geometry: the filter works out bonds and charges from coordinates and FormalCharge.
+    """
 
     stages: tuple[str, ...] = STAGES
     on_reject: str = "tag"
@@ -29,6 +32,7 @@ class Options:
     preset: str = "neutral_closed_shell"
     elements: tuple[str, ...] | None = None
     heavy: tuple[int, int] | None = None
+    geometry: bool = False
     first_only_among_accepted: bool = True
     extra: dict = field(default_factory=dict)
 
@@ -37,7 +41,7 @@ def run_stage(name: str, df: DataFrame, options: Options) -> DataFrame:
     if name == "energy":
         return energy.energy_prefilter(df.drop("energy_status"), options.threshold)
     if name == "filter":
-        return chemfilter.filter_blocks(df, options.preset, options.elements, options.heavy)
+        return chemfilter.filter_blocks(df, options.preset, options.elements, options.heavy, options.geometry)
     if name == "dedup":
         earlier = [F.expr(REJECTED[s]) for s in ("energy", "filter") if f"{s}_status" in df.columns]
         ok = None

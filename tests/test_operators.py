@@ -253,3 +253,14 @@ def test_frames_of_every_readable_block(spark, tmp_path):
     schema = "row_seq bigint, mol_block string, SourceID string, CompoundID string, FormalCharge int, Multiplicity int, Energy_Ha double, CanonicalSMILES string, ICONF int, energy_status string, filter_status string, validate_status string"
     spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/batch.parquet")
     assert sorted(r["row_seq"] for r in curation.frame_export(spark, str(tmp_path)).collect()) == [0, 1, 2, 3]
+
+
+def test_pipeline_takes_bonds_from_geometry(spark):
+    atoms = [("C", 0, 0, 0), ("C", 1.33, 0, 0), ("H", -0.55, 0.93, 0), ("H", -0.55, -0.93, 0), ("H", 1.88, 0.93, 0), ("H", 1.88, -0.93, 0)]
+    block = geometry(atoms).replace("  6  0  0", "  6  5  0", 1).replace("M  END", "\n".join(f"{a:3d}{b:3d}  1  0" for a, b in ((1, 2), (1, 3), (1, 4), (2, 5), (2, 6))) + "\nM  END")
+    df = spark.createDataFrame([(1, block, 0)], "row_seq bigint, mol_block string, FormalCharge int")
+    by = lambda **k: pipeline.curate(df, pipeline.Options(stages=("filter",), **k)).first()["filter_reason"]
+    assert by() == "radicals=2" and by(geometry=True) is None
+    from corundum.plans import cli
+
+    assert cli._parser().parse_args(["curate", "a", "b", "--geometry"]).geometry and not cli._parser().parse_args(["curate", "a", "b"]).geometry
