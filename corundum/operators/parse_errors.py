@@ -117,7 +117,7 @@ def _offer(cells: dict, key: tuple[int, int], q: int, d: int, edits: tuple | Non
 
 
 def parse_line(line: str | None, wanted: int, delimiter: str = ",", quote: str = '"') -> tuple[list[str] | None, str | None, str | None]:
-    """(fields, reason, edits): fields of a zero-cost line, else the reason and the cheapest edits.
+    """(fields, reason, edits): fields of a zero-cost line, else the reason and all of the cheapest edits.
 
     A null line has no field at all and is a column_count case.
     """
@@ -127,8 +127,7 @@ def parse_line(line: str | None, wanted: int, delimiter: str = ",", quote: str =
     if fields is not None and len(fields) == wanted:
         return fields, None, None
     quotes, _, edits = least_edits(line, wanted, delimiter, quote)
-    shown = edits if len(edits) <= 50 else [*edits[:50], f"and {len(edits) - 50} more"]
-    return None, "quoting" if quotes else "column_count", "; ".join(shown)
+    return None, "quoting" if quotes else "column_count", "; ".join(edits)
 
 
 def parse_delimited(df: DataFrame, line: str, keys: list[str], fields: tuple[str, ...], delimiter: str = ",", quote: str = '"') -> DataFrame:

@@ -94,3 +94,10 @@ def test_batch_records(spark):
     found = sorted((r["rec_id"], r["reason"]) for r in rejects(judged, "row_seq", "batch").collect())
     assert found == [(2, "energy"), (3, "energy"), (3, "formal_charge"), (3, "mol_block"), (4, "energy"), (4, "energy"), (4, "mol_block"), (4, "mol_block")]
     assert [r["row_seq"] for r in loaded(judged).collect()] == [1]
+
+
+def test_all_edits_of_a_long_line_are_shown():
+    line = 'a"' * 130
+    _, reason, shown = parse_line(line, 10)
+    edits = least_edits(line, 10)[2]
+    assert reason == "quoting" and len(edits) > 100 and shown.split("; ") == edits
