@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from corundum.functions import chem
+from corundum.functions.v2000 import is_block
+from corundum.schema import FIT_ELEMENTS
 
 _ARROW = {StringType: pa.string(), IntegerType: pa.int32(), LongType: pa.int64(), DoubleType: pa.float64(), BooleanType: pa.bool_()}
 
@@ -46,7 +48,19 @@ FACTS = StructType(
     [
         StructField("canonical", StringType()), StructField("flat", StringType()), StructField("mirrored", StringType()), StructField("has_stereo", BooleanType()),
         StructField("net_charge", IntegerType()), StructField("charged_atoms", IntegerType()), StructField("radicals", IntegerType()), StructField("fragments", IntegerType()),
-        StructField("MolWt", DoubleType()), StructField("TPSA", DoubleType()), StructField("nrot", IntegerType()), StructField("num_atoms", IntegerType()),
+        StructField("MolWt", DoubleType()), StructField("TPSA", DoubleType()), StructField("nrot", IntegerType()), StructField("num_atoms", IntegerType()), StructField("logP", DoubleType()),
+    ]
+)
+
+STATE = StructType([StructField("net_charge", IntegerType()), StructField("charged_atoms", IntegerType()), StructField("radicals", IntegerType())])
+
+#: What the stages need of a block. texts_missing: why there is no canonical text.
+RECORD = StructType(
+    [
+        StructField("canonical", StringType()), StructField("mirrored", StringType()), StructField("has_stereo", BooleanType()),
+        StructField("net_charge", IntegerType()), StructField("charged_atoms", IntegerType()), StructField("radicals", IntegerType()), StructField("fragments", IntegerType()),
+        StructField("num_atoms", IntegerType()), StructField("num_bonds", IntegerType()), StructField("heavy_atoms", IntegerType()),
+        StructField("elements", ArrayType(StringType())), StructField("counts", ArrayType(IntegerType())), StructField("texts_missing", StringType()),
     ]
 )
 
@@ -56,20 +70,22 @@ def _facts(smiles: str | None) -> dict | None:
     return None if found is None else dict(zip(FACTS.names, found, strict=True))
 
 
-@lru_cache(maxsize=4096)
-def _block_facts(block: str | None) -> dict | None:
-    # The cache serves the stages of one pipeline, which ask for the same block one after another.
-    mol = chem.parse_block(block)
-    if mol is None:
+def _state(smiles: str | None) -> dict | None:
+    found = None if smiles is None else chem.smiles_state(smiles)
+    return None if found is None else dict(zip(STATE.names, found, strict=True))
+
+
+def _record(block: str | None, smiles: str | None) -> dict | None:
+    found = chem.block_texts(block, smiles)
+    if found is None:
         return None
-    heavy = chem.without_hydrogens(mol)
-    net, charged = chem.charges(mol)
-    text = chem.write_smiles(chem._aromatize(heavy), isomeric=False)
-    return dict(zip(FACTS.names, (text, text, text, False, net, charged, chem.radicals(mol), chem.fragments(mol), chem.weight(mol), chem.polar_surface(heavy), chem.rotatable(heavy), len(mol.atoms)), strict=True))
+    canonical, mirrored, has, net, charged, radicals, fragments, symbols, bonds, why = found
+    values = (canonical, mirrored, has, net, charged, radicals, fragments, len(symbols), bonds, sum(s != "H" for s in symbols), sorted(set(symbols)), [symbols.count(e) for e in FIT_ELEMENTS], why)
+    return dict(zip(RECORD.names, values, strict=True))
 
 
-def _geometry_facts(block: str | None, charge: int | None) -> dict | None:
-    own = _block_facts(block)
+def _geometry_record(block: str | None, smiles: str | None, charge: int | None) -> dict | None:
+    own = _record(block, smiles)
     mol = chem.bonds_from_geometry(block, charge or 0) if own else None
     if mol is None:
         return own
@@ -77,16 +93,43 @@ def _geometry_facts(block: str | None, charge: int | None) -> dict | None:
     return own | {"net_charge": net, "charged_atoms": charged, "radicals": chem.radicals(mol), "fragments": chem.fragments(mol)}
 
 
+def _flat(smiles: str | None) -> str | None:
+    return None if smiles is None else chem.flat_smiles(smiles)
+
+
 def _bits(smiles: str | None) -> list[int] | None:
     mol = chem.parse_smiles(smiles)
     return None if mol is None or not mol.atoms else chem.fingerprint(mol)
 
 
-def _frame_lines(symbols: list | None, coordinates: list | None) -> str | None:
-    if symbols is None or coordinates is None:
+FRAME = StructType([StructField("n", IntegerType()), StructField("formula", StringType()), StructField("cnso", IntegerType()), StructField("lines", StringType())])
+DESCRIPTORS = StructType([StructField(n, DoubleType()) for n in ("MolWt", "TPSA", "logP")] + [StructField(n, IntegerType()) for n in ("nrot", "num_atoms", "fragments")])
+
+
+def _block_frame(block: str | None) -> dict | None:
+    if not is_block(block):
+        return None
+    lines = block.split("\n")
+    atoms = lines[4 : 4 + int(lines[3][:3])]
+    if not atoms:
+        return None
+    symbols = [x[31:34].strip() for x in atoms]
+    kinds = sorted(set(symbols))
+    formula = "".join(f"{e}{k if k > 1 else ''}" for e, k in zip(kinds, map(symbols.count, kinds), strict=True))
+    text = "".join([f"{s:2s}  {float(x[:10]):.6f}  {float(x[10:20]):.6f}  {float(x[20:30]):.6f}\n" for s, x in zip(symbols, atoms, strict=True)])
+    return {"n": len(atoms), "formula": formula, "cnso": sum(s in ("C", "N", "S", "O") for s in symbols), "lines": text}
+
+
+@lru_cache(maxsize=20_000)
+def _descriptors(smiles: str | None) -> dict | None:
+    mol = chem.parse_smiles(smiles or None)
+    if mol is None:
         return None
-    rows = zip(symbols, coordinates[::3], coordinates[1::3], coordinates[2::3], strict=True)
-    return "".join(f"{s:2s}  {x:.6f}  {y:.6f}  {z:.6f}\n" for s, x, y, z in rows)
+    return {"MolWt": chem.weight(mol), "TPSA": chem.polar_surface(mol), "logP": chem.partition(mol), "nrot": chem.rotatable(mol), "num_atoms": len(mol.atoms), "fragments": chem.fragments(mol)}
+
+
+def _reordered(block: str | None, smiles: str | None) -> str | None:
+    return chem.reorder_block(block, smiles)
 
 
 def _number_text(value: float | None) -> str | None:
@@ -104,15 +147,22 @@ def fixed_text(places: int) -> Callable:
 
 #: Facts of a SMILES text; null for null and unreadable ones.
 smiles_facts = by_row(_facts, FACTS)
-#: The same of a V2000 block, from its own bonds and charges; null for no valid block.
-block_facts = by_row(_block_facts, FACTS)
-#: The same with bonds and charges from coordinates and the total charge, where they can be worked out.
-geometry_facts = by_row(_geometry_facts, FACTS)
+#: Charges and radicals alone.
+smiles_state = by_row(_state, STATE)
+#: Canonical text without stereo of a SMILES text, and of a V2000 block; null for unreadable ones.
+flat_smiles = by_row(_flat, StringType())
+block_flat = by_row(chem.block_flat, StringType())
+#: (block, SMILES): facts of a V2000 block from its own bonds, charges and coordinates; null for no valid block.
+record_facts = by_row(_record, RECORD)
+#: (block, SMILES, charge): the same with bonds and charges from coordinates and the total charge, where they can be worked out.
+geometry_facts = by_row(_geometry_record, RECORD)
 #: 2048-bit circular fingerprint of a SMILES text as 32 words.
 fingerprint = by_row(_bits, ArrayType(LongType()))
-#: Atom lines of a frame from symbols and flattened coordinates.
-frame_lines = by_row(_frame_lines, StringType())
+#: Atom count, formula, CNSO and atom lines of a frame from a valid block with atoms, else null.
+block_frame = by_row(_block_frame, FRAME)
+#: Weight, polar surface, logP, rotatable bonds, atoms and fragments of a SMILES text; null for null, empty and unreadable ones.
+smiles_descriptors = by_row(_descriptors, DESCRIPTORS)
 #: Python's shortest text of a double.
 number_text = by_row(_number_text, StringType())
-#: A block in canonical atom order.
-reorder_block = by_row(chem.reorder_block, StringType())
+#: (block, SMILES): a block in canonical atom order.
+reorder_block = by_row(_reordered, StringType())

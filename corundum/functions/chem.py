@@ -14,7 +14,7 @@ from functools import lru_cache
 
 from corundum.functions.v2000 import ELEMENTS, is_block
 
-BACKEND = "corundum-1"
+BACKEND = "corundum-2"
 
 # Valences of the elements that SMILES writes without brackets.
 VALENCES = {"B": (3,), "C": (4,), "N": (3, 5), "O": (2,), "P": (3, 5), "S": (2, 4, 6), "F": (1,), "Cl": (1,), "Br": (1,), "I": (1,)}
@@ -85,8 +85,11 @@ class Molecule:
         return self.bonds[(a, b) if a < b else (b, a)]
 
 
-def parse_smiles(text: str | None) -> Molecule | None:
-    """A molecule with its implicit hydrogens counted, or None for null and unreadable texts. Empty text: no atoms."""
+def parse_smiles(text: str | None, aromatize: bool = True) -> Molecule | None:
+    """A molecule with its implicit hydrogens counted, or None for null and unreadable texts. Empty text: no atoms.
+
+    Charges and radicals don't need `aromatize`, which finds aromatic rings that are written with double bonds.
+    """
     if text is None:
         return None
     mol, stack, rings = Molecule(), [], {}
@@ -164,7 +167,8 @@ def parse_smiles(text: str | None) -> Molecule | None:
         last, order, at = here, None, m.end()
     if stack or rings or order is not None:
         return None
-    return _aromatize(_add_hydrogens(mol))
+    mol = _add_hydrogens(mol)
+    return _aromatize(mol) if aromatize else mol
 
 
 def _valence(mol: Molecule) -> list[float]:
@@ -178,7 +182,7 @@ def _valence(mol: Molecule) -> list[float]:
     # An aromatic atom has one more bond than neighbours, but for those that give a pair of electrons.
     for i in ring:
         a = mol.atoms[i]
-        total[i] += a.aromatic and a.symbol not in ("O", "S", "Se") and not (a.bracket and a.hydrogens and a.symbol == "N")
+        total[i] += a.aromatic and a.symbol not in ("O", "S", "Se") and not (a.symbol in ("N", "P") and (a.bracket and a.hydrogens or total[i] >= 3))
     return total
 
 
@@ -192,14 +196,15 @@ def _add_hydrogens(mol: Molecule) -> Molecule:
 
 def parse_block(block: str | None) -> Molecule | None:
     """The molecule of a valid V2000 block, all atoms explicit; None for others. Charges from M  CHG, else from the atom lines."""
-    if not is_block(block):
-        return None
-    lines = block.replace("\r\n", "\n").split("\n")
+    return _read_block(block.replace("\r\n", "\n").split("\n")) if is_block(block) else None
+
+
+def _read_block(lines: list[str]) -> Molecule:
     n, m = int(lines[3][:3]), int(lines[3][3:6])
-    mol = Molecule([Atom(x[31:34].strip(), CHARGE_CODES.get(int(x[36:39].strip() or 0) if x[36:39].strip().isdigit() else 0, 0), bracket=True) for x in lines[4 : 4 + n]])
+    mol = Molecule([Atom(x[31:34].strip(), CHARGE_CODES.get(int(x[36:39]), 0) if x[36:39].strip().isdigit() else 0, bracket=True) for x in lines[4 : 4 + n]])
     for x in lines[4 + n : 4 + n + m]:
         a, b, kind = int(x[:3]) - 1, int(x[3:6]) - 1, int(x[6:9])
-        mol.bonds[(min(a, b), max(a, b))] = 1.5 if kind == 4 else float(kind)
+        mol.bonds[(a, b) if a < b else (b, a)] = 1.5 if kind == 4 else float(kind)
     charges = [x[9:].split() for x in lines[4 + n + m :] if x.startswith("M  CHG")]
     if charges:
         for a in mol.atoms:
@@ -211,6 +216,114 @@ def parse_block(block: str | None) -> Molecule | None:
     return mol
 
 
+def _positions(lines: list[str], n: int, m: int) -> list[tuple[float, float, float]]:
+    """Coordinates of the atom lines; in a flat drawing a wedged neighbour stands above the plane, a hashed one below."""
+    at = [(float(x[:10]), float(x[10:20]), float(x[20:30])) for x in lines[4 : 4 + n]]
+    if any(z for _, _, z in at):
+        return at
+    for x in lines[4 + n : 4 + n + m]:
+        up = {"1": 1.0, "6": -1.0}.get(x[9:12].strip())
+        if up:
+            b = int(x[3:6]) - 1
+            at[b] = (*at[b][:2], up)
+    return at
+
+
+def kekulize(mol: Molecule) -> bool:
+    """Aromatic bonds of a block as single and double ones in place; False, with nothing changed, where they don't go in.
+
+    Every atom of such a bond that has a free valence takes part in one double bond: a matching, found by growing paths.
+    """
+    near: dict[int, list[int]] = {}
+    for (a, b), o in mol.bonds.items():
+        if o == 1.5:
+            near.setdefault(a, []).append(b)
+            near.setdefault(b, []).append(a)
+    used = dict.fromkeys(near, 0.0)
+    for (a, b), o in mol.bonds.items():
+        for i in (a, b):
+            if i in used:
+                used[i] += 1.0 if o == 1.5 else o
+
+    def room(i: int) -> float:
+        a = mol.atoms[i]
+        shift = -abs(a.charge) if a.symbol == "C" else a.charge
+        return VALENCES.get(a.symbol, (0,))[0] + shift - used[i] - a.hydrogens
+
+    want = {i for i in near if room(i) >= 1}
+    mate: dict[int, int] = {}
+
+    def grow(i: int, seen: set[int]) -> bool:
+        for j in near[i]:
+            if j in want and j not in seen:
+                seen |= {i, j}
+                if j not in mate or grow(mate[j], seen):
+                    mate[i], mate[j] = j, i
+                    return True
+        return False
+
+    for i in sorted(want):
+        if i not in mate and not grow(i, set()):
+            return False
+    for (a, b), o in mol.bonds.items():
+        if o == 1.5:
+            mol.bonds[(a, b)] = 2.0 if mate.get(a) == b else 1.0
+    return True
+
+
+def from_template(mol: Molecule, smiles: str | None) -> Molecule | None:
+    """The block's molecule (hydrogens folded) with bonds, charges and aromatic marks of a SMILES of the same connections, or None."""
+    other = parse_smiles(smiles, aromatize=False)
+    if other is None:
+        return None
+    other = without_hydrogens(other)
+    bare = lambda x: Molecule([Atom(a.symbol, isotope=a.isotope) for a in x.atoms], dict.fromkeys(x.bonds, 1.0))
+    mine, theirs = bare(mol), bare(other)
+    if len(mol.atoms) != len(other.atoms) or len(mol.bonds) != len(other.bonds) or sorted(a.symbol for a in mine.atoms) != sorted(a.symbol for a in theirs.atoms):
+        return None
+    here, there = ({r: i for i, r in enumerate(ranks(x))} for x in (mine, theirs))
+    match = {i: here[r] for r, i in there.items()}
+    bonds = {}
+    for (a, b), o in other.bonds.items():
+        key = (min(match[a], match[b]), max(match[a], match[b]))
+        if key not in mol.bonds:
+            return None
+        bonds[key] = o
+    atoms = list(mol.atoms)
+    for i, a in enumerate(other.atoms):
+        if atoms[match[i]].symbol != a.symbol:
+            return None
+        atoms[match[i]] = replace(a, hydrogens=max(a.hydrogens, atoms[match[i]].hydrogens), bracket=True, chirality="", around=[])
+    return Molecule(atoms, bonds)
+
+
+# Elements that are read as tetrahedral centres.
+CENTRES = frozenset(("C", "Si", "Ge", "N", "P", "As", "S", "Se"))
+
+
+def mark_centres(mol: Molecule, at: list[tuple[float, float, float]]) -> bool:
+    """Sets "@" or "@@" on the tetrahedral centres of a molecule (hydrogens folded) from its atoms' positions.
+
+    A centre has four neighbours of different classes, one of them at most a hydrogen. Four neighbours in one plane
+    with it decide nothing. Returns whether any was set.
+    """
+    near = mol.neighbours()
+    able = [i for i, a in enumerate(mol.atoms) if a.symbol in CENTRES and not a.aromatic and len(near[i]) + a.hydrogens == 4 and a.hydrogens <= 1 and (a.symbol != "N" or a.charge == 1)]
+    if not able:
+        return False
+    kind, found = classes(mol), False
+    for i in able:
+        if len({kind[j] for j in near[i]}) < len(near[i]):
+            continue
+        around = [*([-1] if mol.atoms[i].hydrogens else []), *near[i]]
+        (ax, ay, az), (bx, by, bz), (cx, cy, cz) = (tuple(p - q for p, q in zip(at[j], at[i], strict=True)) for j in around[1:])
+        volume = ax * (by * cz - bz * cy) - ay * (bx * cz - bz * cx) + az * (bx * cy - by * cx)
+        if abs(volume) > 1e-3:
+            mol.atoms[i].chirality, mol.atoms[i].around = "@" if volume < 0 else "@@", around
+            found = True
+    return found
+
+
 def without_hydrogens(mol: Molecule) -> Molecule:
     """Plain hydrogen atoms folded into their heavy neighbours."""
     near = mol.neighbours()
@@ -314,52 +427,67 @@ def _aromatize(mol: Molecule) -> Molecule:
     return mol
 
 
-def ranks(mol: Molecule, stereo: bool = True) -> list[int]:
-    """A canonical rank for each atom: refinement over neighbours, remaining ties broken one after another."""
-    n, near, inside = len(mol.atoms), mol.neighbours(), ring_bonds(mol)
-    in_ring = {i for bond in inside for i in bond}
-    keys: list = [(NUMBERS.get(a.symbol, 0), a.isotope, a.charge, a.hydrogens, len(near[i]), a.aromatic, i in in_ring) for i, a in enumerate(mol.atoms)]
-    rank = _dense(keys)
+def _bound(mol: Molecule) -> list[list[tuple[int, int]]]:
+    """(neighbour, twice the order) of every atom."""
+    out: list[list[tuple[int, int]]] = [[] for _ in mol.atoms]
+    for (a, b), o in mol.bonds.items():
+        k = int(2 * o)
+        out[a].append((b, k))
+        out[b].append((a, k))
+    return out
+
+
+def _refine(rank: list[int], bound: list[list[tuple[int, int]]]) -> list[int]:
+    many = len(set(rank))
+    while many < len(rank):
+        rank = _dense([(r, *sorted([16 * rank[j] + k for j, k in x])) for r, x in zip(rank, bound, strict=True)])
+        now = max(rank) + 1
+        if now == many:
+            break
+        many = now
+    return rank
+
 
-    def refine(rank: list[int]) -> list[int]:
-        while True:
-            new = _dense([(rank[i], sorted((rank[j], mol.order(i, j)) for j in near[i])) for i in range(n)])
-            if max(new, default=0) == max(rank, default=0):
-                return new
-            rank = new
+def classes(mol: Molecule, bound: list[list[tuple[int, int]]] | None = None) -> list[int]:
+    """Atoms of equal surroundings have equal numbers; marks of handedness don't count."""
+    bound = bound or _bound(mol)
+    in_ring = {i for bond in ring_bonds(mol) for i in bond}
+    return _refine(_dense([(NUMBERS.get(a.symbol, 0), a.isotope, a.charge, a.hydrogens, len(bound[i]), a.aromatic, i in in_ring) for i, a in enumerate(mol.atoms)]), bound)
 
-    rank = refine(rank)
+
+def ranks(mol: Molecule, stereo: bool = True, kinds: list[int] | None = None) -> list[int]:
+    """A canonical rank for each atom: refinement over neighbours, remaining ties broken one after another.
+
+    `kinds`: the result of classes(), where it is known.
+    """
+    n, bound = len(mol.atoms), _bound(mol)
+    rank = kinds or classes(mol, bound)
     if stereo and any(a.chirality for a in mol.atoms):
         signs = [_handedness(a, [(-1 if j == -1 else rank[j]) for j in a.around]) for a in mol.atoms]
-        rank = refine(_dense([(rank[i], signs[i]) for i in range(n)]))
+        rank = _refine(_dense([(rank[i], signs[i]) for i in range(n)]), bound)
     # Leaves of one kind at one neighbour may take any order; told apart at once they cost no refinement.
     alike: dict[tuple[int, int], list[int]] = {}
-    for i, r in enumerate(rank):
-        if len(near[i]) == 1:
-            alike.setdefault((r, near[i][0]), []).append(i)
     class_size: dict[int, int] = {}
-    for r in rank:
+    for i, r in enumerate(rank):
         class_size[r] = class_size.get(r, 0) + 1
-    place = {i: k for (r, _), group in alike.items() if len(group) == class_size[r] for k, i in enumerate(group)}
+        if len(bound[i]) == 1:
+            alike.setdefault((r, bound[i][0][0]), []).append(i)
+    place = {i: k for (r, _), group in alike.items() if len(group) > 1 and len(group) == class_size[r] for k, i in enumerate(group)}
     if place:
-        rank = refine(_dense([(r, place.get(i, 0)) for i, r in enumerate(rank)]))
+        rank = _refine(_dense([(r, place.get(i, 0)) for i, r in enumerate(rank)]), bound)
     while max(rank, default=-1) + 1 < n:
         seen: dict[int, int] = {}
-        for i, r in enumerate(rank):
+        for r in rank:
             seen[r] = seen.get(r, 0) + 1
         tied = min(r for r, k in seen.items() if k > 1)
         pick = rank.index(tied)
-        rank = refine(_dense([(r, 0 if i == pick else 1) if r == tied else (r, 0) for i, r in enumerate(rank)]))
+        rank = _refine(_dense([(r, 0 if i == pick else 1) if r == tied else (r, 0) for i, r in enumerate(rank)]), bound)
     return rank
 
 
 def _dense(keys: list) -> list[int]:
-    order = {k: i for i, k in enumerate(sorted(set(map(_frozen, keys))))}
-    return [order[_frozen(k)] for k in keys]
-
-
-def _frozen(k):  # noqa: ANN001, ANN202
-    return tuple(map(_frozen, k)) if isinstance(k, (list, tuple)) else k
+    order = {k: i for i, k in enumerate(sorted(set(keys)))}
+    return [order[k] for k in keys]
 
 
 def _odd(order: list) -> bool:
@@ -374,9 +502,12 @@ def _handedness(a: Atom, around: list[int]) -> int:
     return (1 if a.chirality == "@" else -1) * (-1 if _odd(around) else 1)
 
 
-def write_smiles(mol: Molecule, isomeric: bool = True) -> str:
-    """Canonical SMILES: equal for equal molecules of this kernel. Double-bond geometry is not kept."""
-    rank, near = ranks(mol, isomeric), mol.neighbours()
+def write_smiles(mol: Molecule, isomeric: bool = True, rank: list[int] | None = None) -> str:
+    """Canonical SMILES: equal for equal molecules of this kernel. Double-bond geometry is not kept.
+
+    `rank`: the result of ranks() for the same `isomeric`, where it is known.
+    """
+    rank, near = rank or ranks(mol, isomeric), mol.neighbours()
     parts, seen = [], set()
     for root in sorted(range(len(mol.atoms)), key=rank.__getitem__):
         if root not in seen:
@@ -429,7 +560,7 @@ def _write_part(mol: Molecule, root: int, rank: list[int], near: list[list[int]]
         if parent[v] >= 0:
             out.append(_bond(mol, parent[v], v))
         ring = sorted(closures.get(v, []), key=lambda w: (when[w] > when[v], rank[w]))
-        out.append(_atom(mol, v, [*([parent[v]] if parent[v] >= 0 else []), *([-1] if mol.atoms[v].hydrogens == 1 else []), *ring, *children[v]], isomeric))
+        out.append(_atom(mol, v, [*([parent[v]] if parent[v] >= 0 else []), *([-1] if mol.atoms[v].hydrogens == 1 else []), *ring, *children[v]], isomeric, near[v]))
         for w in ring:
             key = (min(v, w), max(v, w))
             if key in digits:
@@ -456,7 +587,7 @@ def _bond(mol: Molecule, a: int, b: int) -> str:
     return "-" if o == 1 and both else "" if o == 1 or o == 1.5 and both else {1.5: ":", 2: "=", 3: "#", 4: "$"}[o]
 
 
-def _atom(mol: Molecule, v: int, order: list[int], isomeric: bool) -> str:
+def _atom(mol: Molecule, v: int, order: list[int], isomeric: bool, near: list[int]) -> str:
     a = mol.atoms[v]
     mark = ""
     if isomeric and a.chirality and len(a.around) == 4 and sorted(a.around) == sorted(order):
@@ -464,17 +595,18 @@ def _atom(mol: Molecule, v: int, order: list[int], isomeric: bool) -> str:
         flip = _odd([place[x] for x in order])
         mark = {"@": "@@", "@@": "@"}[a.chirality] if flip else a.chirality
     symbol = a.symbol.lower() if a.aromatic else a.symbol
-    if a.symbol in VALENCES and not a.charge and not a.isotope and not mark and a.hydrogens == _implied(mol, v):
+    if a.symbol in VALENCES and not a.charge and not a.isotope and not mark and a.hydrogens == _implied(mol, v, near):
         return symbol
     h = "" if not a.hydrogens else "H" if a.hydrogens == 1 else f"H{a.hydrogens}"
     q = "" if not a.charge else ("+" if a.charge > 0 else "-") + (str(abs(a.charge)) if abs(a.charge) > 1 else "")
     return f"[{a.isotope or ''}{symbol}{mark}{h}{q}]"
 
 
-def _implied(mol: Molecule, v: int) -> int:
+def _implied(mol: Molecule, v: int, near: list[int]) -> int:
     a = mol.atoms[v]
-    orders = [o for bond, o in mol.bonds.items() if v in bond]
-    used = sum(1.0 if o == 1.5 else o for o in orders) + (a.aromatic and a.symbol not in ("O", "S", "Se") and 1.5 in orders)
+    orders = [mol.order(v, j) for j in near]
+    used = sum(1.0 if o == 1.5 else o for o in orders)
+    used += a.aromatic and a.symbol not in ("O", "S", "Se") and 1.5 in orders and not (a.symbol in ("N", "P") and used >= 3)
     return max(0, int(next((x for x in VALENCES[a.symbol] if x >= used), used) - used))
 
 
@@ -554,6 +686,152 @@ def rotatable(mol: Molecule) -> int:
     return sum(o == 1 and bond not in inside and all(heavy[i] > 1 and i not in triple for i in bond) for bond, o in mol.bonds.items())
 
 
+# Published contributions of atoms to the partition coefficient, by the names of the published types.
+PARTITION = {
+    "C1": 0.1441, "C2": 0.0, "C3": -0.2035, "C4": -0.2051, "C5": -0.2783, "C6": 0.1551, "C7": 0.0017, "C8": 0.08452, "C9": -0.1444,
+    "C10": -0.0516, "C11": 0.1193, "C12": -0.0967, "C13": -0.5443, "C14": 0.0, "C15": 0.245, "C16": 0.198, "C17": 0.0, "C18": 0.1581,
+    "C19": 0.2955, "C20": 0.2713, "C21": 0.136, "C22": 0.4619, "C23": 0.5437, "C24": 0.1893, "C25": -0.8186, "C26": 0.264, "C27": 0.2148, "CS": 0.08129,
+    "H1": 0.123, "H2": -0.2677, "H3": 0.2142, "H4": 0.298, "HS": 0.1125,
+    "N1": -1.019, "N2": -0.7096, "N3": -1.027, "N4": -0.5188, "N5": 0.08387, "N6": 0.1836, "N7": -0.3187, "N8": -0.4458, "N9": 0.01508, "N10": -1.95,
+    "N11": -0.3239, "N12": -1.119, "N13": -0.3396, "N14": 0.2887, "NS": -0.4806,
+    "O1": 0.1552, "O2": -0.2893, "O3": -0.0684, "O4": -0.4195, "O5": 0.0335, "O6": -0.3339, "O7": -1.189, "O8": 0.1788, "O9": -0.1526, "O10": 0.1129,
+    "O11": 0.4833, "O12": -1.326, "OS": -0.1188,
+    "F": 0.4202, "Cl": 0.6895, "Br": 0.8456, "I": 0.8857, "Hal": -2.996, "P": 0.8612, "S1": 0.6482, "S2": -0.0024, "S3": 0.6237, "Me1": -0.3808, "Me2": -0.0025,
+}
+_HALOGENS = ("F", "Cl", "Br", "I")
+_POLAR_ATOMS = frozenset(("N", "O", "P", "S", *_HALOGENS))
+
+
+def partition(mol: Molecule) -> float:
+    """logP as the sum of published atom contributions (Wildman and Crippen); every hydrogen counts with its atom."""
+    bound = [[(j, k) for j, k in x if mol.atoms[j].symbol != "H"] for x in _bound(mol)]
+    explicit = [a.hydrogens + sum(mol.atoms[j].symbol == "H" for j, _ in x) for a, x in zip(mol.atoms, _bound(mol), strict=True)]
+    total = 0.0
+    for i, a in enumerate(mol.atoms):
+        if a.symbol == "H" and any(j != i for j, _ in _bound(mol)[i]):
+            continue
+        kind, hydrogen = _kinds(mol, i, bound, explicit)
+        total += PARTITION[kind] + explicit[i] * PARTITION[hydrogen]
+    return total
+
+
+def _kinds(mol: Molecule, i: int, bound: list[list[tuple[int, int]]], hydrogens: list[int]) -> tuple[str, str]:
+    """Published types of an atom and of its hydrogens."""
+    a, near, h = mol.atoms[i], bound[i], hydrogens[i]
+    sym = lambda j: mol.atoms[j].symbol
+    arom = lambda j: mol.atoms[j].aromatic
+    doubles, triples = [j for j, k in near if k == 4], [j for j, k in near if k == 6]
+    if a.symbol == "C":
+        return _carbon(mol, a, near, h, doubles, triples), "H1"
+    if a.symbol == "N":
+        return _nitrogen(a, near, h, doubles, triples, arom), "H3"
+    if a.symbol == "O":
+        return _oxygen(mol, a, near, h, doubles, bound, hydrogens)
+    if a.symbol in _HALOGENS:
+        return ("Hal" if a.charge or not near else a.symbol), "H2"
+    if a.symbol == "S":
+        return ("S3" if a.aromatic else "S2" if a.charge or any(sym(j) in _POLAR_ATOMS for j in doubles) else "S1"), "H2"
+    if a.symbol == "P":
+        return "P", "H2"
+    if a.symbol == "H":
+        return ("H1" if not near or sym(near[0][0]) in ("C", "H") else "HS"), "H1"
+    main = a.symbol in ("Li", "Be", "B", "Na", "Mg", "Al", "Si", "K", "Ca", "Ga", "Ge", "As", "Se", "Rb", "Sr", "In", "Sn", "Sb", "Te", "Cs", "Ba", "Pb", "Bi")
+    return ("Me1" if main else "Me2"), "H2"
+
+
+def _carbon(mol: Molecule, a: Atom, near: list, h: int, doubles: list[int], triples: list[int]) -> str:
+    sym = lambda j: mol.atoms[j].symbol
+    arom = lambda j: mol.atoms[j].aromatic
+    if a.aromatic:
+        outside = [(j, k) for j, k in near if k != 3]
+        if h:
+            return "C18"
+        if not outside:
+            return "C19" if len(near) == 3 else "CS"
+        j, k = outside[0]
+        if k == 4:
+            return "C25" if sym(j) in ("C", "N", "O") else "CS"
+        if sym(j) in _HALOGENS:
+            return {"F": "C14", "Cl": "C15", "Br": "C16", "I": "C17"}[sym(j)]
+        if arom(j):
+            return "C20"
+        return {"C": "C21", "N": "C22", "O": "C23", "S": "C24"}.get(sym(j), "C13")
+    if triples or len(doubles) == 2:
+        return "C7" if triples else "C5" if any(sym(j) != "C" for j in doubles) else "C6"
+    if doubles:
+        if sym(doubles[0]) != "C":
+            return "C5"
+        return "C26" if arom(doubles[0]) or any(arom(j) for j, k in near if k == 2) else "C6"
+    if len(near) + h != 4:
+        return "CS"
+    attached = [j for j, _ in near]
+    if any(arom(j) for j in attached):
+        if h == 3:
+            return "C8" if sym(attached[0]) == "C" else "C9"
+        return {2: "C10", 1: "C11", 0: "C12"}[h]
+    if any(sym(j) in _POLAR_ATOMS for j in attached):
+        return "C3" if h >= 2 else "C4"
+    if all(sym(j) == "C" for j in attached):
+        return "C1" if h >= 2 else "C2"
+    return "C27"
+
+
+def _nitrogen(a: Atom, near: list, h: int, doubles: list[int], triples: list[int], arom) -> str:  # noqa: ANN001
+    if a.aromatic:
+        return "N12" if a.charge > 0 else "N11"
+    if a.charge > 0:
+        if h:
+            return "N10"
+        return "N14" if triples or len(doubles) == 2 else "N13"
+    if a.charge < 0:
+        return "N14" if doubles or triples else "NS"
+    if triples:
+        return "N9"
+    if doubles:
+        return "N5" if h else "N6"
+    ring = any(arom(j) for j, _ in near)
+    if h >= 2:
+        return "N3" if ring else "N1"
+    if h == 1:
+        return "N4" if ring else "N2"
+    return ("N8" if ring else "N7") if len(near) == 3 else "NS"
+
+
+def _oxygen(mol: Molecule, a: Atom, near: list, h: int, doubles: list[int], bound: list, hydrogens: list[int]) -> tuple[str, str]:
+    sym = lambda j: mol.atoms[j].symbol
+    arom = lambda j: mol.atoms[j].aromatic
+    if a.aromatic:
+        return "O1", "H2"
+    if h:
+        # An acid's hydrogen stands apart from an alcohol's.
+        j = near[0][0] if near else -1
+        acid = j >= 0 and not arom(j) and (sym(j) == "C" and any(k == 4 and sym(x) in ("C", "N", "O", "S") for x, k in bound[j]) or sym(j) in ("O", "S"))
+        return "O2", "H3" if j >= 0 and sym(j) == "N" else "H4" if acid else "H2"
+    if a.charge < 0 and near:
+        j = near[0][0]
+        if sym(j) == "C" and any(k == 4 and sym(x) == "O" for x, k in bound[j]):
+            return "O12", "H2"
+        return {"N": "O5", "S": "O6"}.get(sym(j), "O7"), "H2"
+    if doubles:
+        j = doubles[0]
+        if sym(j) in ("N", "O"):
+            return "O5", "H2"
+        if sym(j) == "S":
+            return "O6", "H2"
+        if sym(j) != "C":
+            return "O7", "H2"
+        if arom(j):
+            return "O8", "H2"
+        others = [x for x, _ in bound[j] if mol.atoms[x] is not a]
+        polar = sum(sym(x) != "C" for x in others)
+        if polar == 2 or polar == 1 and hydrogens[j] == 0 and len(others) == 1:
+            return "O11", "H2"
+        return ("O10" if any(arom(x) for x in others) else "O9"), "H2"
+    if len(near) == 2:
+        return ("O4" if any(arom(j) for j, _ in near) else "O3"), "H2"
+    return "OS", "H2"
+
+
 def fingerprint(mol: Molecule, bits: int = 2048, radius: int = 2) -> list[int]:
     """Circular fingerprint as 64-bit words: environments of up to `radius` bonds around every atom, hashed."""
     import xxhash
@@ -581,37 +859,128 @@ def fingerprint(mol: Molecule, bits: int = 2048, radius: int = 2) -> list[int]:
 
 @lru_cache(maxsize=20_000)
 def smiles_facts(text: str) -> tuple | None:
-    """(canonical, flat, mirrored, stereo, net charge, charged atoms, radicals, fragments, weight, polar surface, rotatable, atoms) or None."""
+    """(canonical, flat, mirrored, stereo, net charge, charged atoms, radicals, fragments, weight, polar surface, rotatable, atoms, logP) or None."""
     mol = parse_smiles(text)
     if mol is None:
         return None
-    has = any(a.chirality for a in mol.atoms)
-    canonical = write_smiles(mol)
+    canonical, flat, mirrored, has = _texts(mol)
     net, charged = charges(mol)
     return (
-        canonical, write_smiles(mol, isomeric=False) if has else canonical, write_smiles(mirror(mol)) if has else canonical, has,
-        net, charged, radicals(mol), fragments(mol), weight(mol), polar_surface(mol), rotatable(mol), len(mol.atoms),
+        canonical, flat if flat else write_smiles(mol, isomeric=False), mirrored, has,
+        net, charged, radicals(mol), fragments(mol), weight(mol), polar_surface(mol), rotatable(mol), len(mol.atoms), partition(mol),
     )
 
 
-def reorder_block(block: str | None) -> str | None:
-    """The block with its atoms in canonical order, bonds renumbered and sorted; null for no valid block."""
+def _texts(mol: Molecule) -> tuple[str, str | None, str, bool]:
+    """(canonical, the same without stereo if there is none, mirrored, whether there is stereo)."""
+    kinds = classes(mol)
+    has = any(a.chirality for a in mol.atoms)
+    canonical = write_smiles(mol, rank=ranks(mol, kinds=kinds))
+    if not has:
+        return canonical, canonical, canonical, False
+    other = mirror(mol)
+    return canonical, None, write_smiles(other, rank=ranks(other, kinds=kinds)), True
+
+
+@lru_cache(maxsize=20_000)
+def smiles_state(text: str) -> tuple[int, int, int] | None:
+    """(net charge, charged atoms, radicals) or None: what a filter of chemical states needs, without rings and texts."""
+    mol = parse_smiles(text, aromatize=False)
+    return None if mol is None else (*charges(mol), radicals(mol))
+
+
+@lru_cache(maxsize=20_000)
+def flat_smiles(text: str) -> str | None:
+    """Canonical text without stereo, or None."""
+    mol = parse_smiles(text)
+    return None if mol is None else write_smiles(mol, isomeric=False)
+
+
+def _structure(lines: list[str], smiles: str | None = None) -> tuple[Molecule, Molecule | None, str | None]:
+    """(molecule with all atoms, the same with folded hydrogens and whole bonds, why that failed) of a valid block's lines."""
+    mol = _read_block(lines)
+    whole = all(o != 1.5 for o in mol.bonds.values()) or kekulize(mol)
+    heavy = without_hydrogens(mol)
+    if whole:
+        return mol, heavy, None
+    if not smiles:
+        return mol, None, "kekulize failed, no SMILES for template"
+    heavy = from_template(heavy, smiles)
+    if heavy is None:
+        return mol, None, "SMILES tag unparseable" if parse_smiles(smiles, aromatize=False) is None else "template fallback failed"
+    return mol, heavy, None
+
+
+def block_texts(block: str | None, smiles: str | None = None) -> tuple | None:
+    """(canonical, mirrored, stereo, net charge, charged atoms, radicals, fragments, symbols, bonds, why there is no text) of a valid block.
+
+    Canonical text and handedness come from bonds and coordinates (a flat drawing's wedges). Aromatic bonds that can't
+    be written as single and double ones are taken from `smiles` if it has the same connections; else texts are None.
+    """
+    if not is_block(block):
+        return None
+    lines = block.rstrip("\r\n").replace("\r\n", "\n").split("\n")
+    mol, heavy, why = _structure(lines, smiles)
+    net, charged = charges(mol)
+    facts = (net, charged, radicals(mol), fragments(mol), [a.symbol for a in mol.atoms], len(mol.bonds), why)
+    if heavy is None:
+        return (None, None, False, *facts)
+    heavy = _aromatize(heavy)
+    at = _positions(lines, len(mol.atoms), len(mol.bonds))
+    mark_centres(heavy, [at[i] for i in _kept(mol)])
+    canonical, _, mirrored, has = _texts(heavy)
+    return (canonical, mirrored, has, *facts)
+
+
+def block_flat(block: str | None) -> str | None:
+    """Canonical text of a valid block without stereo, from its own bonds; None for others."""
     mol = parse_block(block)
-    if mol is None:
+    return None if mol is None else write_smiles(_aromatize(without_hydrogens(mol)), isomeric=False)
+
+
+def reorder_block(block: str | None, smiles: str | None = None) -> str | None:
+    """The block with its atoms in canonical order, bonds renumbered and sorted; null for no valid block.
+
+    Hydrogens that count with a heavy atom follow behind all others, in the order of their atoms. Bonds that a template
+    had to give are written as it gives them.
+    """
+    if not is_block(block):
         return None
-    rank = ranks(mol)
     lines = block.rstrip("\r\n").replace("\r\n", "\n").split("\n")
     n, m = int(lines[3][:3]), int(lines[3][3:6])
-    order = sorted(range(n), key=rank.__getitem__)
+    mol, heavy, _ = _structure(lines, smiles)
+    if heavy is None:
+        heavy = without_hydrogens(mol)
+    kept = _kept(mol)
+    at = _positions(lines, n, m)
+    drawn = any(x[6:9].strip() == "4" for x in lines[4 + n : 4 + n + m])
+    written = {(kept[a], kept[b]): o for (a, b), o in heavy.bonds.items()} if drawn else {}
+    heavy = _aromatize(heavy)
+    mark_centres(heavy, [at[i] for i in kept])
+    place = dict(zip(kept, ranks(heavy), strict=True))
+    near = mol.neighbours()
+    order = sorted(range(n), key=lambda i: (0, place[i], i) if i in place else (1, place[near[i][0]], i))
     new = {old: i + 1 for i, old in enumerate(order)}
-    bonds = sorted((tuple(sorted((new[int(x[:3]) - 1], new[int(x[3:6]) - 1]))), x[6:]) for x in lines[4 + n : 4 + n + m])
+    bonds = []
+    for x in lines[4 + n : 4 + n + m]:
+        a, b = int(x[:3]) - 1, int(x[3:6]) - 1
+        o = written.get((min(a, b), max(a, b)))
+        # A wedge belongs to the atom it starts from, so only plain bonds are written from the lower number.
+        pair = (new[a], new[b]) if x[9:12].strip() in ("1", "6") else tuple(sorted((new[a], new[b])))
+        bonds.append((pair, (f"{4 if o == 1.5 else int(o):3d}" if o else x[6:9]) + x[9:]))
     rest = []
     for x in lines[4 + n + m :]:
         if x.startswith(("M  CHG", "M  RAD", "M  ISO")):
             pairs = x[9:].split()
             x = x[:9] + "".join(f" {new[int(i) - 1]:3d} {q:>3s}" for i, q in zip(pairs[::2], pairs[1::2], strict=False))
         rest.append(x)
-    return "\n".join([*lines[:4], *[lines[4 + i] for i in order], *[f"{a:3d}{b:3d}{tail}" for (a, b), tail in bonds], *rest])
+    return "\n".join([*lines[:4], *[lines[4 + i] for i in order], *[f"{a:3d}{b:3d}{tail}" for (a, b), tail in sorted(bonds)], *rest])
+
+
+def _kept(mol: Molecule) -> list[int]:
+    """Atoms that without_hydrogens keeps, in their order."""
+    near = mol.neighbours()
+    return [i for i, a in enumerate(mol.atoms) if not (a.symbol == "H" and not a.charge and not a.isotope and len(near[i]) == 1 and mol.atoms[near[i][0]].symbol != "H")]
 
 
 # Covalent radii in angstrom.

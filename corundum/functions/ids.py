@@ -57,6 +57,11 @@ def zinc_other(zinc_id: Column) -> Column:
     return F.when(zinc_number(zinc_id).isNull(), F.nullif(_alnum(zinc_id), F.lit("")))
 
 
+def zinc_name(zinc_id: Column) -> Column:
+    """One text for all spellings of a molecule id: ZINC and 12 digits, else its upper-case letters and digits; null for null and blank ids."""
+    return F.coalesce(zinc_text(zinc_number(zinc_id)), zinc_other(zinc_id))
+
+
 def zinc_text(number: Column) -> Column:
     """ZINC and at least 12 digits."""
     return F.concat(F.lit("ZINC"), F.when(F.length(number.cast("string")) >= 12, number.cast("string")).otherwise(F.lpad(number.cast("string"), 12, "0")))

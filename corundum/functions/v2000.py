@@ -43,13 +43,22 @@ def _count(line: Column, start: int) -> Column:
     return F.trim(_cut(line, start, 3)).try_cast("int")
 
 
-def counts(lines: Column) -> tuple[Column, Column]:
-    """(atoms, bonds) of the counts line, null where the columns hold no unsigned number."""
-    head = F.get(lines, F.lit(3))
+def head_line(block: Column) -> Column:
+    """The counts line of a block; null for a null block or one of fewer lines."""
+    return F.get(F.split(F.substring_index(block, "\n", 4), r"\r?\n"), F.lit(3))
+
+
+def head_counts(head: Column) -> tuple[Column, Column]:
+    """(atoms, bonds) of a counts line, null where the columns hold no unsigned number."""
     ok = lambda s: F.when(_cut(head, s, 3).rlike(r"\A *[0-9]+ *\z"), _count(head, s))
     return ok(1), ok(4)
 
 
+def counts(lines: Column) -> tuple[Column, Column]:
+    """(atoms, bonds) of the counts line among a block's lines."""
+    return head_counts(F.get(lines, F.lit(3)))
+
+
 _COORDINATE = frozenset("0123456789+-. eE")
 _COUNT = frozenset("0123456789 ")
 _ELEMENTS = frozenset(ELEMENTS)

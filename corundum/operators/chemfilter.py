@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corundum.functions.arrow import block_facts, geometry_facts, smiles_facts
+from corundum.functions.arrow import geometry_facts, record_facts, smiles_state
 from corundum.schema import PRESETS
 
 
@@ -21,29 +21,34 @@ def state_reason(net: Column, charged: Column, unpaired: Column, preset: str = "
 
 def filter_smiles(df: DataFrame, smiles: str, preset: str = "neutral_closed_shell") -> DataFrame:
     """df with filter_status (ok, rejected) and filter_reason; a null or unreadable SMILES is `smiles_unparseable`."""
-    facts = df.withColumn("__f", smiles_facts(F.col(smiles)))
+    facts = df.withColumn("__f", smiles_state(F.col(smiles)))
     reason = F.when(F.col("__f").isNull(), "smiles_unparseable").otherwise(state_reason(F.col("__f.net_charge"), F.col("__f.charged_atoms"), F.col("__f.radicals"), preset))
     return _tagged(facts, reason)
 
 
-def filter_blocks(df: DataFrame, preset: str = "neutral_closed_shell", elements: tuple[str, ...] | None = None, heavy: tuple[int, int] | None = None, geometry: bool = False) -> DataFrame:
+def block_record(df: DataFrame, geometry: bool = False) -> Column:
+    """The facts of each row's mol_block; SMILES, if there is such a column, serves as the template for its bonds."""
+    smiles = F.col("SMILES") if "SMILES" in df.columns else F.lit(None).cast("string")
+    return geometry_facts(F.col("mol_block"), smiles, F.col("FormalCharge")) if geometry else record_facts(F.col("mol_block"), smiles)
+
+
+def filter_blocks(
+    df: DataFrame, preset: str = "neutral_closed_shell", elements: tuple[str, ...] | None = None, heavy: tuple[int, int] | None = None, geometry: bool = False, facts: Column | None = None
+) -> DataFrame:
     """df with filter_status (ok, rejected, mol_corrupt) and filter_reason, from the blocks' own bonds and charges.
 
     `elements` and `heavy` are the documented options: a whitelist of elements and a range of heavy atoms; they are
     checked after the preset. With `geometry` bonds and charges are worked out from the coordinates and FormalCharge,
-    and the block's own ones serve where that fails.
+    and the block's own ones serve where that fails. `facts`: the result of block_record, if it is at hand.
     """
-    from corundum.functions.v2000 import atom_symbols
-
-    facts = df.withColumn("__f", geometry_facts(F.col("mol_block"), F.col("FormalCharge")) if geometry else block_facts(F.col("mol_block")))
-    symbols = atom_symbols(F.col("mol_block"))
+    out = df.withColumn("__f", block_record(df, geometry) if facts is None else facts)
     reason = state_reason(F.col("__f.net_charge"), F.col("__f.charged_atoms"), F.col("__f.radicals"), preset)
     if elements is not None:
-        reason = F.coalesce(reason, F.when(~F.forall(symbols, lambda s: s.isin(*elements)), "element"))
+        reason = F.coalesce(reason, F.when(~F.forall("__f.elements", lambda s: s.isin(*elements)), "element"))
     if heavy is not None:
-        n = F.size(F.filter(symbols, lambda s: s != "H"))
+        n = F.col("__f.heavy_atoms")
         reason = F.coalesce(reason, F.when(~n.between(*heavy), F.concat(F.lit("heavy_atoms="), n.cast("string"))))
-    return _tagged(facts, F.when(F.col("__f").isNull(), "could not parse mol_block").otherwise(reason), F.col("__f").isNull())
+    return _tagged(out, F.when(F.col("__f").isNull(), "could not parse mol_block").otherwise(reason), F.col("__f").isNull())
 
 
 def _tagged(facts: DataFrame, reason: Column, corrupt: Column | None = None) -> DataFrame:

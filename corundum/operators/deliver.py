@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from corundum.functions.arrow import by_row, fixed_text, frame_lines, number_text, smiles_facts
-from corundum.functions.v2000 import atoms, block_valid, formula
+from corundum.functions.arrow import block_frame, by_row, fixed_text, number_text, smiles_descriptors
+from corundum.functions.v2000 import formula
 
 CNSO = ("C", "N", "S", "O")
+#: Largest number of atoms, and of bonds, that a V2000 counts line can show.
+V2000_MOST = 999
 
 
 def with_composition(df: DataFrame, symbols: Column) -> DataFrame:
@@ -24,33 +26,31 @@ def _shown(c: Column, missing: str = "") -> Column:
 def frames(batch: DataFrame, family: str = "QM40") -> DataFrame:
     """row_seq and `frame`: atom count, a line of key,value pairs, one line for each atom.
 
-    Rows whose block is not valid or has no atom line are left out. Missing values are shown empty, except the charge (0), multiplicity
-    and iconf (1). tpsa and nrot come from the CanonicalSMILES; logp stays empty, as this kernel has no such table.
+    Rows whose block is not valid or has no atom line are left out. Missing values are shown empty, except the charge (0),
+    multiplicity and iconf (1). tpsa, logp and nrot come from the CanonicalSMILES. A block is read once, by one Arrow
+    function that gives composition and atom lines.
     """
-    read = batch.filter(block_valid("mol_block")).withColumn("__a", atoms(F.col("mol_block"))).filter(F.size("__a") > 0)
-    read = with_composition(read, F.transform("__a", lambda a: a["symbol"])).withColumn("__f", F.when(F.col("CanonicalSMILES") != "", smiles_facts(F.col("CanonicalSMILES"))))
-    two = fixed_text(2)
+    read = batch.withColumns({"__a": block_frame(F.col("mol_block")), "__f": smiles_descriptors(F.col("CanonicalSMILES"))}).filter("__a is not null")
+    two, a = fixed_text(2), F.col("__a")
     pairs = {
-        "SourceID": _shown(F.col("SourceID")), "CompoundID": _shown(F.col("CompoundID")), "Formula": F.col("Formula"), "Nat": F.col("Nat"), "CNSO": F.col("CNSO"),
+        "SourceID": _shown(F.col("SourceID")), "CompoundID": _shown(F.col("CompoundID")), "Formula": a["formula"], "Nat": a["n"], "CNSO": a["cnso"],
         "chrg": _shown(F.col("FormalCharge"), "0"), "mult": _shown(F.col("Multiplicity"), "1"), "E": _shown(number_text(F.col("Energy_Ha"))), "fmax": F.lit(""), "Family": F.lit(family),
-        "smiles": _shown(F.col("CanonicalSMILES")), "tpsa": _shown(two(F.col("__f.TPSA"))), "logp": F.lit(""), "nrot": _shown(F.col("__f.nrot")), "nfrag": F.lit("1"), "iconf": _shown(F.col("ICONF"), "1"),
+        "smiles": _shown(F.col("CanonicalSMILES")), "tpsa": _shown(two(F.col("__f.TPSA"))), "logp": _shown(two(F.col("__f.logP"))), "nrot": _shown(F.col("__f.nrot")), "nfrag": F.lit("1"), "iconf": _shown(F.col("ICONF"), "1"),
     }
     comment = F.concat_ws(",", *[x for k, v in pairs.items() for x in (F.lit(k), v.cast("string"))])
-    lines = frame_lines(F.transform("__a", lambda a: a["symbol"]), F.flatten(F.transform("__a", lambda a: F.array(a["x"], a["y"], a["z"]))))
-    return read.select("row_seq", F.concat(F.col("Nat").cast("string"), F.lit("\n"), comment, F.lit("\n"), lines).alias("frame"))
+    return read.select("row_seq", F.concat(a["n"].cast("string"), F.lit("\n"), comment, F.lit("\n"), a["lines"]).alias("frame"))
 
 
 def xyz_text(block: Column) -> Column:
-    """Element and coordinates of each atom line, one a line, six decimals."""
-    a = atoms(block)
-    return frame_lines(F.transform(a, lambda x: x["symbol"]), F.flatten(F.transform(a, lambda x: F.array(x["x"], x["y"], x["z"]))))
+    """Element and coordinates of each atom line of a valid block, one a line, six decimals."""
+    return block_frame(block)["lines"]
 
 
 def _block(title: str | None, molecule: dict | None) -> str | None:
     if molecule is None or molecule["symbols"] is None:
         return None
     s, xyz, pairs = molecule["symbols"], molecule["coordinates"], molecule["bonds"] or []
-    if len(s) > 999 or len(pairs) > 999 or any(x is None for x in xyz):
+    if len(s) > V2000_MOST or len(pairs) > V2000_MOST or any(x is None for x in xyz):
         return None
     lines = [title or "", "  corundum", "", f"{len(s):3d}{len(pairs):3d}  0  0  0  0  0  0  0  0999 V2000"]
     lines += [f"{xyz[3 * i]:10.4f}{xyz[3 * i + 1]:10.4f}{xyz[3 * i + 2]:10.4f} {e:<3s} 0  0  0  0  0  0  0  0  0  0  0  0" for i, e in enumerate(s)]
@@ -63,6 +63,12 @@ def build_block(title: Column, symbols: Column, coordinates: Column, bonds: Colu
     return by_row(_block, StringType())(title, F.struct(symbols.alias("symbols"), coordinates.alias("coordinates"), bonds.alias("bonds")))
 
 
+def block_refusal(symbols: Column, coordinates: Column, bonds: Column) -> Column:
+    """Why build_block gives no block, else null."""
+    few = (F.size(symbols) <= V2000_MOST) & (F.coalesce(F.size(bonds), F.lit(0)) <= V2000_MOST)
+    return F.when(symbols.isNull() | coordinates.isNull(), "no atoms").when(~few, f"beyond {V2000_MOST} atoms or bonds").when(F.exists(coordinates, lambda x: x.isNull()), "a coordinate is missing")
+
+
 def sdf_record(block: Column, tags: dict[str, Column]) -> Column:
     """A record of a structure file: the block, then each tag that is not null, then $$$$."""
     shown = [F.when(v.isNotNull(), F.concat(F.lit(f"> <{k}>\n"), v.cast("string"), F.lit("\n\n"))) for k, v in tags.items()]

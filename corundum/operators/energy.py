@@ -55,14 +55,14 @@ def fit_composition(df: DataFrame, counts: list[str], energy: str) -> dict[str,
     return {counts[i]: float(b) for i, b in zip(used, beta, strict=True)}
 
 
-def flag_outliers(df: DataFrame, counts: list[str], energy: str, threshold: float = THRESHOLD) -> tuple[DataFrame, dict[str, float]]:
+def flag_outliers(df: DataFrame, counts: list[str], energy: str, threshold: float = THRESHOLD, written: bool = False) -> tuple[DataFrame, dict[str, float]]:
     """(df with residual, z_residual and energy_status, coefficients).
 
     energy_status: `flagged` if |z| > threshold, `energy_nonfinite` for null, NaN and infinite energies, which take no
     part in the fit, else `ok`. With a median deviation of 0 nothing is flagged and z is null. The fit and the medians
-    read a narrow copy of counts and energies, written once.
+    read a narrow copy of counts and energies, written once, or df itself if it is `written` already.
     """
-    narrow = materialise(df.select(*counts, energy))
+    narrow = df if written else materialise(df.select(*counts, energy))
     beta = fit_composition(narrow, counts, energy)
     fitted = sum((F.col(c) * b for c, b in beta.items()), F.lit(0.0))
     residual = F.when(_finite(F.col(energy)), F.col(energy) - fitted)
@@ -87,13 +87,16 @@ def block_counts(block: Column, elements: tuple[str, ...]) -> Column:
     return by_row(count, ArrayType(IntegerType()))(block)
 
 
-def energy_prefilter(batch: DataFrame, threshold: float = THRESHOLD, elements: tuple[str, ...] = FIT_ELEMENTS) -> DataFrame:
-    """The stage over batch records: composition from the atom lines; records without a readable one are `mol_corrupt`."""
+def energy_prefilter(batch: DataFrame, threshold: float = THRESHOLD, elements: tuple[str, ...] = FIT_ELEMENTS, counts: Column | None = None, written: bool = False) -> DataFrame:
+    """The stage over batch records: composition from the atom lines; records without a readable one are `mol_corrupt`.
+
+    `counts`: the atoms of each of the elements, if they are at hand.
+    """
     names = [f"n_{e}" for e in elements]
-    counted = batch.withColumn("__counts", block_counts(F.col("mol_block"), elements)).withColumns({n: F.get("__counts", F.lit(i)) for i, n in enumerate(names)})
+    counted = batch.withColumn("__counts", block_counts(F.col("mol_block"), elements) if counts is None else counts).withColumns({n: F.get("__counts", F.lit(i)) for i, n in enumerate(names)})
     # A corrupt record has null counts and so neither takes part in the fit nor gets a residual.
     energy = F.when(F.col("__counts").isNotNull(), F.col("Energy_Ha"))
-    done, _ = flag_outliers(counted.withColumn("__energy", energy), names, "__energy", threshold)
+    done, _ = flag_outliers(counted.withColumn("__energy", energy), names, "__energy", threshold, written)
     status = F.when(F.col("__counts").isNull(), "mol_corrupt").otherwise(F.col("energy_status"))
     return done.withColumn("energy_status", status).drop("__counts", "__energy", *names)
 

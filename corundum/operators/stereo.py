@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corundum.functions.arrow import smiles_facts
 from corundum.operators.dedup import mirror_removal
 
 
-def stereo_filter(df: DataFrame, smiles: str = "CanonicalSMILES", order: str = "row_seq") -> DataFrame:
-    """df with stereo_status: kept, removed_enantiomer, skipped_no_smiles (null or empty) or smiles_unparseable."""
-    facts = df.withColumn("__f", F.when(F.col(smiles) != "", smiles_facts(F.col(smiles))))
+def stereo_filter(df: DataFrame, smiles: str = "CanonicalSMILES", order: str = "row_seq", facts: Column | None = None) -> DataFrame:
+    """df with stereo_status: kept, removed_enantiomer, skipped_no_smiles (null or empty) or smiles_unparseable.
+
+    `facts`: a struct with canonical, mirrored and has_stereo of the structure that `smiles` shows, if it is at hand.
+    """
+    found = df.withColumn("__f", F.when(F.col(smiles) != "", smiles_facts(F.col(smiles)) if facts is None else facts))
     has = F.col("__f.has_stereo")
-    done = mirror_removal(facts, F.when(has, F.col("__f.canonical")), F.when(has, F.col("__f.mirrored")), order)
+    done = mirror_removal(found, F.when(has, F.col("__f.canonical")), F.when(has, F.col("__f.mirrored")), order)
     status = F.when(F.coalesce(F.col(smiles), F.lit("")) == "", "skipped_no_smiles").when(F.col("__f").isNull(), "smiles_unparseable").otherwise(F.col("stereo_status"))
     return done.withColumn("stereo_status", status).drop("__f")

@@ -7,9 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corundum.functions.arrow import block_facts, fingerprint, smiles_facts
-from corundum.functions.ids import compound_of, zinc_text
-from corundum.functions.v2000 import block_lines, block_valid, counts
+from corundum.functions.arrow import block_flat, fingerprint, flat_smiles, number_text, smiles_state
+from corundum.functions.arrow import smiles_descriptors as descriptors
+from corundum.functions.ids import compound_of
+from corundum.functions.v2000 import block_valid, head_counts, head_line
 from corundum.operators import assemble, chemfilter, contract, dedup, deliver, energy, integrity, similarity, stats, stereo
 from corundum.plans import pipeline
 from corundum.schema import FIT_ELEMENTS, PRESETS
@@ -99,7 +100,7 @@ SELECT o_orderkey, round(res, 4) AS residual, round(z, 4) AS z_residual, CASE WH
 def chemical_filter_presets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """each preset over every main row."""
     main = read_table(spark, sf_dir, "main").select("Zinc_id", "smile", "loaded_at")
-    facts = main.withColumn("_f", smiles_facts(F.col("smile")))
+    facts = main.withColumn("_f", smiles_state(F.col("smile")))
     reason = lambda p: F.when(F.col("_f").isNull(), "smiles_unparseable").otherwise(chemfilter.state_reason(F.col("_f.net_charge"), F.col("_f.charged_atoms"), F.col("_f.radicals"), p))
     each = F.explode(F.array(*[F.struct(F.lit(p).alias("preset"), reason(p).alias("filter_reason")) for p in PRESETS])).alias("x")
     out = facts.select("Zinc_id", "loaded_at", each).select("Zinc_id", "loaded_at", "x.*")
@@ -127,7 +128,7 @@ def integrity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     It takes truncated blocks and bad atom or bond lines; integrity_full is the whole check.
     """
     batch = _batch(spark, sf_dir, "row_seq", "mol_block", "num_atoms", "num_bonds", "CanonicalSMILES", "CompoundID", "Energy_Ha")
-    atoms, _ = counts(block_lines(F.col("mol_block")))
+    atoms, _ = head_counts(head_line(F.col("mol_block")))
     return integrity.integrity(batch, atoms.isNotNull() & F.col("mol_block").contains("V2000")).select("row_seq", "validate_status", "validate_errors")
 
 
@@ -150,7 +151,7 @@ def integrity_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     without stereo; an unreadable text is a mismatch.
     """
     batch = _batch(spark, sf_dir, "row_seq", "mol_block", "num_atoms", "num_bonds", "CanonicalSMILES", "CompoundID", "Energy_Ha")
-    read = batch.withColumns({"__valid": block_valid("mol_block"), "__own": block_facts(F.col("mol_block"))["canonical"], "__stored": smiles_facts(F.col("CanonicalSMILES"))["flat"]})
+    read = batch.withColumns({"__own": block_flat(F.col("mol_block")), "__stored": flat_smiles(F.col("CanonicalSMILES"))}).withColumn("__valid", F.col("__own").isNotNull())
     own = F.when(F.col("__stored") == F.col("__own"), F.col("CanonicalSMILES")).otherwise(F.col("__own"))
     return integrity.integrity(read, F.col("__valid"), own).select("row_seq", "validate_status", "validate_errors")
 
@@ -222,19 +223,20 @@ SELECT 'ZINC' || lpad(CAST(m.key AS VARCHAR), 12, '0') AS SourceID, smile AS SMI
 
 
 def built_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Structure-file records of the assembled molecules."""
+    """Structure-file records of the assembled molecules; one that fits no block has a reason instead."""
     m = assemble.assemble(*(read_table(spark, sf_dir, t) for t in ("main", "xyz", "bond")))
     block = deliver.build_block(F.col("SourceID"), F.col("symbols"), F.col("coordinates"), F.col("bonds"))
     six = deliver.fixed_text(6)
     tags = {"Energy_Ha": assemble.energy_text(F.col("Energy_Ha")), "FormalCharge": F.col("FormalCharge"), "Multiplicity": F.col("Multiplicity"), "SMILES": F.col("SMILES"), "SourceID": F.col("SourceID")}
     tags |= {t: six(F.col(t)) for t in ("HOMO_Ha", "LUMO_Ha", "HL_Gap_Ha")} | {"PartialCharges": assemble.charge_text(F.col("charges"))}
-    return m.select("SourceID", deliver.sdf_record(block, tags).alias("record")).filter("record is not null")
+    why = deliver.block_refusal(F.col("symbols"), F.col("coordinates"), F.col("bonds"))
+    return m.select("SourceID", deliver.sdf_record(block, tags).alias("record"), why.alias("reject_reason"))
 
 
 def composition_formula(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Formula and CNSO of each molecule's first delivery."""
     done = deliver.with_composition(_molecules(spark, sf_dir), F.col("symbols"))
-    return done.select(zinc_text(F.col("key")).alias("zinc_id"), "Formula", "Nat", "CNSO")
+    return done.select(F.col("key").alias("zinc_id"), "Formula", "Nat", "CNSO")
 
 
 _FORMULA = f"""
@@ -260,7 +262,7 @@ def element_whitelist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F10 (documented option): molecules of whitelisted elements with 10 to 30 heavy atoms."""
     m, heavy = _molecules(spark, sf_dir), F.size(F.filter("symbols", lambda s: s != "H"))
     good = m.filter(F.forall("symbols", lambda s: s.isin("H", "C", "N", "O", "F")) & heavy.between(10, 30))
-    return good.select(zinc_text(F.col("key")).alias("zinc_id"), heavy.alias("heavy_atoms"))
+    return good.select(F.col("key").alias("zinc_id"), heavy.alias("heavy_atoms"))
 
 
 _WHITELIST = f"""WITH {_ATOMS} SELECT 'ZINC' || lpad(CAST(key AS VARCHAR), 12, '0') AS zinc_id, CAST(count(*) FILTER (atom <> 'H') AS INTEGER) AS heavy_atoms
@@ -333,9 +335,9 @@ SELECT CAST(stage_no AS INTEGER) AS stage_no, stage, rejected, passed FROM r"""
 def smiles_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Descriptors of every record of the batch; each structure is worked out once."""
     batch = _batch(spark, sf_dir, "row_seq", "CompoundID", "SourceID", "CanonicalSMILES", "Energy_Ha")
-    forms = batch.select("CanonicalSMILES").filter("CanonicalSMILES <> ''").distinct().withColumn("_f", smiles_facts(F.col("CanonicalSMILES")))
-    met = salted_join(batch, forms, ["CanonicalSMILES"])
-    return met.select("row_seq", "CompoundID", "SourceID", "CanonicalSMILES", *[F.col(f"_f.{c}").alias(c) for c in ("MolWt", "TPSA", "nrot", "num_atoms", "fragments")], "Energy_Ha")
+    forms = batch.filter("CanonicalSMILES <> ''").groupBy("CanonicalSMILES").agg(F.count(F.lit(1)).alias("__rows")).withColumn("_f", descriptors(F.col("CanonicalSMILES")))
+    met = salted_join(batch, forms, ["CanonicalSMILES"], weight="__rows", by=["row_seq"])
+    return met.select("row_seq", "CompoundID", "SourceID", "CanonicalSMILES", *[F.col(f"_f.{c}").alias(c) for c in ("MolWt", "TPSA", "logP", "nrot", "num_atoms", "fragments")], "Energy_Ha")
 
 
 def frame_export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -352,7 +354,7 @@ def reject_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 def curation_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the batch records as they were delivered."""
     base = _batch(spark, sf_dir, "row_seq", "Energy_Ha", "FormalCharge", "Multiplicity", "SMILES", "SourceID", "num_atoms", "num_bonds", "mol_block")
-    done = pipeline.curate(base)
+    done = pipeline.curate_tags(base)
     return done.select("row_seq", "CompoundID", *[f"{s}_status" for s in pipeline.STAGES], "filter_reason", "ICONF", "validate_errors")
 
 

@@ -1,4 +1,9 @@
-"""The curation pipeline: stages as DataFrame transformations in one application, no files between them."""
+"""The curation pipeline: stages as DataFrame transformations in one application, no files between them.
+
+The blocks are read once: one Arrow function works out all that the stages need of a record, and a narrow table of these
+facts is written. Fit, first occurrences and mirror images run over the narrow table; its statuses are joined to the
+wide records once, in the end.
+"""
 
 from __future__ import annotations
 
@@ -7,9 +12,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corundum.functions.arrow import block_facts, reorder_block
-from corundum.functions.v2000 import block_valid
+from corundum.functions.arrow import reorder_block
 from corundum.operators import chemfilter, dedup, energy, integrity, stats, stereo
+from corundum.session import materialise
 
 STAGES = ("energy", "filter", "dedup", "validate", "stereo", "reorder")
 #: Rows that a stage turns down.
@@ -37,11 +42,18 @@ class Options:
     extra: dict = field(default_factory=dict)
 
 
+#: Columns of the records that the stages read beside the block, and those that they write.
+_READ = ("Energy_Ha", "num_atoms", "num_bonds", "CanonicalSMILES", "CompoundID")
+_WRITTEN = ("residual", "z_residual", "energy_status", "filter_status", "filter_reason", "CanonicalSMILES", "CompoundID", "dedup_status", "dedup_reason", "ICONF", "validate_status", "validate_errors", "stereo_status", "reorder_status")
+
+
 def run_stage(name: str, df: DataFrame, options: Options) -> DataFrame:
+    """One stage over the narrow table of curate_tags; `__r` holds the facts of each record's block."""
+    facts = F.col("__r")
     if name == "energy":
-        return energy.energy_prefilter(df.drop("energy_status"), options.threshold)
+        return energy.energy_prefilter(df, options.threshold, counts=facts["counts"], written=True)
     if name == "filter":
-        return chemfilter.filter_blocks(df, options.preset, options.elements, options.heavy, options.geometry)
+        return chemfilter.filter_blocks(df, options.preset, options.elements, options.heavy, facts=facts)
     if name == "dedup":
         earlier = [F.expr(REJECTED[s]) for s in ("energy", "filter") if f"{s}_status" in df.columns]
         ok = None
@@ -49,25 +61,46 @@ def run_stage(name: str, df: DataFrame, options: Options) -> DataFrame:
             ok = F.lit(True)
             for bad in earlier:
                 ok = ok & ~F.coalesce(bad, F.lit(False))
-        return dedup.deduplicate(df, ok)
+        return dedup.deduplicate(df, ok, facts)
     if name == "validate":
-        return integrity.integrity(df, block_valid("mol_block"), block_facts(F.col("mol_block"))["canonical"])
+        return integrity.integrity(df, facts.isNotNull(), facts["canonical"], (facts["num_atoms"], facts["num_bonds"]))
     if name == "stereo":
-        return stereo.stereo_filter(df)
+        # Written before it is read twice, so that the stages before run once.
+        return stereo.stereo_filter(materialise(df), facts=facts)
     if name == "reorder":
-        done = df.withColumn("__block", reorder_block(F.col("mol_block")))
-        return done.withColumns({"reorder_status": F.when(F.col("__block").isNull(), "failed").otherwise("ok"), "mol_block": F.coalesce("__block", "mol_block")}).drop("__block")
+        return df.withColumn("reorder_status", F.when(facts.isNull(), "failed").otherwise("ok"))
     raise ValueError(f"no stage {name}")
 
 
-def curate(batch: DataFrame, options: Options | None = None) -> DataFrame:
-    """All stages over batch records, which need row_seq and the base columns."""
+def curate_tags(batch: DataFrame, options: Options | None = None) -> DataFrame:
+    """row_seq and what the stages say of each record: statuses, reasons, CanonicalSMILES, CompoundID, ICONF.
+
+    Reads the records once. row_seq must be unique; base columns that are missing count as null, as far as stages need them.
+    """
     options = options or Options()
-    out = batch
+    absent = {"Energy_Ha": "double", "num_atoms": "int", "num_bonds": "int", "CanonicalSMILES": "string", "CompoundID": "string"}
+    read = [F.col(c) if c in batch.columns else F.lit(None).cast(absent[c]).alias(c) for c in _READ]
+    out = materialise(batch.select("row_seq", *read, chemfilter.block_record(batch, options.geometry).alias("__r")))
     for name in options.stages:
         out = run_stage(name, out, options)
         if options.on_reject == "drop":
             out = out.filter(~F.coalesce(F.expr(REJECTED[name]), F.lit(False)))
+    made = [c for c in _WRITTEN if c in out.columns and ("dedup" in options.stages or c not in ("CanonicalSMILES", "CompoundID"))]
+    return out.select("row_seq", *made)
+
+
+def curate(batch: DataFrame, options: Options | None = None) -> DataFrame:
+    """All stages over batch records, which need row_seq and the base columns: every record with its tags.
+
+    The tags come in one join on row_seq; blocks are put in canonical order where that stage runs.
+    """
+    options = options or Options()
+    tags = curate_tags(batch, options)
+    kept = batch.drop(*[c for c in tags.columns if c != "row_seq"])
+    out = kept.join(tags, "row_seq", "inner")
+    if "reorder" in options.stages and "mol_block" in batch.columns:
+        smiles = F.col("SMILES") if "SMILES" in batch.columns else F.lit(None).cast("string")
+        out = out.withColumn("mol_block", F.coalesce(reorder_block(F.col("mol_block"), smiles), F.col("mol_block")))
     return out
 
 

@@ -7,8 +7,11 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows up to which a small side may be broadcast; beyond it joins shuffle (salted where a key is hot).
+#: Rows and bytes up to which a small side may be broadcast; beyond them joins shuffle (salted where a key is hot).
 BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 64 << 20
+#: Rows of one key that a task may get in a join before the key is salted.
+TASK_ROWS = 500_000
 
 
 def local_session(name: str = "corundum", cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
@@ -21,6 +24,7 @@ def local_session(name: str = "corundum", cores: int = 8, shuffle_partitions: in
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -53,40 +57,61 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether df has at most so many rows; counts no further than one row beyond."""
-    return df.limit(rows + 1).count() <= rows
+def release(df: DataFrame) -> None:
+    """Deletes the checkpoint files of a materialised DataFrame that nothing reads any more; does nothing for others."""
+    plan = df._jdf.queryExecution().logical()
+    if plan.nodeName() != "LogicalRDD" and "LogicalRDD" not in plan.getClass().getName():
+        return
+    file = plan.rdd().getCheckpointFile()
+    if file.isDefined():
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "left", rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join that broadcasts `small` only after counting it; a larger one takes the salted shuffle join.
+def fits(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether df has at most so many rows and, in its texts and arrays, about so many bytes; reads no more than one row beyond."""
+    width = F.lit(16 * len(df.columns))
+    for f in df.schema.fields:
+        kind = f.dataType.typeName()
+        if kind in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        elif kind in ("array", "map"):
+            width = width + 24 * F.greatest(F.size(F.col(f"`{f.name}`")), F.lit(0))
+    n, held = df.limit(rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()
+    return n <= rows and held <= size
+
+
+def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "left", rows: int = BROADCAST_ROWS, weight: str | None = None) -> DataFrame:
+    """Join that broadcasts `small` only after measuring it; a larger one takes the salted shuffle join.
 
     `small` must have at most one row for each key.
     """
-    if at_most(small, rows):
+    if fits(small, rows):
         return big.join(F.broadcast(small), on, how)
-    return salted_join(big, small, on, how)
+    return salted_join(big, small, on, how, weight=weight)
 
 
-def hot_keys(df: DataFrame, on: list[str], parts: int = 200) -> DataFrame:
-    """Keys that hold more than 1/parts of the rows: by construction fewer than `parts` rows."""
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    total = df.select(F.count(F.lit(1)).alias("__total"))
-    return counts.join(F.broadcast(total), F.col("__n") * parts > F.col("__total"), "inner").select(*on)
+def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left", weight: str | None = None, by: list[str] | None = None, task_rows: int = TASK_ROWS) -> DataFrame:
+    """Inner or left equi-join in which no key of `big` brings a task more than about `task_rows` rows.
 
+    `weight` names a column of `small` with the rows of `big` for each key, as an aggregate of `big` has it at hand; it
+    is left out of the result. Without it the rows are counted first. `small` has at most one row for each key.
 
-def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left", salts: int = 32, by: Column | None = None) -> DataFrame:
-    """Equi-join in which keys holding over half a percent of `big` are spread over `salts` tasks.
-
-    Hot keys (fewer than 200 by construction, so broadcast safely) get a random-free salt from a hash of the
-    row, and only their rows of `small` are repeated once for each salt. Null keys match nothing, as in any join.
+    A key with more than task_rows rows gets one salt for each task_rows of them, from a hash of the row's columns `by`
+    (all columns by default), and its row of `small` is repeated for each salt. The bound is raised to 1/BROADCAST_ROWS
+    of all rows where that is more, so that at most BROADCAST_ROWS keys are hot, with as many salts, whatever the size of
+    the tables: the list of hot keys may be broadcast. Rows with a null key match nothing and are spread by the same hash.
     """
-    hot = F.broadcast(hot_keys(big, on).withColumn("__hot", F.lit(True)))
-    row = by if by is not None else F.xxhash64(*[F.col(c) for c in big.columns])
-    left = big.join(hot, on, "left").withColumn("__salt", F.when(F.col("__hot"), F.pmod(row, F.lit(salts)).cast("int")).otherwise(0)).drop("__hot")
-    right = (
-        small.join(hot, on, "left")
-        .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-        .drop("__hot")
-    )
+    counted = small if weight else big.groupBy(*on).agg(F.count(F.lit(1)).alias("__weight"))
+    rows = F.col(weight or "__weight")
+    total = counted.agg(F.greatest(F.lit(task_rows), F.coalesce(F.sum(rows), F.lit(0)) / BROADCAST_ROWS).alias("__most"))
+    hot = counted.select(*on, rows.alias("__rows")).join(F.broadcast(total), F.col("__rows") > F.col("__most"), "inner").select(*on, F.ceil(F.col("__rows") / F.col("__most")).cast("int").alias("__salts"))
+    hot = F.broadcast(hot)
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in by or big.columns])
+    null = F.lit(False)
+    for c in on:
+        null = null | F.col(f"`{c}`").isNull()
+    left = big.join(hot, on, "left").withColumn("__salt", F.when(null, F.pmod(row, F.lit(1 << 20)).cast("int")).otherwise(F.coalesce(F.pmod(row, F.col("__salts")).cast("int"), F.lit(0)))).drop("__salts")
+    right = small.drop(weight) if weight else small
+    right = right.join(hot, on, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))).drop("__salts")
     return left.join(right, [*on, "__salt"], how).drop("__salt")

@@ -63,7 +63,7 @@ def test_frames_and_rejects(spark, tmp_path):
     (frame,) = frames(df).collect()
     lines = frame["frame"].split("\n")
     assert lines[0] == "2"
-    assert lines[1] == "SourceID,S,CompoundID,c,Formula,CCl,Nat,2,CNSO,1,chrg,0,mult,1,E,-12345678.9,fmax,,Family,QM40,smiles,CCl,tpsa,0.00,logp,,nrot,0,nfrag,1,iconf,1"
+    assert lines[1] == "SourceID,S,CompoundID,c,Formula,CCl,Nat,2,CNSO,1,chrg,0,mult,1,E,-12345678.9,fmax,,Family,QM40,smiles,CCl,tpsa,0.00,logp,0.85,nrot,0,nfrag,1,iconf,1"
     assert lines[2] == "C   0.000000  1.000000  -1.500000" and lines[3].startswith("Cl  1.000000")
     out = writers.reject_records(df.withColumn("why", F.lit("charge=+1")), "why").collect()
     assert len(out) == 1 and out[0]["value"].endswith("> <reject_reason>\ncharge=+1\n\n$$$$\n")
