@@ -97,6 +97,19 @@ def _flat(smiles: str | None) -> str | None:
     return None if smiles is None else chem.flat_smiles(smiles)
 
 
+STEREO = StructType([StructField("canonical", StringType()), StructField("mirrored", StringType()), StructField("has_stereo", BooleanType())])
+
+
+@lru_cache(maxsize=20_000)
+def _stereo(smiles: str | None) -> dict | None:
+    # Without a mark of handedness neither text is needed.
+    mol = chem.parse_smiles(smiles, aromatize="@" in (smiles or ""))
+    if mol is None:
+        return None
+    canonical, _, mirrored, has = chem.texts(mol) if "@" in smiles else (None, None, None, False)
+    return {"canonical": canonical, "mirrored": mirrored, "has_stereo": has}
+
+
 def _bits(smiles: str | None) -> list[int] | None:
     mol = chem.parse_smiles(smiles)
     return None if mol is None or not mol.atoms else chem.fingerprint(mol)
@@ -149,6 +162,8 @@ def fixed_text(places: int) -> Callable:
 smiles_facts = by_row(_facts, FACTS)
 #: Charges and radicals alone.
 smiles_state = by_row(_state, STATE)
+#: Canonical and mirrored text and handedness of a SMILES text; texts only where there is handedness.
+smiles_stereo = by_row(_stereo, STEREO)
 #: Canonical text without stereo of a SMILES text, and of a V2000 block; null for unreadable ones.
 flat_smiles = by_row(_flat, StringType())
 block_flat = by_row(chem.block_flat, StringType())

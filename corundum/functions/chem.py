@@ -863,7 +863,7 @@ def smiles_facts(text: str) -> tuple | None:
     mol = parse_smiles(text)
     if mol is None:
         return None
-    canonical, flat, mirrored, has = _texts(mol)
+    canonical, flat, mirrored, has = texts(mol)
     net, charged = charges(mol)
     return (
         canonical, flat if flat else write_smiles(mol, isomeric=False), mirrored, has,
@@ -871,7 +871,7 @@ def smiles_facts(text: str) -> tuple | None:
     )
 
 
-def _texts(mol: Molecule) -> tuple[str, str | None, str, bool]:
+def texts(mol: Molecule) -> tuple[str, str | None, str, bool]:
     """(canonical, the same without stereo if there is none, mirrored, whether there is stereo)."""
     kinds = classes(mol)
     has = any(a.chirality for a in mol.atoms)
@@ -928,7 +928,7 @@ def block_texts(block: str | None, smiles: str | None = None) -> tuple | None:
     heavy = _aromatize(heavy)
     at = _positions(lines, len(mol.atoms), len(mol.bonds))
     mark_centres(heavy, [at[i] for i in _kept(mol)])
-    canonical, _, mirrored, has = _texts(heavy)
+    canonical, _, mirrored, has = texts(heavy)
     return (canonical, mirrored, has, *facts)
 
 

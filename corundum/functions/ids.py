@@ -59,7 +59,9 @@ def zinc_other(zinc_id: Column) -> Column:
 
 def zinc_name(zinc_id: Column) -> Column:
     """One text for all spellings of a molecule id: ZINC and 12 digits, else its upper-case letters and digits; null for null and blank ids."""
-    return F.coalesce(zinc_text(zinc_number(zinc_id)), zinc_other(zinc_id))
+    # Most ids are written as they should be; the rules run for the others only.
+    plain = zinc_id.rlike(r"\AZINC[0-9]{12}\z")
+    return F.when(plain, zinc_id).otherwise(F.coalesce(zinc_text(zinc_number(zinc_id)), zinc_other(zinc_id)))
 
 
 def zinc_text(number: Column) -> Column:

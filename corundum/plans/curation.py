@@ -14,7 +14,7 @@ from corundum.functions.v2000 import block_valid, head_counts, head_line
 from corundum.operators import assemble, chemfilter, contract, dedup, deliver, energy, integrity, similarity, stats, stereo
 from corundum.plans import pipeline
 from corundum.schema import FIT_ELEMENTS, PRESETS
-from corundum.session import read_table, salted_join
+from corundum.session import read_table, salted_join, spread
 from corundum.sinks.writers import reject_records
 
 # SQL pieces.
@@ -72,7 +72,7 @@ def collision_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def energy_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3, A4, F2 over the batch records' own structures."""
-    done = energy.energy_prefilter(_batch(spark, sf_dir, "row_seq", "Energy_Ha", "mol_block"))
+    done = energy.energy_prefilter(spread(_batch(spark, sf_dir, "row_seq", "Energy_Ha", "mol_block")))
     return done.select("row_seq", F.round("residual", 6).alias("residual"), F.round("z_residual", 6).alias("z_residual"), "energy_status")
 
 
@@ -150,7 +150,7 @@ def integrity_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     The stored CanonicalSMILES may be another toolkit's text, so both sides are compared as this kernel writes them
     without stereo; an unreadable text is a mismatch.
     """
-    batch = _batch(spark, sf_dir, "row_seq", "mol_block", "num_atoms", "num_bonds", "CanonicalSMILES", "CompoundID", "Energy_Ha")
+    batch = spread(_batch(spark, sf_dir, "row_seq", "mol_block", "num_atoms", "num_bonds", "CanonicalSMILES", "CompoundID", "Energy_Ha"))
     read = batch.withColumns({"__own": block_flat(F.col("mol_block")), "__stored": flat_smiles(F.col("CanonicalSMILES"))}).withColumn("__valid", F.col("__own").isNotNull())
     own = F.when(F.col("__stored") == F.col("__own"), F.col("CanonicalSMILES")).otherwise(F.col("__own"))
     return integrity.integrity(read, F.col("__valid"), own).select("row_seq", "validate_status", "validate_errors")
@@ -343,7 +343,7 @@ def smiles_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def frame_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training frames of every record with a readable block; chemfilter.exclude leaves records out by status."""
     batch = read_table(spark, sf_dir, "batch")
-    return deliver.frames(batch.select("row_seq", "mol_block", "SourceID", "CompoundID", "FormalCharge", "Multiplicity", "Energy_Ha", "CanonicalSMILES", "ICONF"))
+    return deliver.frames(spread(batch).select("row_seq", "mol_block", "SourceID", "CompoundID", "FormalCharge", "Multiplicity", "Energy_Ha", "CanonicalSMILES", "ICONF"))
 
 
 def reject_export(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corundum.functions.arrow import reorder_block
 from corundum.operators import chemfilter, dedup, energy, integrity, stats, stereo
-from corundum.session import materialise
+from corundum.session import materialise, spread
 
 STAGES = ("energy", "filter", "dedup", "validate", "stereo", "reorder")
 #: Rows that a stage turns down.
@@ -80,6 +80,7 @@ def curate_tags(batch: DataFrame, options: Options | None = None) -> DataFrame:
     options = options or Options()
     absent = {"Energy_Ha": "double", "num_atoms": "int", "num_bonds": "int", "CanonicalSMILES": "string", "CompoundID": "string"}
     read = [F.col(c) if c in batch.columns else F.lit(None).cast(absent[c]).alias(c) for c in _READ]
+    batch = spread(batch)
     out = materialise(batch.select("row_seq", *read, chemfilter.block_record(batch, options.geometry).alias("__r")))
     for name in options.stages:
         out = run_stage(name, out, options)
