@@ -10,7 +10,7 @@ Usable values are neither null nor NaN nor infinite. A group without any has no
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -149,11 +149,14 @@ def merge_digests(digests: DataFrame, by: list[str], delta: float = DELTA) -> Da
 def digests(df: DataFrame, groupings: dict[str, Column], metrics: list[str], delta: float = DELTA) -> DataFrame:
     """One digest for each grouping, key and metric.
 
-    Merged in two levels of up to _FAN_IN partial digests, so that a key present in every partition of a large table
-    is never gathered at once.
+    Partial digests are merged by _FAN_IN at a time until one is left: as many levels as the partitions of df need, so
+    that no task ever gets more than _FAN_IN digests of a key, however many partitions have it.
     """
-    parts = partial_digests(df, groupings, metrics, delta).withColumn("salt", F.floor(F.col("part") / _FAN_IN).cast("int"))
-    return merge_digests(merge_digests(parts, [*KEYS, "salt"], delta), list(KEYS), delta)
+    made, left = partial_digests(df, groupings, metrics, delta), df.rdd.getNumPartitions()
+    while left > _FAN_IN:
+        made = merge_digests(made.withColumn("part", F.floor(F.col("part") / _FAN_IN).cast("int")), [*KEYS, "part"], delta)
+        left = -(-left // _FAN_IN)
+    return merge_digests(made, list(KEYS), delta)
 
 
 def estimates(made: DataFrame, at: tuple[float, ...] = PERCENTILES) -> DataFrame:
@@ -194,15 +197,20 @@ def certify(df: DataFrame, groupings: dict[str, Column], metrics: list[str], fou
     return out.withColumn("rank_error", F.greatest(lo - q, q - hi, F.lit(0.0))).withColumn("certified", F.col("rank_error") <= bound)
 
 
-def percentiles(df: DataFrame, groupings: dict[str, Column], metrics: list[str], at: tuple[float, ...] = PERCENTILES, bound: float = RANK_BOUND, delta: float = DELTA, tries: int = 3) -> DataFrame:
-    """Certified percentiles for each grouping, key and metric, `bound` holding for every row of the result.
+def certified(df: DataFrame, groupings: dict[str, Column], metrics: list[str], make: Callable[[float], DataFrame], at: tuple[float, ...] = PERCENTILES, bound: float = RANK_BOUND, delta: float = DELTA, tries: int = 3) -> DataFrame:
+    """Percentiles from the digests that `make(delta)` gives, whichever way they were merged, certified by a second pass over df.
 
     Where the second pass finds an estimate beyond the bound, all is done again with twice the clusters; after `tries`
     such rounds the remaining rows keep certified = false, and their true rank error.
     """
     for n in range(tries):
-        made = materialise(estimates(digests(df, groupings, metrics, delta * 2**n), at))
+        made = materialise(estimates(make(delta * 2**n), at))
         out = materialise(certify(df, groupings, metrics, made, at, bound))
         if not out.filter("not certified").head(1):
             break
     return out
+
+
+def percentiles(df: DataFrame, groupings: dict[str, Column], metrics: list[str], at: tuple[float, ...] = PERCENTILES, bound: float = RANK_BOUND, delta: float = DELTA, tries: int = 3) -> DataFrame:
+    """Certified percentiles for each grouping, key and metric, `bound` holding for every row of the result."""
+    return certified(df, groupings, metrics, lambda d: digests(df, groupings, metrics, d), at, bound, delta, tries)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corundum.functions.ids import bare, compound_of, label, readable_compound, smiles_compound
 from corundum.llm import digests as D
 from corundum.llm import mixing, splits, survivors, tokens, toxicity
-from corundum.session import materialise, read_table
+from corundum.session import fits, materialise, read_table
 
 SUPPLIED = ("Energy_Ha", "HOMO_Ha", "LUMO_Ha", "PartialCharges")
 
@@ -28,11 +28,17 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.grouped_records(_compound_components(spark, sf_dir), "component_id", "compound_id").select("row_seq", "compound_id")
 
 
+def _split_targets(spark: SparkSession, sf_dir: str) -> dict[str, float]:
+    targets = read_table(spark, sf_dir, "split_targets")
+    if not fits(targets):
+        raise ValueError("too many splits to plan")
+    return {r["split_name"]: r["share"] for r in targets.collect()}
+
+
 def p1_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The split of every batch record."""
-    # split_targets has one row for each split.
-    targets = {r["split_name"]: r["share"] for r in read_table(spark, sf_dir, "split_targets").limit(1000).collect()}
-    return splits.assign_splits(_compound_components(spark, sf_dir), targets)
+    # Written once: the plan counts the rows before they are assigned.
+    return splits.assign_splits(materialise(_compound_components(spark, sf_dir)), _split_targets(spark, sf_dir))
 
 
 def p1_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,11 +68,14 @@ def p3_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_merged_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Percentiles by month from nothing but the digests of its days."""
-    days = p3_digests(spark, sf_dir).filter("grouping = 'day' and group_key is not null")
-    months = days.withColumns({"grouping": F.lit("month"), "group_key": F.substring("group_key", 1, 7)})
-    made = D.estimates(D.merge_digests(months, list(D.KEYS)))
-    return made.select(*D.KEYS, "n", F.posexplode("estimates").alias("i", "estimate")).select(*D.KEYS, "n", F.get(F.array(*map(F.lit, D.PERCENTILES)), "i").alias("share"), "estimate")
+    """Certified percentiles by month, estimated from nothing but the digests of its days; rows without loaded_at have no month."""
+    batch = read_table(spark, sf_dir, "batch").select("loaded_at", "Energy_Ha", "num_atoms").filter("loaded_at is not null")
+
+    def months(delta: float) -> DataFrame:
+        days = D.digests(batch, {"day": F.to_date("loaded_at")}, ["Energy_Ha", "num_atoms"], delta)
+        return D.merge_digests(days.withColumns({"grouping": F.lit("month"), "group_key": F.substring("group_key", 1, 7)}), list(D.KEYS), delta)
+
+    return D.certified(batch, {"month": F.date_format("loaded_at", "yyyy-MM")}, ["Energy_Ha", "num_atoms"], months)
 
 
 def p3_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,18 +46,26 @@ def representatives(df: DataFrame, group: str, usable: dict[str, Column], trust:
     )
 
 
-def skyline_layers(reps: DataFrame) -> DataFrame:
+def skyline_layers(reps: DataFrame, completeness: str = "set") -> DataFrame:
     """One row for each group: `n` records and `ranked`, its representatives with their dominance layer, best first.
 
     The representatives are sorted by policy; whatever dominates a record stands before it, so its layer is one more
     than the deepest layer among its dominators, found in one pass.
+
+    completeness: `set`, a dominator has all fields that the record has, or `count`, at least as many. By `set` the
+    first record by policy that has a field is never dominated, since its dominator would have the field and come
+    first: fields come from layer 1, in the order of the policy alone. By `count` a record may be dominated by one that
+    lacks its field, which is then filled from a deeper layer.
     """
+    if completeness not in ("set", "count"):
+        raise ValueError(f"no completeness {completeness}")
     item = F.struct("trust", "age", "tie", "mask", "values")
     groups = reps.groupBy("group_id").agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(item)).alias("items"))
     layered_type = groups.schema["items"].dataType.elementType.simpleString()
 
     def layer(done: Column, x: Column) -> Column:
-        over = F.filter(done, lambda s: (s["mask"].bitwiseAND(x["mask"]) == x["mask"]) & (s["trust"] <= x["trust"]) & (s["age"] <= x["age"]))
+        has = (lambda s: s["mask"].bitwiseAND(x["mask"]) == x["mask"]) if completeness == "set" else (lambda s: F.bit_count(s["mask"]) >= F.bit_count(x["mask"]))
+        over = F.filter(done, lambda s: has(s) & (s["trust"] <= x["trust"]) & (s["age"] <= x["age"]))
         return F.coalesce(F.array_max(F.transform(over, lambda s: s["layer"])), F.lit(0)) + 1
 
     start = F.expr(f"CAST(array() AS array<struct<layer:int,{layered_type[len('struct<'):]}>)")

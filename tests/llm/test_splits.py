@@ -80,3 +80,26 @@ def test_one_compound_by_either_spelling(spark, tmp_path):
     got = {r["row_seq"]: (r["component_id"], r["split_name"]) for r in queries.p1_splits(spark, str(tmp_path)).collect()}
     assert got[1] == got[2] and got[3] == got[4] and len({got[i][0] for i in (1, 3, 5, 6)}) == 4
     assert queries.p1_shares(spark, str(tmp_path)).agg(F.sum("components")).first()[0] == 4
+
+
+def test_a_kept_plan_moves_no_component(spark):
+    rows = [(i, f"c{i // 2}") for i in range(600)]
+    df = spark.createDataFrame(rows, "row_seq bigint, component_id string")
+    targets = {"train": 0.8, "test": 0.2}
+    plan = splits.SplitPlan.from_json(splits.plan_splits(df, targets).to_json())
+    before = {r["component_id"]: r["split_name"] for r in splits.assign_splits(df, targets, plan=plan).collect()}
+    # A component of a third of all rows arrives later, and an old one grows.
+    more = df.unionByName(spark.createDataFrame([(1000 + i, "big" if i % 2 else "c7") for i in range(600)], df.schema))
+    after = {r["component_id"]: r["split_name"] for r in splits.assign_splits(more, targets, plan=plan).collect()}
+    assert {c: after[c] for c in before} == before
+    with pytest.raises(ValueError):
+        splits.SplitPlan.from_json(plan.to_json().replace('"version": 1', '"version": 0'))
+
+
+@pytest.mark.parametrize("sizes", [(3000,), (2000, 2000), (900, 900, 900)])
+def test_one_rule_for_components_of_any_size(spark, sizes):
+    rows = [f"big{k}" for k, n in enumerate(sizes) for _ in range(n)]
+    rows += [f"c{i // 3}" for i in range(9000 - len(rows))]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(rows)], "row_seq bigint, component_id string")
+    share = {r["split_name"]: r["n"] / 9000 for r in splits.assign_splits(df, {"train": 0.8, "validation": 0.1, "test": 0.1}).groupBy("split_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert share == pytest.approx({"train": 0.8, "validation": 0.1, "test": 0.1}, abs=0.01)

@@ -49,3 +49,14 @@ def test_built_record(spark):
     assert (got["k"]["base"], got["k"]["a"], got["k"]["b"], got["k"]["c"], got["k"]["filled_from_others"]) == (1, 7.0, 5.0, None, 1)
     assert got["lone"]["n"] == 1 and got["lone"]["a"] is None and got["lone"]["filled_from_others"] == 0
     assert layers_of(spark, [("k", 1, 0, t, 1.0, 1.0, "x", 0)]).filter("n > 1").count() == 0
+
+
+def test_layers_act_where_completeness_is_a_count(spark):
+    # The first by policy has two fields; the second has one, which the first lacks; by count it is dominated.
+    rows = [(1, "g", 1.0, 2.0, None, 0, "2024-02-01"), (2, "g", None, None, 9.0, 0, "2024-01-01"), (3, "g", None, None, 7.0, 1, "2024-03-01")]
+    df = spark.createDataFrame(rows, "id bigint, g string, a double, b double, c double, trust int, at string").withColumn("at", F.col("at").cast("timestamp"))
+    reps = survivors.representatives(df, "g", {f: survivors.finite(F.col(f)) for f in "abc"}, F.col("trust"), "at", "id")
+    layer = lambda kind: {r["tie"]: r["layer"] for r in survivors.skyline_layers(reps, kind).select(F.explode("ranked").alias("x")).select("x.*").collect()}
+    assert layer("set") == {1: 1, 2: 1, 3: 1} and layer("count") == {1: 1, 2: 2, 3: 1}
+    got = {k: {r["field_name"]: (r["tie"], r["layer"]) for r in survivors.suppliers(survivors.skyline_layers(reps, k), list("abc")).collect()} for k in ("set", "count")}
+    assert got["set"]["c"] == (2, 1) and got["count"]["c"] == (3, 1)
