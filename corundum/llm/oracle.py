@@ -31,8 +31,8 @@ u AS (SELECT split_name, share, sum(share) OVER (ORDER BY split_name) AS upto, r
 p AS (SELECT stride, turn, b, n, (b * stride + turn * 1024) % 65536 AS place FROM m, range(1, 32, 2) s(stride), range(64) r(turn)),
 q AS (SELECT *, (sum(n) OVER (PARTITION BY stride, turn ORDER BY place) - n / 2) / total AS middle FROM p, w),
 a AS (SELECT stride, turn, b, n, least((SELECT count(*) FROM u WHERE upto <= middle), (SELECT max(k) FROM u)) AS k FROM q),
-g AS (SELECT stride, turn, k, sum(n) AS n FROM a GROUP BY ALL),
-d AS (SELECT stride, turn, max(abs(coalesce(g.n, 0) / total - share)) AS off FROM (SELECT DISTINCT stride, turn FROM p) CROSS JOIN u CROSS JOIN w LEFT JOIN g USING (stride, turn, k) GROUP BY ALL),
+v AS (SELECT stride, turn, k, sum(n) AS n FROM a GROUP BY ALL),
+d AS (SELECT stride, turn, max(abs(coalesce(v.n, 0) / total - share)) AS off FROM (SELECT DISTINCT stride, turn FROM p) CROSS JOIN u CROSS JOIN w LEFT JOIN v USING (stride, turn, k) GROUP BY ALL),
 o AS (SELECT stride, turn FROM d ORDER BY off, stride, turn LIMIT 1),
 x AS (SELECT h.row_seq, h.compound_id, h.component_id, split_name FROM h JOIN a USING (b) JOIN o USING (stride, turn) JOIN u USING (k))
 """
