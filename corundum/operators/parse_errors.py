@@ -5,6 +5,12 @@ Delimited lines go through a minimum-cost error parse. A dynamic program over th
 ordered: quote edits first, delimiter edits second, so that a delimiter edit never hides a broken quote. A line of cost
 nothing is loaded, once its fields also have valid types; otherwise the kind of the cheapest edits is the reason.
 
+With costs in this order the least number of quote edits is 0 exactly where the quoting is right as it stands, since a
+delimiter may be inserted or deleted next to any field without touching its quotes: `quoting` then is what the delivery
+means by it, "a field neither free of quotes nor wholly enclosed", and comes before `column_count`. A single weighted
+cost would call some lines of broken quoting a column_count (one delimiter too many may cost less than two quotes). What
+the program adds is the repair: `mended` applies the edits, and the line then parses at no cost.
+
 The zero-cost path of the program is deterministic, so it is tried alone at first; only lines that leave it pay for
 the full table (structural characters x 4 states x fields wanted, which is linear in the length of the line).
 """
@@ -116,6 +122,45 @@ def _offer(cells: dict, key: tuple[int, int], q: int, d: int, edits: tuple | Non
         cells[key] = (q, d, (edits, new) if new else edits)
 
 
+def mended(line: str, edits: list[str], delimiter: str = ",", quote: str = '"') -> str:
+    """The line with its edits done; positions are those of the line as it came.
+
+    Quotes go in and out where the edits say. A deleted delimiter makes two fields one: their values are joined, and the
+    field is enclosed anew where its value needs it.
+    """
+    gone, put, joined, added = set(), {}, set(), 0
+    for edit in edits:
+        what, sign, _, at = edit.split(" ")
+        if sign == "delimiter":
+            added += what == "insert"
+            joined |= {int(at)} if what == "delete" else set()
+        elif what == "delete":
+            gone.add(int(at))
+        else:
+            put[int(at)] = put.get(int(at), 0) + 1
+    signs = [(quote if k else line[i], i) for i in range(len(line) + 1) for k in range(put.get(i, 0), -1, -1) if k or (i < len(line) and i not in gone)]
+    fields, part, inside, glued = [], [], False, False
+
+    def close() -> None:
+        text = "".join(part)
+        value = text[1:-1].replace(quote * 2, quote) if text.startswith(quote) else text
+        if glued:
+            fields[-1] += value
+        else:
+            fields.append(value)
+
+    for c, i in signs:
+        if c == delimiter and not inside:
+            close()
+            part, glued = [], i in joined
+        else:
+            inside ^= c == quote
+            part.append(c)
+    close()
+    shown = [quote + f.replace(quote, quote * 2) + quote if any(x in f for x in (quote, delimiter, "\n", "\r")) else f for f in fields]
+    return delimiter.join([*shown, *[""] * added])
+
+
 def parse_line(line: str | None, wanted: int, delimiter: str = ",", quote: str = '"') -> tuple[list[str] | None, str | None, str | None]:
     """(fields, reason, edits): fields of a zero-cost line, else the reason and all of the cheapest edits.
 
@@ -131,17 +176,19 @@ def parse_line(line: str | None, wanted: int, delimiter: str = ",", quote: str =
 
 
 def parse_delimited(df: DataFrame, line: str, keys: list[str], fields: tuple[str, ...], delimiter: str = ",", quote: str = '"') -> DataFrame:
-    """Keys, one string column for each field (null in a failed line), line_reason and line_edits."""
+    """Keys, one string column for each field (null in a failed line), line_reason, line_edits and line_mended."""
     source = df.select(*keys, F.col(line).alias("_line"))
-    schema = pa.schema([*[pa.field(f, pa.string()) for f in fields], pa.field("line_reason", pa.string()), pa.field("line_edits", pa.string())])
+    schema = pa.schema([*[pa.field(f, pa.string()) for f in fields], pa.field("line_reason", pa.string()), pa.field("line_edits", pa.string()), pa.field("line_mended", pa.string())])
     kept = len(keys)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in schema]
             for text in batch.column(kept):
-                got, reason, edits = parse_line(text.as_py(), len(fields), delimiter, quote)
-                for col, value in zip(out, [*(got or [None] * len(fields)), reason, edits], strict=True):
+                line = text.as_py()
+                got, reason, edits = parse_line(line, len(fields), delimiter, quote)
+                repaired = mended(line, edits.split("; "), delimiter, quote) if edits and line is not None else None
+                for col, value in zip(out, [*(got or [None] * len(fields)), reason, edits, repaired], strict=True):
                     col.append(value)
             arrays = [pa.array(v, f.type) for v, f in zip(out, schema, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:kept], *arrays], names=[*keys, *schema.names])
@@ -158,7 +205,7 @@ def _with_reasons(df: DataFrame, tests: dict, line_reason: bool = False) -> Data
 
 
 def judge_raw(raw: DataFrame) -> DataFrame:
-    """Every delivered line with typed fields (null where unusable), `reasons` (empty: it loads) and line_edits.
+    """Every delivered line with typed fields (null where unusable), `reasons` (empty: it loads), line_edits and line_mended.
 
     For a line the first of quoting and column_count that applies stands alone; otherwise energy, formal_charge and
     mol_block are judged each by themselves. Empty table: no rows.
@@ -170,7 +217,7 @@ def judge_raw(raw: DataFrame) -> DataFrame:
     return judged.select(
         "raw_id", "file_name", "received_at", "SourceID", "SMILES", F.col("__energy").alias("Energy_Ha"), F.col("__charge").alias("FormalCharge"),
         whole_number(F.col("Multiplicity")).alias("Multiplicity"), *[finite_number(F.col(c)).alias(c) for c in ("HOMO_Ha", "LUMO_Ha", "HL_Gap_Ha")],
-        "PartialCharges", F.when(F.col("__block"), F.col("mol_block")).alias("mol_block"), "reasons", "line_edits",
+        "PartialCharges", F.when(F.col("__block"), F.col("mol_block")).alias("mol_block"), "reasons", "line_edits", "line_mended",
     )
 
 
@@ -183,7 +230,7 @@ def judge_batch(batch: DataFrame) -> DataFrame:
 
 
 def loaded(judged: DataFrame) -> DataFrame:
-    return judged.filter(F.size("reasons") == 0).drop("reasons", "line_edits")
+    return judged.filter(F.size("reasons") == 0).drop("reasons", "line_edits", "line_mended")
 
 
 def rejects(judged: DataFrame, rec_id: str, origin: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import random
 import re
 from datetime import datetime
 
@@ -6,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from corundum.functions.v2000 import is_block
-from corundum.operators.parse_errors import exact_fields, judge_batch, judge_raw, least_edits, loaded, parse_line, rejects
+from corundum.operators.parse_errors import exact_fields, judge_batch, judge_raw, least_edits, loaded, mended, parse_line, rejects
 
 GOOD = "t\n  p\n\n  2  1  0  0  0  0  0  0  0  0999 V2000\n    0.0000    1.0000   -1.5000 C   0  0\n    1.0000    1.0e0     2.0000 Cl  0  0\n  1  2  1  0\nM  END"
 
@@ -101,3 +102,21 @@ def test_all_edits_of_a_long_line_are_shown():
     _, reason, shown = parse_line(line, 10)
     edits = least_edits(line, 10)[2]
     assert reason == "quoting" and len(edits) > 100 and shown.split("; ") == edits
+
+
+def test_mended_lines_parse_at_no_cost():
+    rng = random.Random(8)
+    for _ in range(3000):
+        line, wanted = "".join(rng.choice('",,ab"\n') for _ in range(rng.randrange(14))), rng.randrange(1, 6)
+        quotes, delimiters, edits = least_edits(line, wanted)
+        assert len(edits) == quotes + delimiters
+        fields = exact_fields(mended(line, edits))
+        assert fields is not None and len(fields) == wanted, (line, edits, mended(line, edits))
+        # What the module states of its order of costs.
+        assert (quotes == 0) == (exact_fields(line) is not None)
+
+
+def test_mended_column(spark):
+    df = spark.createDataFrame([(1, "f", None, 'a"b,c'), (2, "f", None, None)], "raw_id bigint, file_name string, received_at timestamp, raw_line string")
+    got = {r["raw_id"]: (r["reasons"], r["line_mended"]) for r in judge_raw(df).collect()}
+    assert got[1][0] == ["quoting"] and len(exact_fields(got[1][1])) == 10 and got[2] == (["column_count"], None)
