@@ -14,8 +14,10 @@ def _deliveries(df: DataFrame, keep: str, columns: list[str]) -> DataFrame:
     """Rows of each molecule's deliveries with its normal id `key`; `first` delivery only, or `all`.
 
     A delivery is what shares id and loaded_at: it has the size of a molecule, however often a molecule comes again.
-    Rows without loaded_at are the last delivery.
+    Rows without loaded_at are the last delivery; in a table without that column all rows of a molecule are one.
     """
+    if "loaded_at" not in df.columns:
+        df = df.withColumn("loaded_at", F.lit(None).cast("timestamp"))
     out = df.select(zinc_name(F.col("Zinc_id")).alias("key"), F.coalesce(F.col("loaded_at").cast("timestamp_ntz"), F.lit("9999-12-31").cast("timestamp_ntz")).alias("loaded_at"), *columns).filter("key is not null")
     if keep == "all":
         return out

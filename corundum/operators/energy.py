@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
+from corundum.functions import chem
 from corundum.functions.arrow import by_row
 from corundum.operators.medians import exact_median
 from corundum.schema import FIT_ELEMENTS
-from corundum.session import materialise
+from corundum.session import materialise, spread
 
 THRESHOLD = 3.5
 CONSISTENCY = 0.6745
+# Element types of the fit over SMILES.
+SMILES_ELEMENTS = ("C", "H", "N", "O", "S", "F", "Cl", "Br", "P", "I")
 
 
 def element_counts(symbols: Column, elements: tuple[str, ...] = FIT_ELEMENTS) -> dict[str, Column]:
@@ -101,6 +106,51 @@ def energy_prefilter(batch: DataFrame, threshold: float = THRESHOLD, elements: t
     return done.withColumn("energy_status", status).drop("__counts", "__energy", *names)
 
 
+def smiles_counts(smiles: Column, elements: tuple[str, ...] = SMILES_ELEMENTS) -> Column:
+    """array<int>: atoms of each element in a SMILES text, hydrogens among them; all 0 for null and unreadable ones."""
+
+    @lru_cache(maxsize=20_000)
+    def count(text: str | None) -> list[int]:
+        mol = chem.parse_smiles(text, aromatize=False)
+        found = dict.fromkeys(elements, 0)
+        for a in mol.atoms if mol else ():
+            if a.symbol in found:
+                found[a.symbol] += 1
+            if "H" in found:
+                found["H"] += a.hydrogens
+        return list(found.values())
+
+    def row(text: str | None) -> list[int]:
+        return count(text)
+
+    return by_row(row, ArrayType(IntegerType()))(smiles)
+
+
+def smiles_prefilter(main: DataFrame, energy: str = "Internal_E(0K)", smiles: str = "smile", threshold: float = THRESHOLD) -> DataFrame:
+    """main with NAT, S_count, E_per_atom, z_residual and energy_status, from the composition of the SMILES.
+
+    NAT counts the atoms of the fit's elements. E_per_atom is null where there are none. Without an energy column every
+    row is `ok` and the numbers are null; rows without a finite energy are `energy_nonfinite`.
+    """
+    kept = [c for c in main.columns if c not in ("NAT", "S_count", "E_per_atom", "z_residual", "energy_status")]
+    if energy not in main.columns:
+        numbers = {"NAT": "int", "S_count": "int", "E_per_atom": "double", "z_residual": "double"}
+        return main.select(*[F.col(f"`{c}`") for c in kept], *[F.lit(None).cast(t).alias(c) for c, t in numbers.items()], F.lit("ok").alias("energy_status"))
+    names = [f"n_{e}" for e in SMILES_ELEMENTS]
+    # Written once: the fit and its medians read counts and energies several times.
+    counted = materialise(spread(main.select(*[F.col(f"`{c}`") for c in kept])).withColumns({"__c": smiles_counts(F.col(f"`{smiles}`")), "__e": F.col(f"`{energy}`").cast("double")}))
+    counted = counted.withColumns({n: F.get("__c", F.lit(i)) for i, n in enumerate(names)})
+    done, _ = flag_outliers(counted, names, "__e", threshold, written=True)
+    nat = sum((F.col(n) for n in names), F.lit(0)).cast("int")
+    return done.select(*[F.col(f"`{c}`") for c in kept], nat.alias("NAT"), F.col("n_S").alias("S_count"), F.try_divide(F.col("__e"), nat).alias("E_per_atom"), "z_residual", "energy_status")
+
+
+def flagged_rows(done: DataFrame, energy: str = "Internal_E(0K)", smiles: str = "smile") -> DataFrame:
+    """The flagged rows of smiles_prefilter with the columns of the flagged table, in its order."""
+    wanted = ("Zinc_id", "energy_status", "S_count", "E_per_atom", "z_residual", smiles, "NAT", energy)
+    return done.filter("energy_status = 'flagged'").select(*[F.col(f"`{c}`") for c in wanted if c in done.columns])
+
+
 def feature_presence(df: DataFrame, counts: list[str]) -> DataFrame:
     """element, molecules: how many rows have each element."""
     sums = df.agg(*[F.count_if(F.col(c) > 0).alias(c) for c in counts])

@@ -8,16 +8,17 @@ bits within a batch, and since T <= min(a, b) / max(a, b), only those that can s
 from __future__ import annotations
 
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corundum.session import materialise
+from corundum.session import ensure_checkpoint_dir, materialise
 
-#: Queries that travel at once: 4,096 of 256 bytes are a megabyte.
-BLOCK = 4096
+#: Queries that travel at once: 16,384 of 256 bytes are four megabytes.
+BLOCK = 16_384
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -36,19 +37,21 @@ def nearest_neighbours(df: DataFrame, row_id: str, bits: str, divisor: int = 20,
     rows = materialise(df.select(F.col(row_id).cast("bigint").alias("id"), F.col(bits).alias("bits"), asking.alias("asks")).filter("bits is not null"))
     asked = rows.filter("asks")
     parts = max(1, -(-asked.count() // block))
-    out = None
+    spark = df.sparkSession
+    table = f"{ensure_checkpoint_dir(spark)}/nearest-{uuid4().hex}"
     for p in range(parts):
-        # A hash block holds about `block` queries; what it holds is bounded by what is fetched here.
+        # A hash block holds about `block` queries. Only these come to the driver, and their answers go to the table
+        # before the next ones do, so neither grows with the number of queries.
         some = asked.filter(F.pmod(F.xxhash64("id"), F.lit(parts)) == p).toArrow()
-        if not some.num_rows:
-            continue
-        ids = some.column("id").to_numpy()
-        found = rows.mapInArrow(_matcher(ids, _matrix(some.column("bits").combine_chunks())), "query_id bigint, best double")
-        out = found if out is None else out.unionByName(found)
+        if some.num_rows:
+            ids, queries = some.column("id").to_numpy(), _matrix(some.column("bits").combine_chunks())
+            found = rows.mapInArrow(_matcher(ids, queries), "query_id bigint, best double")
+            found.groupBy("query_id").agg(F.max("best").alias("max_tanimoto")).write.mode("append").parquet(table)
     queries = asked.select(F.col("id").alias("query_id"))
-    if out is None:
-        return queries.withColumn("max_tanimoto", F.lit(None).cast("double"))
-    best = out.groupBy("query_id").agg(F.max("best").alias("max_tanimoto"))
+    best = spark.createDataFrame([], "query_id bigint, max_tanimoto double")
+    path = spark._jvm.org.apache.hadoop.fs.Path(table)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        best = spark.read.schema(best.schema).parquet(table)
     return queries.join(best, "query_id", "left")
 
 

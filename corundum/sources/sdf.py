@@ -2,26 +2,51 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from urllib.parse import unquote
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corundum.functions.v2000 import block_lines, block_valid, counts, cut_block
+from corundum.functions.v2000 import block_lines, counts, cut_block, is_block
 from corundum.schema import OPTIONAL, RECOMMENDED, REQUIRED
 
 SEPARATOR = "$$$$"
+#: Bits of row_seq for the place in a file; the file's rank stands above them.
+PLACE_BITS = 43
+
+
+def _path(text: str) -> str:
+    return re.sub(r"\A[A-Za-z0-9+.\-]+:/*", "/", unquote(text))
 
 
 def read_sdf(spark: SparkSession, path: str) -> DataFrame:
     """row_seq, record, mol_block, parsed and tags (map) of every record; with either kind of line end.
 
-    row_seq grows with file name and place in the file, but has gaps. A record that does not parse keeps its raw text.
-    The text after the last separator counts as a record unless it is blank.
+    row_seq grows with the file's place in the order of paths and with the place in the file, however the files are cut
+    into tasks: a record's number within its piece of the file is added to the byte at which the piece begins, and there
+    are never more records than bytes. A record that does not parse keeps its raw text. The text after the last
+    separator counts as a record unless it is blank.
     """
-    raw = spark.read.text(path, lineSep=SEPARATOR).select(F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_at"), F.regexp_replace("value", "\r\n", "\n").alias("record"))
+    raw = spark.read.text(path, lineSep=SEPARATOR)
+    rank = {p: i for i, p in enumerate(sorted({_path(f) for f in raw.inputFiles()}))}
+    raw = raw.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_at"), F.regexp_replace("value", "\r\n", "\n").alias("record"))
     # What follows a separator is the rest of its line; a separator inside a line is not at a line's start.
-    raw = raw.withColumn("record", F.regexp_replace("record", r"\A[ \t]*\n", "")).filter("trim(both ' \n\t\r' from record) <> ''")
-    named = raw.withColumns({"row_seq": F.monotonically_increasing_id(), "mol_block": cut_block(F.col("record"))})
-    return named.select("row_seq", "record", "mol_block", block_valid("mol_block").alias("parsed"), record_tags(F.col("record")).alias("tags"))
+    raw = raw.withColumn("record", F.regexp_replace("record", r"\A[ \t]*\n", "")).filter("trim(both ' \n\t\r' from record) <> ''").withColumn("mol_block", cut_block(F.col("record")))
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece, n = None, 0
+        for batch in batches:
+            places, parsed = [], []
+            for file, at, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                piece, n = ((file, at), 0) if piece != (file, at) else (piece, n + 1)
+                places.append((rank[_path(file)] << PLACE_BITS) + at + n)
+                parsed.append(is_block(block))
+            yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), batch.column(2), batch.column(3), pa.array(parsed, pa.bool_())], names=["row_seq", "record", "mol_block", "parsed"])
+
+    return raw.mapInArrow(number, "row_seq bigint, record string, mol_block string, parsed boolean").withColumn("tags", record_tags(F.col("record")))
 
 
 def record_tags(record: Column) -> Column:
