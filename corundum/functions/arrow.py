@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import subprocess
+import tempfile
 from collections.abc import Callable
 from functools import lru_cache
 from inspect import signature
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -145,6 +148,36 @@ def _reordered(block: str | None, smiles: str | None) -> str | None:
     return chem.reorder_block(block, smiles)
 
 
+def _reordered_by_rank(block: str | None, smiles: str | None) -> str | None:
+    return chem.reorder_block(block, smiles, by_rank=True)
+
+
+def external_order(command: tuple[str, ...], seconds: float = 120.0) -> Callable:
+    """A function of a block: atoms in the order in which an external program writes them.
+
+    The program gets the name of a frame file as its last argument and rewrites that file. No order comes out (null)
+    where it fails, takes longer than `seconds`, is not installed, or changes the elements. The file lives on the
+    worker only as long as the call.
+    """
+
+    def run(block: str | None) -> str | None:
+        frame = _block_frame(block)
+        if frame is None:
+            return None
+        with tempfile.TemporaryDirectory() as folder:
+            path = Path(folder, "atoms.xyz")
+            path.write_text(f"{frame['n']}\n\n{frame['lines']}")
+            try:
+                if subprocess.run([*command, str(path)], capture_output=True, timeout=seconds, check=False).returncode:
+                    return None
+                lines = path.read_text().split("\n")
+                return chem.order_by_elements(block, [x.split()[0] for x in lines[2 : 2 + int(lines[0])]])
+            except (OSError, subprocess.TimeoutExpired, ValueError, IndexError):
+                return None
+
+    return by_row(run, StringType())
+
+
 def _number_text(value: float | None) -> str | None:
     return None if value is None else str(value)
 
@@ -181,3 +214,4 @@ smiles_descriptors = by_row(_descriptors, DESCRIPTORS)
 number_text = by_row(_number_text, StringType())
 #: (block, SMILES): a block in canonical atom order.
 reorder_block = by_row(_reordered, StringType())
+reorder_block_by_rank = by_row(_reordered_by_rank, StringType())

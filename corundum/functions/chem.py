@@ -889,6 +889,18 @@ def smiles_state(text: str) -> tuple[int, int, int] | None:
     return None if mol is None else (*charges(mol), radicals(mol))
 
 
+@lru_cache(maxsize=20_000)
+def smiles_composition(text: str | None) -> dict[str, int]:
+    """Atoms of each element of a SMILES text, hydrogens among them; empty for null and unreadable ones."""
+    mol = parse_smiles(text, aromatize=False)
+    found: dict[str, int] = {}
+    for a in mol.atoms if mol else ():
+        found[a.symbol] = found.get(a.symbol, 0) + 1
+        if a.hydrogens:
+            found["H"] = found.get("H", 0) + a.hydrogens
+    return found
+
+
 @lru_cache(maxsize=20_000)
 def flat_smiles(text: str) -> str | None:
     """Canonical text without stereo, or None."""
@@ -938,11 +950,12 @@ def block_flat(block: str | None) -> str | None:
     return None if mol is None else write_smiles(_aromatize(without_hydrogens(mol)), isomeric=False)
 
 
-def reorder_block(block: str | None, smiles: str | None = None) -> str | None:
+def reorder_block(block: str | None, smiles: str | None = None, by_rank: bool = False) -> str | None:
     """The block with its atoms in canonical order, bonds renumbered and sorted; null for no valid block.
 
     Hydrogens that count with a heavy atom follow behind all others, in the order of their atoms. Bonds that a template
-    had to give are written as it gives them.
+    had to give are written as it gives them. With `by_rank` the ranks themselves are taken for the order, as some
+    pipelines did: atom i of the result is the one whose number is the rank of atom i.
     """
     if not is_block(block):
         return None
@@ -960,6 +973,14 @@ def reorder_block(block: str | None, smiles: str | None = None) -> str | None:
     place = dict(zip(kept, ranks(heavy), strict=True))
     near = mol.neighbours()
     order = sorted(range(n), key=lambda i: (0, place[i], i) if i in place else (1, place[near[i][0]], i))
+    if by_rank:
+        order = [new for _, new in sorted((old, new) for new, old in enumerate(order))]
+    return _renumbered(lines, order, written)
+
+
+def _renumbered(lines: list[str], order: list[int], written: dict[tuple[int, int], float]) -> str:
+    """A block with its atoms in `order`; orders of bonds in `written` replace those of the block."""
+    n, m = len(order), int(lines[3][3:6])
     new = {old: i + 1 for i, old in enumerate(order)}
     bonds = []
     for x in lines[4 + n : 4 + n + m]:
@@ -977,6 +998,20 @@ def reorder_block(block: str | None, smiles: str | None = None) -> str | None:
     return "\n".join([*lines[:4], *[lines[4 + i] for i in order], *[f"{a:3d}{b:3d}{tail}" for (a, b), tail in sorted(bonds)], *rest])
 
 
+def order_by_elements(block: str, symbols: list[str]) -> str | None:
+    """The block with its atoms in an order known by elements alone: each takes the next atom of its element. None if they don't match."""
+    if not is_block(block):
+        return None
+    lines = block.rstrip("\r\n").replace("\r\n", "\n").split("\n")
+    waiting: dict[str, list[int]] = {}
+    for i, x in enumerate(lines[4 : 4 + int(lines[3][:3])]):
+        waiting.setdefault(x[31:34].strip(), []).append(i)
+    if sorted(symbols) != sorted(e for e, places in waiting.items() for _ in places):
+        return None
+    turns = {e: iter(places) for e, places in waiting.items()}
+    return _renumbered(lines, [next(turns[e]) for e in symbols], {})
+
+
 def _kept(mol: Molecule) -> list[int]:
     """Atoms that without_hydrogens keeps, in their order."""
     near = mol.neighbours()

@@ -65,7 +65,8 @@ def assemble(main: DataFrame, xyz: DataFrame, bond: DataFrame, honour_status: bo
     A repeated main row gives a record each; a molecule without atoms is skipped, one without bonds has none. Rows that
     an earlier prefilter flagged are skipped if honour_status. Bonds beyond the atoms are left out; all are single.
     """
-    keyed = main.withColumn("key", zinc_name(F.col("Zinc_id")))
+    lacking = [c for c in ("Internal_E(0K)", "HOMO", "LUMO", "HL_gap") if c not in main.columns]
+    keyed = main.withColumns({c: F.lit(None).cast("double") for c in lacking} | {"key": zinc_name(F.col("Zinc_id"))})
     if honour_status and "energy_status" in main.columns:
         keyed = keyed.filter("energy_status = 'ok'")
     # Lists are joined to lists first, one row for each molecule on both sides; main, which may repeat one, comes then.
@@ -94,3 +95,9 @@ def charge_text(charges: Column) -> Column:
 
 def energy_text(energy: Column) -> Column:
     return fixed_text(8)(energy)
+
+
+def record_tags() -> dict[str, Column]:
+    """The tags of an assembled molecule's record as fixed-precision text, in their order."""
+    tags = {"Energy_Ha": energy_text(F.col("Energy_Ha")), "FormalCharge": F.col("FormalCharge"), "Multiplicity": F.col("Multiplicity"), "SMILES": F.col("SMILES"), "SourceID": F.col("SourceID")}
+    return tags | {t: fixed_text(6)(F.col(t)) for t in ("HOMO_Ha", "LUMO_Ha", "HL_Gap_Ha")} | {"PartialCharges": charge_text(F.col("charges"))}

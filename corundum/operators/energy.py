@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -109,21 +107,11 @@ def energy_prefilter(batch: DataFrame, threshold: float = THRESHOLD, elements: t
 def smiles_counts(smiles: Column, elements: tuple[str, ...] = SMILES_ELEMENTS) -> Column:
     """array<int>: atoms of each element in a SMILES text, hydrogens among them; all 0 for null and unreadable ones."""
 
-    @lru_cache(maxsize=20_000)
     def count(text: str | None) -> list[int]:
-        mol = chem.parse_smiles(text, aromatize=False)
-        found = dict.fromkeys(elements, 0)
-        for a in mol.atoms if mol else ():
-            if a.symbol in found:
-                found[a.symbol] += 1
-            if "H" in found:
-                found["H"] += a.hydrogens
-        return list(found.values())
-
-    def row(text: str | None) -> list[int]:
-        return count(text)
-
-    return by_row(row, ArrayType(IntegerType()))(smiles)
+        found = chem.smiles_composition(text)
+        return [found.get(e, 0) for e in elements]
+
+    return by_row(count, ArrayType(IntegerType()))(smiles)
 
 
 def smiles_prefilter(main: DataFrame, energy: str = "Internal_E(0K)", smiles: str = "smile", threshold: float = THRESHOLD) -> DataFrame:

@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corundum.functions.arrow import fingerprint, smiles_descriptors
 from corundum.operators.medians import exact_median
+from corundum.operators.similarity import nearest_neighbours
+from corundum.session import materialise, salted_join, spread
 
 # Ranges of atom counts in the report, the main ones and the peaks.
 ATOM_RANGES = ((12, 40), (41, 65), (66, 92))
@@ -65,6 +68,54 @@ def threshold_share(df: DataFrame, tests: dict[str, tuple[str, Column]]) -> Data
     return sums.select(F.explode(each).alias("x")).select("x.*").withColumn("share", F.try_divide("rows", "n"))
 
 
+#: Columns of the statistics table, in its order.
+STATS_COLUMNS = ("CompoundID", "SourceID", "CanonicalSMILES", "MolWt", "TPSA", "logP", "nrot", "num_atoms", "Energy_Ha", "max_tanimoto")
+# Polar surface below which a molecule counts as permeable, and similarity above which two are near duplicates.
+TPSA_LIMIT, NEAR_DUPLICATE = 140.0, 0.85
+
+
+def stats_table(batch: DataFrame, tanimoto: bool = False, divisor: int = 1, order: str = "row_seq") -> DataFrame:
+    """One row for each record with a readable or unreadable SMILES: `order` and STATS_COLUMNS; num_atoms is the SMILES' own.
+
+    Each distinct text is worked out once. With `tanimoto`, max_tanimoto is the largest similarity of the record's
+    structure to that of any other record, 1 where a text repeats; it is asked for rows whose `order` is divisible by
+    `divisor` and null for others. Unreadable texts have null numbers. Records without SMILES are left out.
+    """
+    rows = batch.filter("CanonicalSMILES <> ''").select(order, "CompoundID", "SourceID", "CanonicalSMILES", "Energy_Ha")
+    asks = F.col(order) % divisor == 0
+    forms = rows.groupBy("CanonicalSMILES").agg(F.count(F.lit(1)).alias("__rows"), F.min(order).alias("__form"), F.bool_or(asks).alias("__asks"))
+    forms = materialise(spread(forms).withColumns({"__f": smiles_descriptors(F.col("CanonicalSMILES")), "__bits": fingerprint(F.col("CanonicalSMILES")) if tanimoto else F.lit(None).cast("array<bigint>")}))
+    known = forms.select("CanonicalSMILES", "__rows", *[F.col(f"__f.{c}").alias(c) for c in ("MolWt", "TPSA", "logP", "nrot", "num_atoms")], "__form", F.col("__bits").isNotNull().alias("__has"))
+    if tanimoto:
+        best = nearest_neighbours(forms, "__form", "__bits", asks="__asks").select(F.col("query_id").alias("__form"), F.col("max_tanimoto").alias("__best"))
+        known = known.join(best, "__form", "left").withColumn("__best", F.when(F.col("__has") & (F.col("__rows") > 1), 1.0).otherwise(F.col("__best")))
+    else:
+        known = known.withColumn("__best", F.lit(None).cast("double"))
+    met = salted_join(rows, known.drop("__form", "__has"), ["CanonicalSMILES"], "inner", weight="__rows", by=[order])
+    return met.withColumn("max_tanimoto", F.when(asks, F.col("__best"))).select(order, *STATS_COLUMNS)
+
+
+def descriptor_report(table: DataFrame, columns: Sequence[str] = ("num_atoms", "MolWt", "TPSA", "logP", "nrot", "Energy_Ha")) -> DataFrame:
+    """describe() of a statistics table, with the share of polar surfaces below the limit."""
+    have = [c for c in columns if c in table.columns]
+    done = describe(table, have)
+    if "TPSA" not in have:
+        return done.withColumn("share_below_limit", F.lit(None).cast("double"))
+    share = threshold_share(table, {"TPSA": ("TPSA", F.col("TPSA") < TPSA_LIMIT)}).select("name", F.col("share").alias("share_below_limit"))
+    return done.join(F.broadcast(share), "name", "left")
+
+
+def tanimoto_report(table: DataFrame, key: str = "CompoundID", order: str = "row_seq", value: str = "max_tanimoto") -> DataFrame:
+    """n, mean, median, max, twins (similarity 1) and near duplicates with their shares, over the first row of each key.
+
+    Null keys count as one key. Fewer than two values: no rows.
+    """
+    firsts = table.groupBy(key).agg(F.min_by(value, order).alias("v")).filter("v is not null")
+    one = firsts.agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.max("v").alias("max"), F.count_if(F.col("v") == 1).alias("twins"), F.count_if(F.col("v") > NEAR_DUPLICATE).alias("near_duplicates")).first()
+    rows = [] if one["n"] < 2 else [(one["n"], one["mean"], exact_median(firsts, F.col("v")), one["max"], one["twins"], one["twins"] / one["n"], one["near_duplicates"], one["near_duplicates"] / one["n"])]
+    return table.sparkSession.createDataFrame(rows, "n bigint, mean double, median double, max double, twins bigint, twins_share double, near_duplicates bigint, near_duplicates_share double")
+
+
 def funnel(df: DataFrame, stages: Sequence[tuple[str, Column]], key: str, total: int | None = None) -> DataFrame:
     """stage_no, stage, rejected, passed: the running pass count in stage order, then the conformer step and the unique count.
 

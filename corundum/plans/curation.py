@@ -7,14 +7,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corundum.functions.arrow import block_flat, fingerprint, flat_smiles, number_text, smiles_state
+from corundum.functions.arrow import block_flat, fingerprint, flat_smiles, smiles_state
 from corundum.functions.arrow import smiles_descriptors as descriptors
 from corundum.functions.ids import compound_of
 from corundum.functions.v2000 import block_valid, head_counts, head_line
 from corundum.operators import assemble, chemfilter, contract, dedup, deliver, energy, integrity, similarity, stats, stereo
 from corundum.plans import pipeline
-from corundum.schema import FIT_ELEMENTS, PRESETS
-from corundum.session import read_table, salted_join, spread
+from corundum.plans.data_quality import valid_blocks
+from corundum.schema import FIT_ELEMENTS, PRESETS, REJECT_TAGS
+from corundum.session import materialise, read_table, salted_join, spread
 from corundum.sinks.writers import reject_records
 
 # SQL pieces.
@@ -73,7 +74,7 @@ def collision_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def energy_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3, A4, F2 over the batch records' own structures."""
     done = energy.energy_prefilter(spread(_batch(spark, sf_dir, "row_seq", "Energy_Ha", "mol_block")))
-    return done.select("row_seq", F.round("residual", 6).alias("residual"), F.round("z_residual", 6).alias("z_residual"), "energy_status")
+    return done.select("row_seq", F.round("residual", 4).alias("residual"), F.round("z_residual", 4).alias("z_residual"), "energy_status")
 
 
 def energy_outlier_ols_mad(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,15 +223,43 @@ SELECT 'ZINC' || lpad(CAST(m.key AS VARCHAR), 12, '0') AS SourceID, smile AS SMI
   CAST(x.n AS INTEGER) AS num_atoms, CAST(coalesce(y.n, 0) AS INTEGER) AS num_bonds FROM m JOIN x USING (key) LEFT JOIN y USING (key)"""
 
 
+def assembled_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The assembled molecules' columns; charges are added exactly, so that ties are ties."""
+    done = assemble.assemble(*(read_table(spark, sf_dir, t) for t in ("main", "xyz", "bond")))
+    return done.select("SourceID", "SMILES", "Energy_Ha", "FormalCharge", "Multiplicity", "HOMO_Ha", "LUMO_Ha", "HL_Gap_Ha", "num_atoms", "num_bonds")
+
+
 def built_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structure-file records of the assembled molecules; one that fits no block has a reason instead."""
     m = assemble.assemble(*(read_table(spark, sf_dir, t) for t in ("main", "xyz", "bond")))
     block = deliver.build_block(F.col("SourceID"), F.col("symbols"), F.col("coordinates"), F.col("bonds"))
-    six = deliver.fixed_text(6)
-    tags = {"Energy_Ha": assemble.energy_text(F.col("Energy_Ha")), "FormalCharge": F.col("FormalCharge"), "Multiplicity": F.col("Multiplicity"), "SMILES": F.col("SMILES"), "SourceID": F.col("SourceID")}
-    tags |= {t: six(F.col(t)) for t in ("HOMO_Ha", "LUMO_Ha", "HL_Gap_Ha")} | {"PartialCharges": assemble.charge_text(F.col("charges"))}
     why = deliver.block_refusal(F.col("symbols"), F.col("coordinates"), F.col("bonds"))
-    return m.select("SourceID", deliver.sdf_record(block, tags).alias("record"), why.alias("reject_reason"))
+    return m.select("SourceID", deliver.sdf_record(block, assemble.record_tags()).alias("record"), why.alias("reject_reason"))
+
+
+_ALNUM = "upper(regexp_replace(Zinc_id, '[^0-9A-Za-z]', '', 'g'))"
+_NAME = f"CASE WHEN regexp_matches({_ALNUM}, '^ZINC0*[0-9]{{1,18}}$') THEN 'ZINC' || lpad(ltrim(substr({_ALNUM}, 5), '0'), CAST(greatest(12, length(ltrim(substr({_ALNUM}, 5), '0'))) AS INTEGER), '0') ELSE nullif({_ALNUM}, '') END"
+_ARRIVED = "coalesce(CAST(loaded_at AS TIMESTAMP), TIMESTAMP '9999-12-31')"
+# Molecules from the first delivery of atoms and of bonds, one row each; sums of charges are exact.
+_BUILT = f"""
+ka AS (SELECT *, {_NAME} AS name, {_ARRIVED} AS arrived FROM xyz), kb AS (SELECT *, {_NAME} AS name, {_ARRIVED} AS arrived FROM bond),
+ra AS (SELECT ka.*, upper(substr(trim(atom), 1, 1)) || lower(substr(trim(atom), 2)) AS symbol FROM ka JOIN (SELECT name, min(arrived) AS arrived FROM ka WHERE name IS NOT NULL GROUP BY 1) USING (name, arrived)),
+atoms AS (SELECT name, CAST(count(*) AS INTEGER) AS n, list(symbol ORDER BY xyz_seq) AS symbols, list(final_x ORDER BY xyz_seq) AS xs, list(final_y ORDER BY xyz_seq) AS ys, list(final_z ORDER BY xyz_seq) AS zs,
+  list(charge ORDER BY xyz_seq) AS charges, CASE WHEN count(TRY_CAST(charge AS DECIMAL(22,12))) = count(*) THEN sum(TRY_CAST(charge AS DECIMAL(22,12))) END AS q FROM ra GROUP BY 1),
+rb AS (SELECT kb.name, atom1, atom2, min(bond_seq) AS s FROM kb JOIN (SELECT name, min(arrived) AS arrived FROM kb WHERE name IS NOT NULL GROUP BY 1) USING (name, arrived)
+  WHERE atom1 > 0 AND atom2 > 0 AND atom1 <> atom2 GROUP BY ALL),
+bonds AS (SELECT name, list([atom1, atom2] ORDER BY s) AS pairs FROM rb JOIN atoms USING (name) WHERE atom1 <= n AND atom2 <= n GROUP BY 1),
+built AS (SELECT m.name AS SourceID, smile AS SMILES, "Internal_E(0K)" AS Energy_Ha, CAST(round_even(q, 0) AS INTEGER) AS FormalCharge, HOMO AS HOMO_Ha, LUMO AS LUMO_Ha, HL_gap AS HL_Gap_Ha, atoms.*, coalesce(pairs, []) AS pairs
+  FROM (SELECT *, {_NAME} AS name FROM main WHERE energy_status = 'ok') m JOIN atoms USING (name) LEFT JOIN bonds USING (name))"""
+_ASSEMBLED = f"WITH {_BUILT} SELECT SourceID, SMILES, Energy_Ha, FormalCharge, CAST(1 AS INTEGER) AS Multiplicity, HOMO_Ha, LUMO_Ha, HL_Gap_Ha, n AS num_atoms, CAST(len(pairs) AS INTEGER) AS num_bonds FROM built"
+_TAG = lambda name, text: f"coalesce('> <{name}>' || chr(10) || {text} || chr(10) || chr(10), '')"
+_RECORDS = f"""
+WITH {_BUILT}, why AS (SELECT *, CASE WHEN n > 999 OR len(pairs) > 999 THEN 'beyond 999 atoms or bonds' WHEN len(list_filter(xs || ys || zs, lambda v: v IS NULL)) > 0 THEN 'a coordinate is missing' END AS reject_reason FROM built)
+SELECT SourceID, reject_reason, CASE WHEN reject_reason IS NULL THEN concat_ws(chr(10), SourceID, '  corundum', '', printf('%3d%3d', n, len(pairs)) || '  0  0  0  0  0  0  0  0999 V2000',
+  array_to_string(list_transform(range(1, n + 1), lambda i: printf('%10.4f%10.4f%10.4f %-3s 0  0  0  0  0  0  0  0  0  0  0  0', xs[i], ys[i], zs[i], symbols[i])), chr(10)),
+  CASE WHEN len(pairs) > 0 THEN array_to_string(list_transform(pairs, lambda p: printf('%3d%3d  1  0', p[1], p[2])), chr(10)) END, 'M  END') || chr(10)
+  || {' || '.join([_TAG("Energy_Ha", "printf('%.8f', Energy_Ha)"), _TAG("FormalCharge", "CAST(FormalCharge AS VARCHAR)"), _TAG("Multiplicity", "'1'"), _TAG("SMILES", "SMILES"), _TAG("SourceID", "SourceID"),
+    *[_TAG(t, f"printf('%.6f', {t})") for t in ("HOMO_Ha", "LUMO_Ha", "HL_Gap_Ha")], _TAG("PartialCharges", "array_to_string(list_transform(charges, lambda c: coalesce(printf('%.6f', c), 'nan')), ' ')")])} || '$$$$' || chr(10) END AS record FROM why"""
 
 
 def composition_formula(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,6 +361,67 @@ r AS (SELECT i AS stage_no, name AS stage, CASE WHEN i = 6 THEN greatest(0, kept
 SELECT CAST(stage_no AS INTEGER) AS stage_no, stage, rejected, passed FROM r"""
 
 
+def xyz_text_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Element and coordinates of every valid block's atom lines."""
+    batch = spread(_batch(spark, sf_dir, "row_seq", "mol_block"))
+    return batch.select("row_seq", deliver.xyz_text(F.col("mol_block")).alias("xyz")).filter("xyz is not null")
+
+
+def smiles_energy_prefilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3, P4, F2 of main: energy outliers by the composition of the SMILES."""
+    main = read_table(spark, sf_dir, "main").drop("energy_status")
+    done = energy.smiles_prefilter(main)
+    return done.select("Zinc_id", "loaded_at", "NAT", "S_count", "E_per_atom", F.round("z_residual", 6).alias("z_residual"), "energy_status")
+
+
+def smiles_energy_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of flagged rows, with its columns."""
+    return energy.flagged_rows(energy.smiles_prefilter(read_table(spark, sf_dir, "main").drop("energy_status")))
+
+
+def stats_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistics table of the batch; similarity is asked for rows divisible by 20."""
+    return stats.stats_table(_batch(spark, sf_dir, "row_seq", "CompoundID", "SourceID", "CanonicalSMILES", "Energy_Ha"), tanimoto=True, divisor=20)
+
+
+def descriptor_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2 over the statistics table."""
+    table = materialise(stats.stats_table(_batch(spark, sf_dir, "row_seq", "CompoundID", "SourceID", "CanonicalSMILES", "Energy_Ha")))
+    done = stats.descriptor_report(table)
+    return done.select("name", "n", *[F.round(c, 6).alias(c) for c in ("mean", "median", "min", "max", "share_below_limit")])
+
+
+def tanimoto_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 over similarities of embeddings."""
+    done = stats.tanimoto_report(materialise(nearest_neighbour_tanimoto(spark, sf_dir)), key="query_id", order="query_id")
+    return done.select("n", *[F.round(c, 6).alias(c) for c in ("mean", "median", "max")], "twins", F.round("twins_share", 6).alias("twins_share"), "near_duplicates", F.round("near_duplicates_share", 6).alias("near_duplicates_share"))
+
+
+_TANIMOTO = f"""WITH t AS ({_NEAREST}) SELECT count(*) AS n, round(avg(max_tanimoto), 6) AS mean, round(median(max_tanimoto), 6) AS median, round(max(max_tanimoto), 6) AS max, count(*) FILTER (max_tanimoto = 1) AS twins,
+  round(count(*) FILTER (max_tanimoto = 1) / count(*), 6) AS twins_share, count(*) FILTER (max_tanimoto > 0.85) AS near_duplicates, round(count(*) FILTER (max_tanimoto > 0.85) / count(*), 6) AS near_duplicates_share FROM t"""
+_REJECT_TAGS = [*[t for t in REJECT_TAGS], "CompoundID", "filter_status", "CanonicalSMILES", "dedup_status", "dedup_reason", "ICONF", "stereo_status", "reorder_status", "validate_status", "validate_errors", "family", "batch_file"]
+_REJECTS = f"SELECT mol_block || chr(10) || {' || '.join(_TAG(t, f'CAST({t} AS VARCHAR)') for t in [*_REJECT_TAGS, 'reject_reason'])} || '$$$$' || chr(10) AS value FROM (SELECT *, filter_reason AS reject_reason FROM batch) WHERE reject_reason IS NOT NULL AND mol_block IS NOT NULL"
+# Least squares by Gauss-Jordan steps over the normal matrix; an element that no row has keeps coefficient 0.
+_FIT = [f"c[{i + 1}]" for i in range(len(FIT_ELEMENTS))]
+_PIVOT = "m[k][k]"
+_ENERGY = f"""
+WITH RECURSIVE l AS (SELECT row_seq, Energy_Ha, string_split(mol_block, chr(10)) AS l FROM batch),
+s AS (SELECT row_seq, Energy_Ha, CASE WHEN regexp_full_match(substr(l[4], 1, 3), '[[:space:]]*[0-9]+[[:space:]]*') THEN list_transform(l[5:4 + CAST(trim(substr(l[4], 1, 3)) AS INTEGER)], lambda x: trim(substr(x, 32, 3))) END AS s FROM l),
+t AS (SELECT row_seq, Energy_Ha AS e, CASE WHEN len(s) > 0 THEN [{', '.join(f"len(list_filter(s, lambda x: x = '{e}'))::DOUBLE" for e in FIT_ELEMENTS)}] END AS c FROM s),
+f AS (SELECT * FROM t WHERE c IS NOT NULL AND isfinite(e)),
+gj AS (SELECT 1 AS k, [{', '.join('[' + ', '.join(f'sum({a} * {b})' for b in [*_FIT, 'e']) + ']' for a in _FIT)}] AS m FROM f
+  UNION ALL SELECT k + 1, list_transform(m, lambda r, i: CASE WHEN {_PIVOT} = 0 THEN r WHEN i = k THEN list_transform(r, lambda v: v / {_PIVOT}) ELSE list_transform(r, lambda v, j: v - r[k] * m[k][j] / {_PIVOT}) END) FROM gj WHERE k <= {len(FIT_ELEMENTS)}),
+b AS (SELECT list_transform(m, lambda r, i: CASE WHEN r[i] = 0 THEN 0 ELSE r[{len(FIT_ELEMENTS) + 1}] END) AS b FROM gj WHERE k = {len(FIT_ELEMENTS) + 1}),
+r AS (SELECT row_seq, c, CASE WHEN c IS NOT NULL AND isfinite(e) THEN e - list_sum(list_transform(c, lambda v, i: v * b[i])) END AS res FROM t, b),
+m1 AS (SELECT median(res) AS m FROM r), d1 AS (SELECT median(abs(res - m)) AS d FROM r, m1),
+z AS (SELECT row_seq, c, res, 0.6745 * (res - m) / d AS z FROM r, m1, d1)
+SELECT row_seq, round(res, 4) AS residual, round(z, 4) AS z_residual, CASE WHEN c IS NULL THEN 'mol_corrupt' WHEN res IS NULL THEN 'energy_nonfinite' WHEN abs(z) > 3.5 THEN 'flagged' ELSE 'ok' END AS energy_status FROM z"""
+_XYZ = f"""
+WITH {valid_blocks('batch', 'row_seq')}
+SELECT row_seq, array_to_string(list_transform(l[5:4 + n], lambda x: printf('%-2s  %.6f  %.6f  %.6f', trim(substr(x, 32, 3)), CAST(trim(substr(x, 1, 10)) AS DOUBLE), CAST(trim(substr(x, 11, 10)) AS DOUBLE), CAST(trim(substr(x, 21, 10)) AS DOUBLE))), chr(10)) || chr(10) AS xyz
+FROM heads JOIN blocks USING (row_seq) WHERE valid AND n > 0"""
+
+
 def smiles_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Descriptors of every record of the batch; each structure is worked out once."""
     batch = _batch(spark, sf_dir, "row_seq", "CompoundID", "SourceID", "CanonicalSMILES", "Energy_Ha")
@@ -362,12 +452,18 @@ _FUNCTIONS = (
     contract_validate, dedup_first_occurrence, unique_keep_first, collision_count, energy_outliers, energy_outlier_ols_mad, chemical_filter_presets, filter_reason_counts,
     integrity_check, integrity_full, mirror_pair_removal, stereo_filter, nearest_neighbour_tanimoto, nearest_structures, assemble_left_join, built_records, composition_formula, feature_presence,
     element_whitelist, exclude_filter, status_counts, histogram_50, range_buckets, descriptor_summary, threshold_share, curation_funnel, smiles_descriptors, frame_export, reject_export,
-    curation_pipeline,
+    curation_pipeline, assembled_records, xyz_text_export, smiles_energy_prefilter, smiles_energy_flagged, stats_summary, descriptor_report, tanimoto_report,
 )
 
 QUERIES = {f.__name__: f for f in _FUNCTIONS}
 SQL = {
     "contract_validate": _CONTRACT,
+    "assembled_records": _ASSEMBLED,
+    "built_records": _RECORDS,
+    "reject_export": _REJECTS,
+    "energy_outliers": _ENERGY,
+    "xyz_text_export": _XYZ,
+    "tanimoto_report": _TANIMOTO,
     "dedup_first_occurrence": _DEDUP,
     "unique_keep_first": f"WITH c AS (SELECT row_seq, {_COMPOUND} AS compound_id, Energy_Ha FROM batch) SELECT row_seq, compound_id, Energy_Ha FROM c WHERE compound_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY compound_id ORDER BY row_seq) = 1",
     "collision_count": "SELECT CompoundID, count(*) AS rows, count(DISTINCT CanonicalSMILES) AS forms FROM batch WHERE CompoundID IS NOT NULL GROUP BY 1",

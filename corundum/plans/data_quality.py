@@ -63,7 +63,7 @@ _NUMBER = r"[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?"
 _COORDINATE = lambda at: f"regexp_full_match(substr(x, {at}, 10), ' *{_NUMBER} *') AND coalesce(isfinite(TRY_CAST(trim(substr(x, {at}, 10)) AS DOUBLE)), false)"
 
 
-def _valid(table: str, key: str) -> str:
+def valid_blocks(table: str, key: str) -> str:
     """Common table expressions `lines` and `blocks` (key, valid) over a table with mol_block: the rules for a block, line by line."""
     return f"""lines AS (SELECT {key}, string_split(replace(regexp_replace(mol_block, '[\\r\\n]+$', ''), chr(13) || chr(10), chr(10)), chr(10)) AS l FROM {table}),
 heads AS (SELECT *, CASE WHEN regexp_full_match(substr(l[4], 1, 3), ' *[0-9]+ *') THEN CAST(trim(substr(l[4], 1, 3)) AS INTEGER) END AS n,
@@ -83,17 +83,17 @@ f AS (SELECT raw_id, file_name, received_at, CASE WHEN raw_line IS NULL THEN 'co
 g AS (SELECT raw_id, file_name, received_at, broken, {', '.join(f"CASE WHEN broken IS NULL THEN v[{i + 1}] END AS {c}" for i, c in enumerate(RAW_FIELDS))} FROM f)"""
 _FINITE = lambda c: f"CASE WHEN regexp_full_match({c}, '[ \t]*{_NUMBER}[ \t]*') AND isfinite(TRY_CAST(trim(replace({c}, chr(9), ' ')) AS DOUBLE)) THEN CAST(trim(replace({c}, chr(9), ' ')) AS DOUBLE) END"
 _WHOLE = lambda c: f"CASE WHEN regexp_full_match({c}, '[ \t]*[+-]?[0-9]+[ \t]*') THEN TRY_CAST(ltrim(trim(replace({c}, chr(9), ' ')), '+') AS INTEGER) END"
-_TYPED = f"""{_RAW}, {_valid('g', 'raw_id')},
+_TYPED = f"""{_RAW}, {valid_blocks('g', 'raw_id')},
 t AS (SELECT raw_id, file_name, received_at, broken, SourceID, SMILES, {', '.join(f"{(_WHOLE if c in ('FormalCharge', 'Multiplicity') else _FINITE)(c)} AS {c}" for c in RAW_FIELDS[2:8])}, PartialCharges, mol_block, valid FROM g JOIN blocks USING (raw_id))"""
 _REASONS = "list_filter(['energy', 'formal_charge', 'mol_block'], lambda r: CASE r WHEN 'energy' THEN NOT coalesce(isfinite(Energy_Ha), false) WHEN 'formal_charge' THEN FormalCharge IS NULL ELSE NOT valid END)"
 _P2_RAW = f"WITH {_TYPED} SELECT 'batch_raw' AS origin, raw_id AS rec_id, unnest(CASE WHEN broken IS NOT NULL THEN [broken] ELSE {_REASONS} END) AS reason FROM t"
-_P2_BATCH = f"WITH {_valid('batch', 'row_seq')} SELECT 'batch' AS origin, row_seq AS rec_id, unnest({_REASONS}) AS reason FROM batch JOIN blocks USING (row_seq)"
+_P2_BATCH = f"WITH {valid_blocks('batch', 'row_seq')} SELECT 'batch' AS origin, row_seq AS rec_id, unnest({_REASONS}) AS reason FROM batch JOIN blocks USING (row_seq)"
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_loaded_raw, p2_loaded_batch, p2_edits, p4_found, p4_counts)}
 SQL = {
     "p2_found": f"SELECT * FROM ({_P2_RAW}) UNION ALL SELECT * FROM ({_P2_BATCH})",
     "p2_loaded_raw": f"WITH {_TYPED} SELECT * EXCLUDE (broken, valid) FROM t WHERE broken IS NULL AND len({_REASONS}) = 0",
-    "p2_loaded_batch": f"WITH {_valid('batch', 'row_seq')} SELECT batch.* FROM batch JOIN blocks USING (row_seq) WHERE len({_REASONS}) = 0",
+    "p2_loaded_batch": f"WITH {valid_blocks('batch', 'row_seq')} SELECT batch.* FROM batch JOIN blocks USING (row_seq) WHERE len({_REASONS}) = 0",
     "p4_found": _P4 + "SELECT * FROM f",
     "p4_counts": _P4 + "SELECT table_name, period, kind, count(*) AS molecules FROM f GROUP BY ALL",
 }

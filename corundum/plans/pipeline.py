@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corundum.functions.arrow import reorder_block
+from corundum.functions.arrow import external_order, reorder_block, reorder_block_by_rank
 from corundum.operators import chemfilter, dedup, energy, integrity, stats, stereo
 from corundum.session import materialise, spread
 
@@ -29,6 +29,8 @@ class Options:
     """on_reject: `tag` keeps every row with its statuses, `drop` passes on only what a stage takes.
 
     geometry: the filter works out bonds and charges from coordinates and FormalCharge.
+    compat_rank: canonical ranks are taken for the order of atoms. order_command: an external program orders the atoms,
+    see external_order; only curate runs it, and a record that it fails on keeps its block with reorder_status `failed`.
     """
 
     stages: tuple[str, ...] = STAGES
@@ -38,6 +40,8 @@ class Options:
     elements: tuple[str, ...] | None = None
     heavy: tuple[int, int] | None = None
     geometry: bool = False
+    compat_rank: bool = False
+    order_command: tuple[str, ...] | None = None
     first_only_among_accepted: bool = True
     extra: dict = field(default_factory=dict)
 
@@ -101,7 +105,14 @@ def curate(batch: DataFrame, options: Options | None = None) -> DataFrame:
     out = kept.join(tags, "row_seq", "inner")
     if "reorder" in options.stages and "mol_block" in batch.columns:
         smiles = F.col("SMILES") if "SMILES" in batch.columns else F.lit(None).cast("string")
-        out = out.withColumn("mol_block", F.coalesce(reorder_block(F.col("mol_block"), smiles), F.col("mol_block")))
+        if options.order_command:
+            out = out.withColumn("__new", external_order(options.order_command)(F.col("mol_block")))
+            out = out.withColumn("reorder_status", F.when(F.col("__new").isNull(), "failed").otherwise(F.col("reorder_status")))
+            if options.on_reject == "drop":
+                out = out.filter(F.col("__new").isNotNull())
+        else:
+            out = out.withColumn("__new", (reorder_block_by_rank if options.compat_rank else reorder_block)(F.col("mol_block"), smiles))
+        out = out.withColumn("mol_block", F.coalesce("__new", "mol_block")).drop("__new")
     return out
 
 
@@ -120,6 +131,25 @@ def failed(df: DataFrame, stages: tuple[str, ...] = ("validate", "reorder")) ->
     return False
 
 
+def still_rejected(df: DataFrame) -> DataFrame:
+    """stage, rows: rows that a stage before validation turned down and that are still there."""
+    have = [s for s in ("energy", "filter", "dedup") if f"{s}_status" in df.columns]
+    counts = df.agg(*[F.count_if(F.coalesce(F.expr(REJECTED[s]), F.lit(False))).alias(s) for s in have])
+    each = F.explode(F.array(*[F.struct(F.lit(s).alias("stage"), F.col(s).alias("rows")) for s in have])).alias("x")
+    return counts.select(each).select("x.*").filter("rows > 0")
+
+
+def nothing_to_fit(df: DataFrame) -> bool:
+    """Whether the energy stage had no record to fit: rows there are, but none has a composition and a finite energy."""
+    return bool(df.head(1)) and not df.filter("energy_status in ('ok', 'flagged')").head(1)
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """stage, rows of a written table of rejects, with the total of all stages in a row `total`."""
+    counts = rejects.groupBy("stage").agg(F.count(F.lit(1)).alias("rows"))
+    return counts.unionByName(counts.agg(F.lit("total").alias("stage"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")))
+
+
 def rejects_by_stage(df: DataFrame) -> DataFrame:
     """stage, reason, row_seq: one row for each stage that turned a row down."""
     reasons = {"energy": F.col("energy_status"), "filter": F.coalesce("filter_reason", "filter_status"), "dedup": F.coalesce("dedup_reason", "dedup_status"), "validate": F.col("validate_errors"), "stereo": F.col("stereo_status"), "reorder": F.col("reorder_status")}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from corundum.schema import BATCH
 from corundum.session import join_checked
@@ -37,13 +37,20 @@ def read_batches(spark: SparkSession, directory: str, schema: StructType = BATCH
     return found.select(*[column(f) for f in schema.fields])
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, limit: int | None = None) -> DataFrame:
-    """A delimited file with a header under a fixed schema; a field of the wrong type is null."""
+def read_csv(spark: SparkSession, path: str, schema: StructType, limit: int | None = None, order: list[str] | None = None) -> DataFrame:
+    """A delimited file with a header under a fixed schema; a field of the wrong type is null.
+
+    `order`: the file's columns, if they don't come in the order of the schema.
+    """
+    if order is not None:
+        schema = StructType([schema[c] for c in order])
     out = spark.read.csv(path, header=True, schema=schema, multiLine=False, enforceSchema=False)
     return out if limit is None else out.limit(limit)
 
 
-def with_row_seq(df: DataFrame, name: str = "row_seq") -> DataFrame:
-    """df with an order of its own: grows with the partition and the row within, with gaps."""
-    return df.select(F.monotonically_increasing_id().cast(LongType()).alias(name), "*")
+def with_file_order(df: DataFrame, name: str) -> DataFrame:
+    """df, fresh from a file, with a column that sorts its rows as the files have them: file, piece of it, place in the piece.
 
+    Tasks get the largest pieces first, so a growing number alone would not do.
+    """
+    return df.withColumn(name, F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row")))

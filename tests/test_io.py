@@ -105,3 +105,60 @@ def test_command_line(spark, tmp_path):
     assert spark.read.parquet(path("done")).filter("dedup_status = 'ok'").count() == 1
     assert cli.main(["report", path("done"), "--funnel-only"], spark) == 0
     assert cli.main(["frames", path("done"), path("frames"), "--exclude", "dedup_status=conformer_duplicate"], spark) == 0
+
+
+def test_structure_files_keep_their_order(spark, tmp_path):
+    # Pieces of very different sizes, as Spark packs the largest first.
+    for name, n in (("b", 3), ("a", 400), ("c", 60)):
+        (tmp_path / f"{name}.sdf").write_text("".join(record(GOOD, SourceID=f"{name}{i:04d}") for i in range(n)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        got = [r["tags"]["SourceID"] for r in sdf.read_sdf(spark, str(tmp_path)).orderBy("row_seq").collect()]
+        seqs = [r["row_seq"] for r in sdf.read_sdf(spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == [f"{name}{i:04d}" for name, n in (("a", 400), ("b", 3), ("c", 60)) for i in range(n)] and len(set(seqs)) == 463
+
+
+def test_commands_over_delimited_tables(spark, tmp_path, capsys):
+    from corundum.plans import cli
+
+    path = lambda name: str(tmp_path / name)
+    smiles = ["C", "CC", "CCC", "CCO", "C[N+](C)(C)C", "C(", "O"]
+    energies = [-40.5, -79.8, -119.1, -155.0, -214.0, -1.0, -76.4]
+    pd.DataFrame({"Zinc_id": [f"ZINC{i}" for i in range(7)], "smile": smiles, "Internal_E(0K)": energies, "HOMO": 0.1, "LUMO": 0.2, "HL_gap": 0.1}).to_csv(path("main.csv"), index=False)
+    assert cli.main(["filter-smiles", path("main.csv"), path("passed"), path("rejected")], spark) == 0
+    read = lambda name: pd.concat([pd.read_csv(f) for f in (tmp_path / name).glob("part-*.csv")])
+    assert sorted(read("passed")["smile"]) == ["C", "CC", "CCC", "CCO", "O"]
+    assert sorted(read("rejected")["reason"]) == ["charge=+1", "smiles_unparseable"] and list(read("rejected").columns) == ["Zinc_id", "smile", "reason"]
+    assert cli.main(["energy-prefilter", path("passed"), path("energies"), path("flagged")], spark) == 0
+    assert set(read("energies")["energy_status"]) == {"ok"}
+    pd.DataFrame({"Zinc_id": ["ZINC6"] * 3 + ["ZINC0"] * 2, "atom": ["O", "H", "H", "C", "H"], "final_x": range(5), "final_y": 0.0, "final_z": 0.0, "charge": [-0.5, 0.25, 0.25, 0.25, 0.25]}).to_csv(path("xyz.csv"), index=False)
+    pd.DataFrame({"Zinc_id": ["ZINC6", "ZINC6"], "atom1": [1, 1], "atom2": [2, 3]}).to_csv(path("bond.csv"), index=False)
+    assert cli.main(["convert", path("energies"), path("xyz.csv"), path("bond.csv"), path("sdf")], spark) == 0
+    rows = {r["SourceID"]: r for r in sdf.to_rows(sdf.read_sdf(spark, path("sdf"))).collect()}
+    assert (rows["ZINC000000000006"]["num_atoms"], rows["ZINC000000000006"]["num_bonds"], rows["ZINC000000000006"]["FormalCharge"]) == (3, 2, 0)
+    assert rows["ZINC000000000000"]["FormalCharge"] == 0 and rows["ZINC000000000000"]["num_bonds"] == 0 and len(rows) == 2
+    (tmp_path / "empty").mkdir()
+    assert cli.main(["report", path("empty")], spark) == 1 and cli.main(["report", path("absent")], spark) == 1
+    assert "no batches" in capsys.readouterr().err
+
+
+def test_curate_command_warns_and_reports(spark, tmp_path, capsys):
+    from corundum.plans import cli
+
+    path = lambda name: str(tmp_path / name)
+    rows = [(i, GOOD, "CCl", -500.0, 0, 1, f"s{i}", 2, 1) for i in range(3)]
+    df = spark.createDataFrame(rows, "row_seq bigint, mol_block string, SMILES string, Energy_Ha double, FormalCharge int, Multiplicity int, SourceID string, num_atoms int, num_bonds int")
+    df.write.parquet(path("in"))
+    assert cli.main(["curate", path("in"), path("done"), "--rejects", path("why")], spark) == 0
+    err = capsys.readouterr().err
+    assert "3 rows that the stage filter turned down" in err
+    assert cli.main(["stats", path("done"), path("stats"), "--tanimoto"], spark) == 0
+    table = spark.read.parquet(path("stats")).collect()
+    assert {r["max_tanimoto"] for r in table} == {1.0} and all(r["logP"] is not None for r in table)
+    assert cli.main(["report", path("done"), "--rejects", path("why"), "--stats", path("stats")], spark) == 0
+    assert "near_duplicates" in capsys.readouterr().out
+    df.withColumn("Energy_Ha", F.lit(None).cast("double")).write.parquet(path("none"))
+    assert cli.main(["curate", path("none"), path("done2"), "--preset", "none"], spark) == 1

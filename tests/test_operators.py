@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corundum.functions import chem
 from corundum.functions.arrow import fixed_text, number_text
@@ -264,3 +265,160 @@ def test_pipeline_takes_bonds_from_geometry(spark):
     from corundum.plans import cli
 
     assert cli._parser().parse_args(["curate", "a", "b", "--geometry"]).geometry and not cli._parser().parse_args(["curate", "a", "b"]).geometry
+
+
+@pytest.mark.parametrize(
+    ("text", "logp"),
+    [("c1ccccc1", 1.6866), ("CCO", -0.0014), ("Cc1ccccc1", 1.9950), ("Oc1ccccc1", 1.3922), ("CC(=O)O", 0.0909), ("c1ccncc1", 1.0816), ("CC(=O)Oc1ccccc1C(=O)O", 1.3101),
+     ("Cn1cnc2c1c(=O)n(C)c(=O)n2C", -1.0293), ("CC(=O)Nc1ccc(O)cc1", 1.3506), ("CC(C)Cc1ccc(cc1)C(C)C(=O)O", 3.0732), ("CC#N", 0.5299), ("CS(C)=O", -0.0053), ("[O-][N+](=O)c1ccccc1", 1.5948)],
+)
+def test_logp_of_known_molecules(text, logp):
+    assert chem.partition(chem.parse_smiles(text)) == pytest.approx(logp, abs=1e-4)
+    explicit = chem.parse_smiles(chem.write_smiles(chem.parse_smiles(text)))
+    assert chem.partition(explicit) == pytest.approx(logp, abs=1e-4)
+
+
+def block(atoms, bonds, wedges=None):
+    lines = [f"{x:10.4f}{y:10.4f}{z:10.4f} {s:<3s} 0  0" for s, x, y, z in atoms]
+    lines += [f"{a:3d}{b:3d}{k:3d}{(wedges or {}).get((a, b), 0):3d}" for a, b, k in bonds]
+    return "\n".join(["t", "", "", f"{len(atoms):3d}{len(bonds):3d}  0  0  0  0  0  0  0  0999 V2000", *lines, "M  END"])
+
+
+STAR = [(1, 2, 1), (1, 3, 1), (1, 4, 1), (1, 5, 1)]
+
+
+def halide(sign=1, flip=()):
+    """CHFClBr; its mirror image with sign -1."""
+    return block([("C", 0, 0, 0), ("F", 0, 0, 1), ("Cl", 0.9, 0, -0.3), ("Br", -0.5, 0.8 * sign, -0.3), ("H", -0.5, -0.8 * sign, -0.3)], STAR)
+
+
+def test_handedness_comes_from_coordinates():
+    right, left = chem.block_texts(halide()), chem.block_texts(halide(-1))
+    assert right[0] != left[0] and right[1] == left[0] and left[1] == right[0] and right[2] and left[2]
+    # Seen from the fluorine, chlorine, bromine and hydrogen turn to the left.
+    assert chem.write_smiles(chem.without_hydrogens(chem.parse_smiles("F[C@](Cl)(Br)[H]"))) == right[0]
+    # Any order of the atoms gives the same text, and turning the molecule does too.
+    turned = block([("Br", 0.8, 0.5, -0.3), ("H", -0.8, 0.5, -0.3), ("C", 0, 0, 0), ("Cl", 0, -0.9, -0.3), ("F", 0, 0, 1)], [(3, 5, 1), (3, 4, 1), (3, 1, 1), (3, 2, 1)])
+    assert chem.block_texts(turned)[0] in (right[0], left[0])
+    # Two equal neighbours, or all in one plane: no centre.
+    assert not chem.block_texts(halide().replace("Br ", "Cl "))[2]
+    flat = block([("C", 0, 0, 0), ("F", 0, 1, 0), ("Cl", 1, 0, 0), ("Br", 0, -1, 0), ("H", -1, 0, 0)], STAR)
+    assert not chem.block_texts(flat)[2]
+    # In a flat drawing the wedge decides.
+    drawn = [("C", 0, 0, 0), ("F", 0, 1, 0), ("Cl", 0.9, -0.5, 0), ("Br", -0.9, -0.5, 0)]
+    up, down = (chem.block_texts(block(drawn, [(1, 2, 1), (1, 3, 1), (1, 4, 1)], {(1, 2): w})) for w in (1, 6))
+    assert up[2] and down[2] and up[0] == down[1] != down[0]
+
+
+def test_mirror_pair_through_the_pipeline(spark):
+    rows = [(1, halide(), -1.0), (2, halide(-1), -1.0), (3, halide(), -1.0), (4, GOOD, -1.0), (5, "x", -1.0)]
+    df = spark.createDataFrame(rows, "row_seq bigint, mol_block string, Energy_Ha double")
+    got = {r["row_seq"]: r for r in pipeline.curate(df, pipeline.Options(preset="none")).collect()}
+    assert [got[i]["stereo_status"] for i in (1, 2, 3, 4, 5)] == ["kept", "removed_enantiomer", "kept", "kept", "skipped_no_smiles"]
+    assert got[1]["CompoundID"] == got[3]["CompoundID"] != got[2]["CompoundID"] and got[3]["dedup_status"] == "conformer_duplicate" and got[2]["dedup_status"] == "ok"
+    assert got[1]["validate_errors"] is not None and got[5]["mol_block"] == "x"
+
+
+def test_template_gives_bonds_that_cannot_be_written(spark):
+    ring = lambda n: block([("C", i, 0.3 * i * i, 0) for i in range(n)], [(i + 1, (i + 1) % n + 1, 4) for i in range(n)])
+    six, five = ring(6), ring(5)
+    assert chem.block_texts(six)[0] is not None and chem.block_texts(six)[9] is None
+    rows = [(1, five, None), (2, five, "C1=CCC=C1"), (3, five, "CCCC"), (4, five, "C("), (5, six, None)]
+    df = spark.createDataFrame(rows, "row_seq bigint, mol_block string, SMILES string")
+    got = {r["row_seq"]: (r["dedup_status"], r["dedup_reason"]) for r in dedup.canonicalize(df).collect()}
+    assert got == {1: ("bond_assignment_failed", "kekulize failed, no SMILES for template"), 2: (None, None), 3: ("bond_assignment_failed", "template fallback failed"), 4: ("bond_assignment_failed", "SMILES tag unparseable"), 5: (None, None)}
+    written = chem.reorder_block(five, "C1=CCC=C1")
+    assert sorted(x[6:9] for x in written.split("\n")[9:14]) == ["  1"] * 3 + ["  2"] * 2
+
+
+def test_other_orders_of_atoms(spark, tmp_path):
+    ranked, by_rank = chem.reorder_block(halide()), chem.reorder_block(halide(), by_rank=True)
+    assert sorted(ranked.split("\n")[4:9]) == sorted(by_rank.split("\n")[4:9]) and chem.block_texts(by_rank)[0] == chem.block_texts(ranked)[0]
+    script = tmp_path / "reverse.sh"
+    script.write_text('{ head -2 "$1"; tail -n +3 "$1" | tac; } > "$1.new" && mv "$1.new" "$1"\n')
+    df = spark.createDataFrame([(1, halide(), -1.0), (2, "x", -1.0)], "row_seq bigint, mol_block string, Energy_Ha double")
+    run = lambda command: {r["row_seq"]: r for r in pipeline.curate(df, pipeline.Options(stages=("reorder",), order_command=command)).collect()}
+    got = run(("sh", str(script)))
+    assert [x[31:34].strip() for x in got[1]["mol_block"].split("\n")[4:9]] == ["H", "Br", "Cl", "F", "C"] and got[1]["reorder_status"] == "ok" and got[2]["reorder_status"] == "failed"
+    assert chem.block_texts(got[1]["mol_block"])[0] == chem.block_texts(halide())[0]
+    absent = run(("no-such-program",))
+    assert absent[1]["reorder_status"] == "failed" and absent[1]["mol_block"] == halide()
+
+
+def test_salts_follow_the_rows(spark):
+    from corundum.session import salted_join
+
+    rows = [(i, "hot" if i % 2 else None if i % 3 else f"k{i % 40}") for i in range(6000)]
+    big = spark.createDataFrame(rows, "i int, k string")
+    small = big.filter("k is not null").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("i").alias("least"))
+    before = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for k, v in zip(("adaptive.enabled", "autoBroadcastJoinThreshold", "shuffle.partitions"), ("false", "-1", "16"), strict=True):
+            spark.conf.set(f"spark.sql.{k}", v)
+        for weight in (None, "n"):
+            for how in ("left", "inner"):
+                met = salted_join(big, small, ["k"], how, weight=weight, by=["i"], task_rows=150)
+                plain = big.join(small, "k", how)
+                assert sorted(map(str, met.select("i", "k", "least").collect())) == sorted(map(str, plain.select("i", "k", "least").collect()))
+        largest = salted_join(big, small, ["k"], "left", weight="n", task_rows=150).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    finally:
+        for k, v in zip(("adaptive.enabled", "autoBroadcastJoinThreshold", "shuffle.partitions"), before, strict=True):
+            spark.conf.set(f"spark.sql.{k}", v)
+    assert largest < 1500  # of 6,000 rows, half of one key and a third null
+
+
+def test_prefilter_over_smiles_equals_least_squares(spark):
+    rng = np.random.default_rng(3)
+    texts = ["C" * int(n) + "O" * int(o) + ("N" if i % 3 else "S") for i, (n, o) in enumerate(rng.integers(1, 6, (60, 2)))]
+    counts = np.array([[chem.smiles_composition(t).get(e, 0) for e in energy.SMILES_ELEMENTS] for t in texts], float)
+    y = counts @ np.array([-37.8, -0.5, -54.6, -75.1, -398.1, 0, 0, 0, 0, 0]) + rng.normal(0, 0.01, 60)
+    y[7] += 30
+    rows = [(f"z{i}", t, float(e)) for i, (t, e) in enumerate(zip(texts, y, strict=True))] + [("bad", "C(", None), ("nan", "C", float("nan"))]
+    main = spark.createDataFrame(rows, "Zinc_id string, smile string, `Internal_E(0K)` double")
+    got = {r["Zinc_id"]: r for r in energy.smiles_prefilter(main).collect()}
+    used = counts.sum(0) > 0
+    res = y - counts[:, used] @ np.linalg.lstsq(counts[:, used], y, rcond=None)[0]
+    z = 0.6745 * (res - np.median(res)) / np.median(np.abs(res - np.median(res)))
+    assert np.allclose([got[f"z{i}"]["z_residual"] for i in range(60)], z, rtol=1e-4, atol=1e-3)
+    assert got["z7"]["energy_status"] == "flagged" and got["bad"]["energy_status"] == got["nan"]["energy_status"] == "energy_nonfinite"
+    assert (got["z0"]["NAT"], got["z0"]["S_count"]) == (int(counts[0].sum()), 1) and got["bad"]["NAT"] == 0 and got["bad"]["E_per_atom"] is None
+    flagged = energy.flagged_rows(energy.smiles_prefilter(main))
+    assert flagged.columns == ["Zinc_id", "energy_status", "S_count", "E_per_atom", "z_residual", "smile", "NAT", "Internal_E(0K)"] and flagged.filter("Zinc_id = 'z7'").count() == 1
+    assert {r["energy_status"] for r in energy.smiles_prefilter(main.select("Zinc_id", "smile")).collect()} == {"ok"} and energy.smiles_prefilter(main.limit(0)).count() == 0
+
+
+def test_statistics_table_against_brute_force(spark):
+    forms = ["CCO", "CCN", "CCO", "c1ccccc1", "C(", None, "", "CC(=O)O"]
+    df = spark.createDataFrame([(i, f"c{i % 3}", f"s{i}", s, -1.0 * i) for i, s in enumerate(forms)], "row_seq bigint, CompoundID string, SourceID string, CanonicalSMILES string, Energy_Ha double")
+    bits = {s: {64 * k + b for k, w in enumerate(chem.fingerprint(chem.parse_smiles(s))) for b in range(64) if w >> b & 1} for s in forms if s and s != "C("}
+    rows = [(i, s) for i, s in enumerate(forms) if s]
+    want = {i: max((len(bits[s] & bits[t]) / len(bits[s] | bits[t]) for j, t in rows if j != i and t in bits), default=None) if s in bits else None for i, s in rows}
+    got = {r["row_seq"]: r for r in stats.stats_table(df, tanimoto=True).collect()}
+    assert {i: r["max_tanimoto"] for i, r in got.items()} == pytest.approx(want) and got[0]["max_tanimoto"] == 1.0 and got[4]["MolWt"] is None
+    assert set(stats.STATS_COLUMNS) < set(stats.stats_table(df).columns) and stats.stats_table(df.limit(0), tanimoto=True).count() == 0
+    asked = {r["row_seq"] for r in stats.stats_table(df, tanimoto=True, divisor=3).collect() if r["max_tanimoto"] is not None}
+    assert asked == {0, 3}
+    table = stats.stats_table(df, tanimoto=True)
+    report = {r["name"]: r for r in stats.descriptor_report(table).collect()}
+    assert report["TPSA"]["share_below_limit"] == 1.0 and report["MolWt"]["n"] == 5
+    firsts = [got[i]["max_tanimoto"] for i in (0, 1, 2)]
+    one = stats.tanimoto_report(table).first()
+    assert one["n"] == 3 and one["mean"] == pytest.approx(np.mean(firsts)) and one["twins"] == sum(v == 1 for v in firsts)
+    assert stats.tanimoto_report(table.limit(1)).count() == 0
+
+
+def test_charges_are_added_exactly(spark):
+    tenths = [0.1] * 5
+    df = spark.createDataFrame([(1, tenths), (2, [0.1, 0.2, 0.3, 0.9]), (3, [float("inf")])], "i int, q array<double>")
+    assert [r[0] for r in df.orderBy("i").select(assemble.formal_charge(df["q"])).collect()] == [0, 2, None]
+
+
+def test_molecules_of_other_ids_meet_and_large_ones_are_reported(spark):
+    from corundum.operators import deliver
+
+    main = spark.createDataFrame([("chem-bl 12", "C", -1.0), ("Z" * 3, "C", -1.0)], "Zinc_id string, smile string, `Internal_E(0K)` double")
+    xyz = spark.createDataFrame([(i, "CHEMBL12", "C", 0.0, 0.0, float(i), 0.0) for i in range(1000)] + [(2000, "zzz", "C", None, 0.0, 0.0, 0.0)], "xyz_seq int, Zinc_id string, atom string, final_x double, final_y double, final_z double, charge double")
+    bond = spark.createDataFrame([], "bond_seq int, Zinc_id string, atom1 int, atom2 int")
+    done = assemble.assemble(main, xyz, bond)
+    why = {r["SourceID"]: r["why"] for r in done.select("SourceID", deliver.block_refusal(F.col("symbols"), F.col("coordinates"), F.col("bonds")).alias("why")).collect()}
+    assert why == {"CHEMBL12": "beyond 999 atoms or bonds", "ZZZ": "a coordinate is missing"}
