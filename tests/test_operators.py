@@ -305,8 +305,8 @@ def test_handedness_comes_from_coordinates():
     flat = block([("C", 0, 0, 0), ("F", 0, 1, 0), ("Cl", 1, 0, 0), ("Br", 0, -1, 0), ("H", -1, 0, 0)], STAR)
     assert not chem.block_texts(flat)[2]
     # In a flat drawing the wedge decides.
-    drawn = [("C", 0, 0, 0), ("F", 0, 1, 0), ("Cl", 0.9, -0.5, 0), ("Br", -0.9, -0.5, 0)]
-    up, down = (chem.block_texts(block(drawn, [(1, 2, 1), (1, 3, 1), (1, 4, 1)], {(1, 2): w})) for w in (1, 6))
+    drawn = [("C", 0, 0, 0), ("F", 0, 1, 0), ("Cl", 0.9, -0.5, 0), ("Br", -0.9, -0.5, 0), ("H", 0.3, -1, 0)]
+    up, down = (chem.block_texts(block(drawn, STAR, {(1, 2): w})) for w in (1, 6))
     assert up[2] and down[2] and up[0] == down[1] != down[0]
 
 
