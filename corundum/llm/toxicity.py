@@ -1,9 +1,8 @@
 """Abusive, hateful or sexual content by compression distance.
 
-Two zstandard dictionaries are trained, one on windows of text that raters marked, one on ordinary windows. A window's
-score is the share of its compressed length that the first saves against the second; a document's score is that of its
-worst window, so one abusive sentence inside a long harmless text counts in full. The threshold is set on held-out
-halves of the labelled documents.
+Two zstandard dictionaries are trained apart, one on windows of text that raters marked, one on ordinary windows. A
+window's score is the share of its compressed length that the first saves against the second; a document's score is
+that of its worst window, so one abusive sentence inside a long harmless text counts in full.
 
 Raters mark documents, not sentences, and err. A window therefore trains by the votes of the other labelled documents
 that share its word triples: with clearly more marked than unmarked ones it may train the first dictionary, if its own
@@ -11,6 +10,9 @@ document is marked, and in no case the second. It then does if the dictionaries
 find it closer to marked text. A few sentences written for this module join both sides, so that small samples know
 something of either kind and of several languages.
 
+Labelled documents are no fair sample: raters see more abusive ones than there are. The threshold is therefore set on the
+scores of all documents, with the held-out scores of the marked ones: see calibrate.
+
 Every document is scored whole. The labelled sample that trains is bounded by MAX_LABELLED documents.
 """
 
@@ -28,26 +30,36 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from corundum.session import materialise, spread
+
 #: Bound of the sample that trains: labelled documents, the first by a hash of their id, up to so many characters.
 MAX_LABELLED = 12_000
 MAX_CHARS = 32_000_000
-#: Bytes of each dictionary; beyond it zstandard's own training picks the segments.
+#: Bytes of each dictionary at most, and length of the pieces that zstandard's training counts.
 DICTIONARY_BYTES = 1 << 18
+PIECE = 8
+#: Length of the segments it picks: a 200th of the dictionary, within these bounds.
+SEGMENTS, SEGMENT_LEAST, SEGMENT_MOST = 200, 50, 200
+#: Share of its bytes up to which a window compressed by a dictionary counts as known to it.
+KNOWN = 0.25
+#: Times a window counts in training at most.
+REPEATS = 20
 LEVEL = 19
 WINDOW_WORDS, WINDOW_STEP = 24, 12
 #: Signs of a word from which it is scored in pieces, and their step.
 WORD_CHARS, WORD_STEP = 120, 60
 #: Shares saved from which a window of a marked document trains as marked, and from which one of an unmarked one doesn't train.
-MINED, MISSED = 0.2, 0.3
+MINED, MISSED = 0.1, 0.3
 #: Shares of marked documents above which a window may train as marked and above which one of an unmarked document is
 #: suspect, and the documents each word triple starts from.
 MAYBE, SUSPECT, PRIOR = 0.5, 0.8, 2.0
-#: Share of its bytes below which a window compressed by a dictionary counts as known to it.
-KNOWN = 0.33
+#: Thresholds to choose from; the last one holds where no document is marked.
+GRID = tuple(i / 100 for i in range(4, 61))
+#: Share of marked documents that a threshold must find to say something of the share of abusive documents.
+TELLING = 0.3
 #: Compressed bytes below which a window counts as that long: a saving of two or three bytes says nothing.
 SHORT = 24
 SEED = 41
@@ -218,7 +230,7 @@ class _Coder:
     """Lengths of windows compressed under one dictionary."""
 
     def __init__(self, content: bytes) -> None:
-        d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        d = zstandard.ZstdCompressionDict(content)
         params = zstandard.ZstdCompressionParameters.from_level(LEVEL, dict_size=len(content), format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_dict_id=0)
         d.precompute_compress(compression_params=params)
         self.coder = zstandard.ZstdCompressor(dict_data=d, compression_params=params)
@@ -227,39 +239,49 @@ class _Coder:
         return len(self.coder.compress(data))
 
 
-def train_dictionary(counts: Counter, base: bytes = b"") -> bytes:
-    """A zstandard dictionary of the windows that those before them, and `base`, don't explain.
+def train_dictionary(counts: Counter) -> bytes:
+    """A dictionary that zstandard trains on windows, each as often as it occurs (up to REPEATS), and what it left out.
 
-    Windows go in by falling frequency; one that the dictionary so far compresses below KNOWN of its bytes adds nothing.
-    So a dictionary grows with the kinds of sentences and not with their number. The most frequent come to stand nearest
-    the end, where they match cheapest. Beyond DICTIONARY_BYTES zstandard's cover algorithm chooses the segments that
-    serve most samples.
+    The trained part has the size of the distinct windows, at most half of DICTIONARY_BYTES. Training goes by frequency
+    and may leave out a kind of sentence; windows that the dictionary so far compresses to more than KNOWN of their bytes
+    are therefore added behind it, the most frequent first, up to the other half. Of too little text (a few windows)
+    zstandard makes no dictionary; the added windows are all there is then.
     """
-    ordered = [w.encode("utf-8", "replace") for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))]
-    taken: list[bytes] = []
-    at, step = 0, 32
-    while at < len(ordered):
-        if taken or base:
-            coder = _Coder(_join(taken) + base)
-            taken += [w for w in ordered[at : at + step] if coder.length(w) > KNOWN * len(w) + 4]
-        else:
-            taken += ordered[:step]
+    ordered = [(w.encode("utf-8", "replace"), n) for w, n in sorted(counts.items(), key=lambda x: (-x[1], x[0]))]
+    size = max(256, min(DICTIONARY_BYTES // 2, sum(len(w) for w, _ in ordered)))
+    samples = [w for w, n in ordered for _ in range(min(n, REPEATS))]
+    segment = min(SEGMENT_MOST, max(SEGMENT_LEAST, size // SEGMENTS))
+    try:
+        trained = zstandard.train_dictionary(size, samples, k=segment, d=PIECE, level=LEVEL).as_bytes()
+    except zstandard.ZstdError:
+        trained = b""
+    added: list[bytes] = []
+    at, step, room = 0, 32, DICTIONARY_BYTES // 2
+    while at < len(ordered) and room > 0:
+        some = [w for w, _ in ordered[at : at + step]]
+        if trained or added:
+            coder = _Coder(trained + _join(added))
+            some = [w for w in some if coder.length(w) > KNOWN * len(w) + 4]
+        for w in some:
+            room -= len(w) + 1
+            if room >= 0:
+                added.append(w)
         at, step = at + step, min(2 * step, 1024)
-    content = _join(taken)
-    if len(content) > DICTIONARY_BYTES:
-        content = zstandard.train_dictionary(DICTIONARY_BYTES, taken, k=256, d=8, level=LEVEL).as_bytes()
-    return content or b"\n" * 8
+    return trained + _join(added) or b"\n" * 8
 
 
 def _join(windows: list[bytes]) -> bytes:
-    return b"\n".join([*reversed(windows), b""])
+    return b"\n".join([*reversed(windows), b""]) if windows else b""
 
 
 @dataclass(frozen=True)
 class Model:
+    """Dictionaries, the threshold by the labelled documents alone, and the share of marked ones found at each of GRID."""
+
     ordinary: bytes
     marked: bytes
     threshold: float
+    found: tuple[float, ...] = ()
 
     def __hash__(self) -> int:
         return hash((xxhash.xxh64_intdigest(self.ordinary), xxhash.xxh64_intdigest(self.marked)))
@@ -267,8 +289,7 @@ class Model:
 
 class Scorer:
     def __init__(self, model: Model) -> None:
-        # Marked windows come in addition to the ordinary ones, so that what both know costs the same under either.
-        self.ordinary, self.marked = _Coder(model.ordinary), _Coder(model.marked + b"\n" + model.ordinary)
+        self.ordinary, self.marked = _Coder(model.ordinary), _Coder(model.marked)
         self.seen: dict[str, float] = {}
 
     def window(self, window: str) -> float:
@@ -289,8 +310,7 @@ class Scorer:
 
 
 def _model(ordinary: Counter, marked: Counter) -> Scorer:
-    plain_side = train_dictionary(ordinary)
-    return Scorer(Model(plain_side, train_dictionary(marked, plain_side), 0.0))
+    return Scorer(Model(train_dictionary(ordinary), train_dictionary(marked), 0.0))
 
 
 def _seeds(text: str) -> Counter:
@@ -342,13 +362,29 @@ def train(documents: list[tuple[int, str | None, bool]]) -> Model:
         ordinary = {h: sure[h] + Counter(w for g, w, y, score in scores if g == h and score <= (0 if y else MISSED)) for h in both}
     held_out = {h: _model(ordinary[1 - h], marked[1 - h]) for h in both}
     scored = [(max(map(held_out[h].window, ws), default=0.0), y) for h, ws, y in cut]
-    plain_side = train_dictionary(ordinary[0] + ordinary[1])
-    return Model(plain_side, train_dictionary(marked[0] + marked[1], plain_side), best_threshold(scored))
+    hits = [s for s, y in scored if y]
+    found = tuple(sum(s >= t for s in hits) / len(hits) if hits else 0.0 for t in GRID)
+    return Model(train_dictionary(ordinary[0] + ordinary[1]), train_dictionary(marked[0] + marked[1]), best_threshold(scored), found)
+
+
+def calibrate(found: tuple[float, ...], flagged: list[float]) -> float:
+    """The threshold of GRID with the best F1 among all documents; the last one without marked documents.
+
+    found: share of marked documents at or above each threshold, held out; flagged: that of all documents. The share of
+    abusive documents is at most flagged / found at any threshold, and near it where few others are flagged: its least
+    value over the thresholds that find TELLING of the marked ones estimates it. F1 follows from the three shares.
+    """
+    telling = [f / r for r, f in zip(found, flagged, strict=True) if r >= TELLING]
+    if not telling:
+        return GRID[-1]
+    share = min(telling)
+    f1 = [2 * share * r / (share + f) if share + f else 0.0 for r, f in zip(found, flagged, strict=True)]
+    return GRID[max(range(len(GRID)), key=lambda i: (f1[i], i))]
 
 
-def best_threshold(scored: list[tuple[float, bool]], least: float = 0.08, most: float = 0.4) -> float:
-    """The threshold of the best F1, between two bounds; the middle of the best ones where several are as good."""
-    grid = [least + (most - least) * i / 64 for i in range(65)]
+def best_threshold(scored: list[tuple[float, bool]]) -> float:
+    """The threshold of the best F1 on labelled documents; the middle of the best ones where several are as good."""
+    grid, most = list(GRID), GRID[-1]
     positives = sum(y for _, y in scored)
 
     def f1(t: float) -> float:
@@ -379,23 +415,33 @@ def score(text: Column, model: Model) -> Column:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, most: int = MAX_LABELLED, chars: int = MAX_CHARS) -> list[tuple[int, str | None, bool]]:
-    """(id, text, marked) of at most `most` labelled documents with `chars` characters in all, the first by a hash of their id.
+    """(id, text, marked) of at most `most` labelled documents with at most `chars` characters in all, the first by a hash of their id.
 
-    A document's raters vote; ties and documents without a vote are left out. Texts are taken whole or not at all.
+    A document's raters vote; ties and documents without a vote are left out. Texts are taken whole or not at all: one
+    that no longer fits is passed over, and the next ones are tried.
     """
     votes = labels.filter("toxic is not null").groupBy("doc_id").agg(F.avg((F.col("toxic") > 0).cast("int")).alias("share")).filter("share <> 0.5")
     sample = votes.orderBy(F.xxhash64(F.lit(SEED), F.col("doc_id")), "doc_id").limit(most)
-    # A window without partitions, over at most `most` rows.
-    sofar = F.sum(F.coalesce(F.length("text"), F.lit(0))).over(W.orderBy(F.xxhash64(F.lit(SEED), F.col("doc_id")), "doc_id").rowsBetween(W.unboundedPreceding, W.currentRow))
-    lengths = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    few = lengths.dropDuplicates(["doc_id"]).withColumn("_sofar", sofar).filter(F.col("_sofar") <= chars)
-    return [(r["doc_id"], r["text"], r["share"] > 0.5) for r in few.select("doc_id", "text", "share").collect()]
+    lengths = documents.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("n"), "text").join(F.broadcast(sample), "doc_id")
+    # At most `most` ids and lengths come to the driver, then the texts that were taken.
+    order = lengths.groupBy("doc_id").agg(F.min("n").alias("n")).orderBy(F.xxhash64(F.lit(SEED), F.col("doc_id")), "doc_id").collect()
+    taken, used = [], 0
+    for r in order:
+        if used + r["n"] <= chars:
+            taken.append((r["doc_id"],))
+            used += r["n"]
+    ids = documents.sparkSession.createDataFrame(taken, documents.select("doc_id").schema)
+    few = lengths.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "share").agg(F.min_by("text", F.struct("n", "text")).alias("text"))
+    return [(r["doc_id"], r["text"], r["share"] > 0.5) for r in few.orderBy(F.xxhash64(F.lit(SEED), F.col("doc_id")), "doc_id").collect()]
 
 
 def with_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """documents with `score` and `flagged`; trained on the labelled sample of the same documents.
+    """documents without their text, with `score` and `flagged`; trained on the labelled sample of the same documents.
 
-    Without any label the seeds alone train, and the threshold is the upper bound. Null and empty texts score 0.
+    Scores are written once, as the threshold is set on all of them. Without any marked document the seeds alone train,
+    and the threshold is the last of GRID. Null and empty texts score 0.
     """
     model = train(labelled_sample(documents, labels))
-    return documents.withColumn("score", score(F.col("text"), model)).withColumn("flagged", F.col("score") >= model.threshold)
+    scored = materialise(spread(documents).withColumn("score", score(F.col("text"), model)).drop("text"))
+    shares = scored.agg(*[(F.count_if(F.col("score") >= t) / F.greatest(F.count(F.lit(1)), F.lit(1))).alias(f"t{i}") for i, t in enumerate(GRID)]).first()
+    return scored.withColumn("flagged", F.col("score") >= calibrate(model.found, list(shares)))
