@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corundum.functions.ids import zinc_number, zinc_other, zinc_text
+from corundum.functions.ids import zinc_name, zinc_number
 from corundum.session import materialise, salted_join
 
 BUCKET_BITS = 16
@@ -85,16 +85,22 @@ def live_as_of(refs: DataFrame, parents: DataFrame, key: str, at: str, start: st
 
 
 def _keyed(df: DataFrame, id_col: str, *others: str) -> DataFrame:
-    """Distinct spellings first: a delivery repeats its id for every atom, and the spelling rules run once for each.
+    """Distinct key (the number of a ZINC id, null for other ids), zinc_id (the id's one text) and `others`.
 
-    Ids that are no ZINC numbers get a negative key from their letters and digits, so that they too are matched.
+    Distinct spellings first: a delivery repeats its id for every atom, and the spelling rules run once for each.
     """
     few = df.select(F.col(id_col).alias("_id"), *others).distinct()
-    number, other = zinc_number(F.col("_id")), zinc_other(F.col("_id"))
-    few = few.withColumns({"key": number, "other": other})
-    few = few.withColumn("key", F.coalesce("key", F.when(F.col("other").isNotNull(), -1 - F.shiftrightunsigned(F.xxhash64("other"), 1))))
-    name = F.when(F.col("key") >= 0, zinc_text(F.col("key"))).otherwise(F.col("other"))
-    return few.filter("key is not null").select("key", name.alias("zinc_id"), *others).distinct()
+    few = few.select(zinc_number(F.col("_id")).alias("key"), zinc_name(F.col("_id")).alias("zinc_id"), *others)
+    return few.filter("zinc_id is not null").distinct()
+
+
+def _present(refs: DataFrame, parents: DataFrame) -> DataFrame:
+    """zinc_id, present, __rows of the references' distinct ids: numbers by their parents' runs, other ids by their text."""
+    rows = refs.groupBy("key", "zinc_id").agg(F.count(F.lit(1)).alias("__rows"))
+    numbers = match_runs(rows, "key", key_runs(parents, "key"))
+    theirs = parents.filter("key is null").select("zinc_id").distinct().withColumn("__is", F.lit(True))
+    others = rows.filter("key is null").join(theirs, "zinc_id", "left").select("zinc_id", F.coalesce("__is", F.lit(False)).alias("present"), "__rows")
+    return rows.join(numbers, "key").select("zinc_id", "present", "__rows").unionByName(others)
 
 
 def orphan_references(main: DataFrame, children: dict[str, DataFrame], id_col: str = "Zinc_id", complete: tuple[str, ...] = ("xyz",)) -> DataFrame:
@@ -108,22 +114,21 @@ def orphan_references(main: DataFrame, children: dict[str, DataFrame], id_col: s
     """
     # Distinct deliveries are a small part of the children's rows and are read several times below, so they are written once.
     parents = materialise(_keyed(main, id_col, "loaded_at", "deleted_at"))
-    runs = key_runs(parents, "key")
     refs = None
     for name, child in children.items():
         part = _keyed(child, id_col, "loaded_at").withColumn("table_name", F.lit(name))
         refs = part if refs is None else refs.unionByName(part)
     assert refs is not None
     refs = materialise(refs)
-    present = match_runs(refs, "key", runs)
     month = lambda c: F.date_format(c, "yyyy-MM").alias("period")
-    judged = live_as_of(salted_join(refs, present, ["key"], "inner"), parents, "key", "loaded_at", "loaded_at", "deleted_at")
+    known = salted_join(refs, _present(refs, parents), ["zinc_id"], "inner", weight="__rows")
+    judged = live_as_of(known, parents, "zinc_id", "loaded_at", "loaded_at", "deleted_at")
     kind = F.when(~F.col("present"), "missing").when(F.col("live"), None).when(F.col("known"), "deleted").when(~F.col("known"), "late")
     out = judged.withColumn("kind", kind).filter("kind is not null").select("table_name", "zinc_id", month("loaded_at"), "kind")
     for name in complete:
-        theirs = key_runs(refs.filter(F.col("table_name") == name), "key")
-        lone = salted_join(parents, match_runs(parents, "key", theirs).filter("not present"), ["key"], "inner")
-        out = out.unionByName(lone.select(F.lit("main").alias("table_name"), "zinc_id", month("loaded_at"), F.lit("missing").alias("kind")))
+        lone = _present(parents, refs.filter(F.col("table_name") == name)).filter("not present")
+        met = salted_join(parents, lone.drop("present"), ["zinc_id"], "inner", weight="__rows")
+        out = out.unionByName(met.select(F.lit("main").alias("table_name"), "zinc_id", month("loaded_at"), F.lit("missing").alias("kind")))
     return out.distinct()
 
 
