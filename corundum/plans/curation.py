@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corundum.functions.arrow import block_flat, fingerprint, flat_smiles, smiles_state
 from corundum.functions.arrow import smiles_descriptors as descriptors
+from corundum.functions.chem import CHARGE_CODES, VALENCES_IN_BRACKETS
 from corundum.functions.ids import compound_of
 from corundum.functions.v2000 import block_valid, head_counts, head_line
 from corundum.operators import assemble, chemfilter, contract, dedup, deliver, energy, integrity, similarity, stats, stereo
@@ -404,8 +405,7 @@ _REJECTS = f"SELECT mol_block || chr(10) || {' || '.join(_TAG(t, f'CAST({t} AS V
 # Least squares by Gauss-Jordan steps over the normal matrix; an element that no row has keeps coefficient 0.
 _FIT = [f"c[{i + 1}]" for i in range(len(FIT_ELEMENTS))]
 _PIVOT = "m[k][k]"
-_ENERGY = f"""
-WITH RECURSIVE l AS (SELECT row_seq, Energy_Ha, string_split(mol_block, chr(10)) AS l FROM batch),
+_FITTED = f"""
 s AS (SELECT row_seq, Energy_Ha, CASE WHEN regexp_full_match(substr(l[4], 1, 3), '[[:space:]]*[0-9]+[[:space:]]*') THEN list_transform(l[5:4 + CAST(trim(substr(l[4], 1, 3)) AS INTEGER)], lambda x: trim(substr(x, 32, 3))) END AS s FROM l),
 t AS (SELECT row_seq, Energy_Ha AS e, CASE WHEN len(s) > 0 THEN [{', '.join(f"len(list_filter(s, lambda x: x = '{e}'))::DOUBLE" for e in FIT_ELEMENTS)}] END AS c FROM s),
 f AS (SELECT * FROM t WHERE c IS NOT NULL AND isfinite(e)),
@@ -414,8 +414,37 @@ gj AS (SELECT 1 AS k, [{', '.join('[' + ', '.join(f'sum({a} * {b})' for b in [*_
 b AS (SELECT list_transform(m, lambda r, i: CASE WHEN r[i] = 0 THEN 0 ELSE r[{len(FIT_ELEMENTS) + 1}] END) AS b FROM gj WHERE k = {len(FIT_ELEMENTS) + 1}),
 r AS (SELECT row_seq, c, CASE WHEN c IS NOT NULL AND isfinite(e) THEN e - list_sum(list_transform(c, lambda v, i: v * b[i])) END AS res FROM t, b),
 m1 AS (SELECT median(res) AS m FROM r), d1 AS (SELECT median(abs(res - m)) AS d FROM r, m1),
-z AS (SELECT row_seq, c, res, 0.6745 * (res - m) / d AS z FROM r, m1, d1)
-SELECT row_seq, round(res, 4) AS residual, round(z, 4) AS z_residual, CASE WHEN c IS NULL THEN 'mol_corrupt' WHEN res IS NULL THEN 'energy_nonfinite' WHEN abs(z) > 3.5 THEN 'flagged' ELSE 'ok' END AS energy_status FROM z"""
+z AS (SELECT row_seq, c, res, 0.6745 * (res - m) / d AS z FROM r, m1, d1),
+es AS (SELECT row_seq, round(res, 4) AS residual, round(z, 4) AS z_residual, CASE WHEN c IS NULL THEN 'mol_corrupt' WHEN res IS NULL THEN 'energy_nonfinite' WHEN abs(z) > 3.5 THEN 'flagged' ELSE 'ok' END AS energy_status FROM z)"""
+_ENERGY = f"WITH RECURSIVE l AS (SELECT row_seq, Energy_Ha, string_split(mol_block, chr(10)) AS l FROM batch), {_FITTED} SELECT * FROM es"
+# The stages that need no canonical text, over valid blocks.
+_STAGES = f"""
+WITH RECURSIVE {valid_blocks('batch', 'row_seq').replace('lines AS', 'lines_ AS').replace('FROM lines)', 'FROM lines_)')},
+l AS (SELECT row_seq, Energy_Ha, CASE WHEN valid THEN l END AS l FROM batch JOIN blocks USING (row_seq) JOIN heads USING (row_seq)), {_FITTED},
+e AS (SELECT row_seq, valid, CASE WHEN NOT valid THEN 'mol_block: could not parse' ELSE concat_ws('; ',
+  CASE WHEN num_atoms IS DISTINCT FROM n THEN 'num_atoms mismatch: stored=' || coalesce(CAST(num_atoms AS VARCHAR), 'None') || ', mol=' || n END,
+  CASE WHEN num_bonds IS DISTINCT FROM m THEN 'num_bonds mismatch: stored=' || coalesce(CAST(num_bonds AS VARCHAR), 'None') || ', mol=' || m END,
+  CASE WHEN Energy_Ha IS NULL OR NOT isfinite(Energy_Ha) THEN 'Energy_Ha: not finite' END) END AS errors FROM batch JOIN blocks USING (row_seq) JOIN heads USING (row_seq))
+SELECT row_seq, energy_status, CASE WHEN errors = '' THEN 'ok' ELSE 'invalid' END AS validate_status, nullif(errors, '') AS validate_errors, CASE WHEN valid THEN 'ok' ELSE 'failed' END AS reorder_status FROM e JOIN es USING (row_seq)"""
+_CODES = " ".join(f"WHEN '{code}' THEN {q}" for code, q in CHARGE_CODES.items())
+_VALENCE_ROWS = ", ".join(f"('{e}', {v}, '{'abs' if e in ('C', 'Si', 'Ge', 'H') else 'minus' if e in ('B', 'Al') else 'plus'}')" for e, vs in VALENCES_IN_BRACKETS.items() for v in vs)
+# Charges and radicals of blocks of plain bonds: M  CHG lines before atom codes; the least valence that holds an atom's bonds.
+_BLOCK_FILTER = f"""
+WITH {valid_blocks('batch', 'row_seq')},
+k AS (SELECT row_seq, l, n, m, list_filter(l[5 + n + m:], lambda x: x LIKE 'M  CHG%') AS chg FROM heads JOIN blocks USING (row_seq) WHERE valid),
+i AS (SELECT row_seq, n, chg, unnest(range(1, n + 1)) AS i, l FROM k),
+w AS (SELECT row_seq, unnest(chg) AS line FROM k), w2 AS (SELECT row_seq, string_split_regex(trim(substr(line, 10)), ' +') AS t FROM w),
+p AS (SELECT row_seq, unnest(list_transform(range(1, len(t), 2), lambda j: [CAST(t[j] AS INTEGER), CAST(t[j + 1] AS INTEGER)])) AS p FROM w2),
+a AS (SELECT i.row_seq, i.i, trim(substr(l[4 + i.i], 32, 3)) AS sym, CASE WHEN len(chg) > 0 THEN coalesce((SELECT max(p.p[2]) FROM p WHERE p.row_seq = i.row_seq AND p.p[1] = i.i), 0)
+  ELSE CASE trim(substr(l[4 + i.i], 37, 3)) {_CODES} ELSE 0 END END AS q FROM i),
+b AS (SELECT row_seq, unnest(l[5 + n:4 + n + m]) AS x FROM k), b2 AS (SELECT row_seq, CAST(trim(substr(x, 1, 3)) AS INTEGER) AS i, CAST(trim(substr(x, 4, 3)) AS INTEGER) AS j, CAST(trim(substr(x, 7, 3)) AS INTEGER) AS o FROM b),
+u AS (SELECT row_seq, i, sum(o) AS used FROM (SELECT row_seq, i, o FROM b2 UNION ALL SELECT row_seq, j, o FROM b2) GROUP BY ALL),
+v AS (SELECT row_seq, i, min(valence + CASE kind WHEN 'abs' THEN -abs(q) WHEN 'minus' THEN -q ELSE q END - coalesce(used, 0)) FILTER (valence + CASE kind WHEN 'abs' THEN -abs(q) WHEN 'minus' THEN -q ELSE q END >= coalesce(used, 0)) AS free
+  FROM a LEFT JOIN u USING (row_seq, i) JOIN (VALUES {_VALENCE_ROWS}) t(sym, valence, kind) USING (sym) GROUP BY ALL),
+f AS (SELECT row_seq, sum(q) AS net, count(*) FILTER (q <> 0) AS charged FROM a GROUP BY 1), g AS (SELECT row_seq, CAST(sum(coalesce(free, 0)) AS INTEGER) AS radicals FROM v GROUP BY 1),
+r AS (SELECT batch.row_seq, blocks.valid, CASE WHEN NOT blocks.valid THEN 'could not parse mol_block' WHEN net <> 0 THEN 'charge=' || CASE WHEN net > 0 THEN '+' ELSE '-' END || abs(net)
+  WHEN charged > 0 THEN 'zwitterion' WHEN radicals > 0 THEN 'radicals=' || radicals END AS filter_reason FROM batch JOIN blocks USING (row_seq) LEFT JOIN f USING (row_seq) LEFT JOIN g USING (row_seq))
+SELECT row_seq, CASE WHEN NOT valid THEN 'mol_corrupt' WHEN filter_reason IS NULL THEN 'ok' ELSE 'rejected' END AS filter_status, filter_reason FROM r"""
 _XYZ = f"""
 WITH {valid_blocks('batch', 'row_seq')}
 SELECT row_seq, array_to_string(list_transform(l[5:4 + n], lambda x: printf('%-2s  %.6f  %.6f  %.6f', trim(substr(x, 32, 3)), CAST(trim(substr(x, 1, 10)) AS DOUBLE), CAST(trim(substr(x, 11, 10)) AS DOUBLE), CAST(trim(substr(x, 21, 10)) AS DOUBLE))), chr(10)) || chr(10) AS xyz
@@ -448,17 +477,33 @@ def curation_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row_seq", "CompoundID", *[f"{s}_status" for s in pipeline.STAGES], "filter_reason", "ICONF", "validate_errors")
 
 
+def curation_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline with the stages that SQL can check: energies, integrity and order."""
+    base = _batch(spark, sf_dir, "row_seq", "Energy_Ha", "FormalCharge", "SMILES", "num_atoms", "num_bonds", "mol_block")
+    done = pipeline.curate_tags(base, pipeline.Options(stages=("energy", "validate", "reorder")))
+    return done.select("row_seq", "energy_status", "validate_status", "validate_errors", "reorder_status")
+
+
+def block_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the strictest preset over the blocks' own bonds and charges."""
+    batch = spread(_batch(spark, sf_dir, "row_seq", "mol_block"))
+    return chemfilter.filter_blocks(batch).select("row_seq", "filter_status", "filter_reason")
+
+
 _FUNCTIONS = (
     contract_validate, dedup_first_occurrence, unique_keep_first, collision_count, energy_outliers, energy_outlier_ols_mad, chemical_filter_presets, filter_reason_counts,
     integrity_check, integrity_full, mirror_pair_removal, stereo_filter, nearest_neighbour_tanimoto, nearest_structures, assemble_left_join, built_records, composition_formula, feature_presence,
     element_whitelist, exclude_filter, status_counts, histogram_50, range_buckets, descriptor_summary, threshold_share, curation_funnel, smiles_descriptors, frame_export, reject_export,
     curation_pipeline, assembled_records, xyz_text_export, smiles_energy_prefilter, smiles_energy_flagged, stats_summary, descriptor_report, tanimoto_report,
+    curation_stages, block_filter,
 )
 
 QUERIES = {f.__name__: f for f in _FUNCTIONS}
 SQL = {
     "contract_validate": _CONTRACT,
     "assembled_records": _ASSEMBLED,
+    "block_filter": _BLOCK_FILTER,
+    "curation_stages": _STAGES,
     "built_records": _RECORDS,
     "reject_export": _REJECTS,
     "energy_outliers": _ENERGY,
