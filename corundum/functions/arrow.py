@@ -136,6 +136,21 @@ def _block_frame(block: str | None) -> dict | None:
     return {"n": len(atoms), "formula": formula, "cnso": sum(s in ("C", "N", "S", "O") for s in symbols), "lines": text}
 
 
+def _frame_text(block: str | None, smiles: str | None, head: dict) -> str | None:
+    f = _block_frame(block)
+    if f is None:
+        return None
+    d = _descriptors(smiles) or {}
+    shown = lambda v, missing="": missing if v is None else str(v)
+    two = lambda v: "" if v is None else f"{v:.2f}"
+    pairs = (
+        ("SourceID", shown(head["SourceID"])), ("CompoundID", shown(head["CompoundID"])), ("Formula", f["formula"]), ("Nat", f["n"]), ("CNSO", f["cnso"]),
+        ("chrg", shown(head["FormalCharge"], "0")), ("mult", shown(head["Multiplicity"], "1")), ("E", shown(head["Energy_Ha"])), ("fmax", ""), ("Family", head["family"]),
+        ("smiles", shown(smiles)), ("tpsa", two(d.get("TPSA"))), ("logp", two(d.get("logP"))), ("nrot", shown(d.get("nrot"))), ("nfrag", 1), ("iconf", shown(head["ICONF"], "1")),
+    )
+    return f"{f['n']}\n" + ",".join(f"{k},{v}" for k, v in pairs) + "\n" + f["lines"]
+
+
 @lru_cache(maxsize=20_000)
 def _descriptors(smiles: str | None) -> dict | None:
     mol = chem.parse_smiles(smiles or None)
@@ -208,6 +223,8 @@ geometry_facts = by_row(_geometry_record, RECORD)
 fingerprint = by_row(_bits, ArrayType(LongType()))
 #: Atom count, formula, CNSO and atom lines of a frame from a valid block with atoms, else null.
 block_frame = by_row(_block_frame, FRAME)
+#: (block, SMILES, header fields): the whole frame of a valid block with atoms, else null.
+frame_text = by_row(_frame_text, StringType())
 #: Weight, polar surface, logP, rotatable bonds, atoms and fragments of a SMILES text; null for null, empty and unreadable ones.
 smiles_descriptors = by_row(_descriptors, DESCRIPTORS)
 #: Python's shortest text of a double.

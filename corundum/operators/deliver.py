@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from corundum.functions.arrow import block_frame, by_row, fixed_text, number_text, smiles_descriptors
+from corundum.functions.arrow import block_frame, by_row, frame_text
 from corundum.functions.v2000 import formula
 
 CNSO = ("C", "N", "S", "O")
@@ -19,26 +19,15 @@ def with_composition(df: DataFrame, symbols: Column) -> DataFrame:
     return df.withColumns({"Formula": formula(symbols), "Nat": F.size(symbols), "CNSO": F.size(F.filter(symbols, lambda s: s.isin(*CNSO)))})
 
 
-def _shown(c: Column, missing: str = "") -> Column:
-    return F.coalesce(c.cast("string"), F.lit(missing))
-
-
 def frames(batch: DataFrame, family: str = "QM40") -> DataFrame:
     """row_seq and `frame`: atom count, a line of key,value pairs, one line for each atom.
 
     Rows whose block is not valid or has no atom line are left out. Missing values are shown empty, except the charge (0),
-    multiplicity and iconf (1). tpsa, logp and nrot come from the CanonicalSMILES. A block is read once, by one Arrow
-    function that gives composition and atom lines.
+    multiplicity and iconf (1). tpsa, logp and nrot come from the CanonicalSMILES. One Arrow function writes the frame.
     """
-    read = batch.withColumns({"__a": block_frame(F.col("mol_block")), "__f": smiles_descriptors(F.col("CanonicalSMILES"))}).filter("__a is not null")
-    two, a = fixed_text(2), F.col("__a")
-    pairs = {
-        "SourceID": _shown(F.col("SourceID")), "CompoundID": _shown(F.col("CompoundID")), "Formula": a["formula"], "Nat": a["n"], "CNSO": a["cnso"],
-        "chrg": _shown(F.col("FormalCharge"), "0"), "mult": _shown(F.col("Multiplicity"), "1"), "E": _shown(number_text(F.col("Energy_Ha"))), "fmax": F.lit(""), "Family": F.lit(family),
-        "smiles": _shown(F.col("CanonicalSMILES")), "tpsa": _shown(two(F.col("__f.TPSA"))), "logp": _shown(two(F.col("__f.logP"))), "nrot": _shown(F.col("__f.nrot")), "nfrag": F.lit("1"), "iconf": _shown(F.col("ICONF"), "1"),
-    }
-    comment = F.concat_ws(",", *[x for k, v in pairs.items() for x in (F.lit(k), v.cast("string"))])
-    return read.select("row_seq", F.concat(a["n"].cast("string"), F.lit("\n"), comment, F.lit("\n"), a["lines"]).alias("frame"))
+    head = F.struct("SourceID", "CompoundID", "FormalCharge", "Multiplicity", "Energy_Ha", "ICONF", F.lit(family).alias("family"))
+    # A frame that is missing is never written, and a filter on it would run the function twice if it were pushed below.
+    return batch.select("row_seq", F.explode_outer(F.array(frame_text(F.col("mol_block"), F.col("CanonicalSMILES"), head))).alias("frame")).filter("frame is not null")
 
 
 def xyz_text(block: Column) -> Column:

@@ -35,7 +35,7 @@ def stereo_filter(df: DataFrame, smiles: str = "CanonicalSMILES", order: str = "
     firsts = forms.filter("__class is not null").groupBy("__class").agg(F.min("__seen").alias("__first"), F.min_by("__s", "__seen").alias("__first_form"), F.count(F.lit(1)).alias("__forms"))
     settled = salted_join(forms, firsts, ["__class"], "left", weight="__forms", by=["__seen"])
     # Only a text whose mirror image is the first one's can lose rows, and it loses all but the first row itself.
-    settled = settled.select(smiles, "__rows", "__bad", F.when(F.col("__m") == F.col("__first_form"), F.col("__first")).alias("__keeps"))
+    settled = materialise(settled.select(smiles, "__rows", "__bad", F.when(F.col("__m") == F.col("__first_form"), F.col("__first")).alias("__keeps")))
     met = salted_join(df, settled, [smiles], "left", weight="__rows", by=[order])
     status = F.when(none, "skipped_no_smiles").when(F.col("__bad"), "smiles_unparseable").when(F.col("__keeps") != F.col(order), "removed_enantiomer").otherwise("kept")
     return met.withColumn("stereo_status", status).select(*[c for c in df.columns if c != "stereo_status"], "stereo_status")

@@ -56,8 +56,11 @@ def materialise(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """df over as many partitions as there are cores, if it has fewer: for a table of few files before a dear function.
 
-    Tables of many files, as on a cluster, stay as they are, without a shuffle.
+    Tables of many files, as on a cluster, stay as they are, without a shuffle. So does what comes out of a shuffle: its
+    partitions are the engine's choice, and to count them would run it.
     """
+    if df._jdf.queryExecution().executedPlan().nodeName().startswith("AdaptiveSparkPlan"):
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
