@@ -68,6 +68,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     loops and repeated edges count as nothing beyond their nodes. Raises if max_rounds rounds don't suffice.
     """
     edges = materialise(_pairs(edges))
+    if not edges.head(1):
+        # Nothing is linked: no node of an edge, no component.
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     before = None
     for _ in range(max_rounds):
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
