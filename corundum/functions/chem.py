@@ -55,7 +55,7 @@ _PLAIN = re.compile(r"Cl|Br|[BCNOPSFI]|[bcnops]")
 _ORDERS = {"-": 1.0, "=": 2.0, "#": 3.0, "$": 4.0, ":": 1.5, "/": 1.0, "\\": 1.0}
 
 
-@dataclass
+@dataclass(slots=True)
 class Atom:
     symbol: str
     charge: int = 0
@@ -67,6 +67,9 @@ class Atom:
     chirality: str = ""
     around: list[int] = field(default_factory=list)
 
+    def like(self, hydrogens: int, chirality: str, around: list[int]) -> Atom:
+        return Atom(self.symbol, self.charge, hydrogens, self.aromatic, self.isotope, self.bracket, chirality, around)
+
 
 @dataclass
 class Molecule:
@@ -301,17 +304,17 @@ def from_template(mol: Molecule, smiles: str | None) -> Molecule | None:
 CENTRES = frozenset(("C", "Si", "Ge", "N", "P", "As", "S", "Se"))
 
 
-def mark_centres(mol: Molecule, at: list[tuple[float, float, float]]) -> bool:
+def mark_centres(mol: Molecule, at: list[tuple[float, float, float]]) -> list[int] | None:
     """Sets "@" or "@@" on the tetrahedral centres of a molecule (hydrogens folded) from its atoms' positions.
 
     A centre has four neighbours of different classes, one of them at most a hydrogen. Four neighbours in one plane
-    with it decide nothing. Returns whether any was set.
+    with it decide nothing. Returns the classes of the atoms if they had to be found.
     """
     near = mol.neighbours()
     able = [i for i, a in enumerate(mol.atoms) if a.symbol in CENTRES and not a.aromatic and len(near[i]) + a.hydrogens == 4 and a.hydrogens <= 1 and (a.symbol != "N" or a.charge == 1)]
     if not able:
-        return False
-    kind, found = classes(mol), False
+        return None
+    kind = classes(mol)
     for i in able:
         if len({kind[j] for j in near[i]}) < len(near[i]):
             continue
@@ -320,8 +323,7 @@ def mark_centres(mol: Molecule, at: list[tuple[float, float, float]]) -> bool:
         volume = ax * (by * cz - bz * cy) - ay * (bx * cz - bz * cx) + az * (bx * cy - by * cx)
         if abs(volume) > 1e-3:
             mol.atoms[i].chirality, mol.atoms[i].around = "@" if volume < 0 else "@@", around
-            found = True
-    return found
+    return kind
 
 
 def without_hydrogens(mol: Molecule) -> Molecule:
@@ -335,7 +337,7 @@ def without_hydrogens(mol: Molecule) -> Molecule:
     for i in place:
         a = mol.atoms[i]
         h = sum(j in gone for j in near[i])
-        atoms.append(replace(a, hydrogens=a.hydrogens + h, around=[-1 if j in gone else place.get(j, j) for j in a.around]))
+        atoms.append(a.like(a.hydrogens + h, a.chirality, [-1 if j in gone else place.get(j, j) for j in a.around] if a.around else []))
     return Molecule(atoms, {(place[a], place[b]): o for (a, b), o in mol.bonds.items() if a in place and b in place})
 
 
@@ -461,20 +463,10 @@ def ranks(mol: Molecule, stereo: bool = True, kinds: list[int] | None = None) ->
     `kinds`: the result of classes(), where it is known.
     """
     n, bound = len(mol.atoms), _bound(mol)
-    rank = kinds or classes(mol, bound)
-    if stereo and any(a.chirality for a in mol.atoms):
+    rank = _without_leaves(kinds or classes(mol, bound), bound)
+    if stereo and max(rank, default=-1) + 1 < n and any(a.chirality for a in mol.atoms):
         signs = [_handedness(a, [(-1 if j == -1 else rank[j]) for j in a.around]) for a in mol.atoms]
         rank = _refine(_dense([(rank[i], signs[i]) for i in range(n)]), bound)
-    # Leaves of one kind at one neighbour may take any order; told apart at once they cost no refinement.
-    alike: dict[tuple[int, int], list[int]] = {}
-    class_size: dict[int, int] = {}
-    for i, r in enumerate(rank):
-        class_size[r] = class_size.get(r, 0) + 1
-        if len(bound[i]) == 1:
-            alike.setdefault((r, bound[i][0][0]), []).append(i)
-    place = {i: k for (r, _), group in alike.items() if len(group) > 1 and len(group) == class_size[r] for k, i in enumerate(group)}
-    if place:
-        rank = _refine(_dense([(r, place.get(i, 0)) for i, r in enumerate(rank)]), bound)
     while max(rank, default=-1) + 1 < n:
         seen: dict[int, int] = {}
         for r in rank:
@@ -485,6 +477,18 @@ def ranks(mol: Molecule, stereo: bool = True, kinds: list[int] | None = None) ->
     return rank
 
 
+def _without_leaves(rank: list[int], bound: list[list[tuple[int, int]]]) -> list[int]:
+    # Leaves of one kind at one neighbour may take any order; told apart at once they cost no refinement.
+    alike: dict[tuple[int, int], list[int]] = {}
+    class_size: dict[int, int] = {}
+    for i, r in enumerate(rank):
+        class_size[r] = class_size.get(r, 0) + 1
+        if len(bound[i]) == 1:
+            alike.setdefault((r, bound[i][0][0]), []).append(i)
+    place = {i: k for (r, _), group in alike.items() if len(group) > 1 and len(group) == class_size[r] for k, i in enumerate(group)}
+    return _refine(_dense([(r, place.get(i, 0)) for i, r in enumerate(rank)]), bound) if place else rank
+
+
 def _dense(keys: list) -> list[int]:
     order = {k: i for i, k in enumerate(sorted(set(keys)))}
     return [order[k] for k in keys]
@@ -612,7 +616,7 @@ def _implied(mol: Molecule, v: int, near: list[int]) -> int:
 
 def mirror(mol: Molecule) -> Molecule:
     """All tetrahedral marks swapped."""
-    return Molecule([replace(a, chirality={"@": "@@", "@@": "@"}.get(a.chirality, "")) for a in mol.atoms], mol.bonds)
+    return Molecule([a.like(a.hydrogens, {"@": "@@", "@@": "@"}[a.chirality], a.around) if a.chirality else a for a in mol.atoms], mol.bonds)
 
 
 def radicals(mol: Molecule) -> int:
@@ -871,13 +875,16 @@ def smiles_facts(text: str) -> tuple | None:
     )
 
 
-def texts(mol: Molecule) -> tuple[str, str | None, str, bool]:
+def texts(mol: Molecule, kinds: list[int] | None = None) -> tuple[str, str | None, str, bool]:
     """(canonical, the same without stereo if there is none, mirrored, whether there is stereo)."""
-    kinds = classes(mol)
-    has = any(a.chirality for a in mol.atoms)
+    kinds = kinds or classes(mol)
     canonical = write_smiles(mol, rank=ranks(mol, kinds=kinds))
-    if not has:
+    if not any(a.chirality for a in mol.atoms):
         return canonical, canonical, canonical, False
+    settled = _without_leaves(kinds, _bound(mol))
+    if max(settled, default=-1) + 1 == len(mol.atoms):
+        # Handedness had no say in the ranks: the mirror image is written in the same order, with all marks swapped.
+        return canonical, None, canonical.replace("@@", "\0").replace("@", "@@").replace("\0", "@"), True
     other = mirror(mol)
     return canonical, None, write_smiles(other, rank=ranks(other, kinds=kinds)), True
 
@@ -939,8 +946,8 @@ def block_texts(block: str | None, smiles: str | None = None) -> tuple | None:
         return (None, None, False, *facts)
     heavy = _aromatize(heavy)
     at = _positions(lines, len(mol.atoms), len(mol.bonds))
-    mark_centres(heavy, [at[i] for i in _kept(mol)])
-    canonical, _, mirrored, has = texts(heavy)
+    kinds = mark_centres(heavy, [at[i] for i in _kept(mol)])
+    canonical, _, mirrored, has = texts(heavy, kinds)
     return (canonical, mirrored, has, *facts)
 
 

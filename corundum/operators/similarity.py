@@ -34,7 +34,8 @@ def nearest_neighbours(df: DataFrame, row_id: str, bits: str, divisor: int = 20,
     """
     # Written once: every block of queries reads all fingerprints again.
     asking = F.col(row_id).cast("bigint") % divisor == 0 if asks is None else F.col(asks)
-    rows = materialise(df.select(F.col(row_id).cast("bigint").alias("id"), F.col(bits).alias("bits"), asking.alias("asks")).filter("bits is not null"))
+    # The filter comes after: before, it would be pushed below what makes the fingerprints and make them twice.
+    rows = materialise(df.select(F.col(row_id).cast("bigint").alias("id"), F.col(bits).alias("bits"), asking.alias("asks"))).filter("bits is not null")
     asked = rows.filter("asks")
     parts = max(1, -(-asked.count() // block))
     spark = df.sparkSession
