@@ -84,7 +84,7 @@ def stats_table(batch: DataFrame, tanimoto: bool = False, divisor: int = 1, orde
     rows = batch.filter("CanonicalSMILES <> ''").select(order, "CompoundID", "SourceID", "CanonicalSMILES", "Energy_Ha")
     asks = F.col(order) % divisor == 0
     forms = rows.groupBy("CanonicalSMILES").agg(F.count(F.lit(1)).alias("__rows"), F.min(order).alias("__form"), F.bool_or(asks).alias("__asks"))
-    forms = materialise(share_out(forms, "CanonicalSMILES").withColumns({"__f": smiles_descriptors(F.col("CanonicalSMILES")), "__bits": fingerprint(F.col("CanonicalSMILES")) if tanimoto else F.lit(None).cast("array<bigint>")}))
+    forms = materialise(share_out(forms).withColumns({"__f": smiles_descriptors(F.col("CanonicalSMILES")), "__bits": fingerprint(F.col("CanonicalSMILES")) if tanimoto else F.lit(None).cast("array<bigint>")}))
     known = forms.select("CanonicalSMILES", "__rows", *[F.col(f"__f.{c}").alias(c) for c in ("MolWt", "TPSA", "logP", "nrot", "num_atoms")], "__form", F.col("__bits").isNotNull().alias("__has"))
     if tanimoto:
         best = nearest_neighbours(forms, "__form", "__bits", asks="__asks").select(F.col("query_id").alias("__form"), F.col("max_tanimoto").alias("__best"))

@@ -27,7 +27,7 @@ def stereo_filter(df: DataFrame, smiles: str = "CanonicalSMILES", order: str = "
     seen = df.filter(F.col(smiles) != "").groupBy(smiles).agg(F.min(order).alias("__seen"), F.count(F.lit(1)).alias("__rows"))
     f = F.col("__f")
     forms = materialise(
-        share_out(seen, smiles).withColumn("__f", smiles_stereo(F.col(smiles))).select(
+        share_out(seen).withColumn("__f", smiles_stereo(F.col(smiles))).select(
             smiles, "__seen", "__rows", f.isNull().alias("__bad"), f["mirrored"].alias("__m"), f["canonical"].alias("__s"),
             F.when(f["has_stereo"], F.to_json(F.array(F.least(f["canonical"], f["mirrored"]), F.greatest(f["canonical"], f["mirrored"])))).alias("__class"),
         )

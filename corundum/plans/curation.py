@@ -202,7 +202,7 @@ def nearest_structures(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = _batch(spark, sf_dir, "row_seq", "CanonicalSMILES").filter("CanonicalSMILES <> ''")
     asks = F.col("row_seq") % 20 == 0
     forms = batch.groupBy("CanonicalSMILES").agg(F.min("row_seq").alias("form_id"), F.bool_or(asks).alias("asks"))
-    best = similarity.nearest_neighbours(share_out(forms, "CanonicalSMILES").withColumn("bits", fingerprint(F.col("CanonicalSMILES"))), "form_id", "bits", asks="asks")
+    best = similarity.nearest_neighbours(share_out(forms).withColumn("bits", fingerprint(F.col("CanonicalSMILES"))), "form_id", "bits", asks="asks")
     known = forms.select("CanonicalSMILES", F.col("form_id").alias("query_id")).join(best, "query_id").select("CanonicalSMILES", "max_tanimoto")
     members = batch.filter(asks).select(F.col("row_seq").cast("bigint").alias("query_id"), "CanonicalSMILES")
     return salted_join(members, known, ["CanonicalSMILES"], "inner").select("query_id", "max_tanimoto")
@@ -454,7 +454,7 @@ FROM heads JOIN blocks USING (row_seq) WHERE valid AND n > 0"""
 def smiles_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Descriptors of every record of the batch; each structure is worked out once."""
     batch = _batch(spark, sf_dir, "row_seq", "CompoundID", "SourceID", "CanonicalSMILES", "Energy_Ha")
-    forms = share_out(batch.filter("CanonicalSMILES <> ''").groupBy("CanonicalSMILES").agg(F.count(F.lit(1)).alias("__rows")), "CanonicalSMILES").withColumn("_f", descriptors(F.col("CanonicalSMILES")))
+    forms = share_out(batch.filter("CanonicalSMILES <> ''").groupBy("CanonicalSMILES").agg(F.count(F.lit(1)).alias("__rows"))).withColumn("_f", descriptors(F.col("CanonicalSMILES")))
     met = salted_join(batch, forms, ["CanonicalSMILES"], weight="__rows", by=["row_seq"])
     return met.select("row_seq", "CompoundID", "SourceID", "CanonicalSMILES", *[F.col(f"_f.{c}").alias(c) for c in ("MolWt", "TPSA", "logP", "nrot", "num_atoms", "fragments")], "Energy_Ha")
 

@@ -65,10 +65,13 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def share_out(df: DataFrame, *keys: str) -> DataFrame:
-    """df over all tasks by its keys, before a dear function over rows that are few bytes and would be joined into few tasks."""
+def share_out(df: DataFrame) -> DataFrame:
+    """df dealt out to all tasks, before a dear function over rows that are few bytes and would be joined into few tasks.
+
+    Not by keys: where df is laid out by them already, the engine would leave that step out and join tasks again.
+    """
     spark = df.sparkSession
-    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), *keys)
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
