@@ -60,3 +60,22 @@ def test_days_merge_into_months(spark):
     for r in months.collect():
         values = np.array([x["x"] for x in df.filter(F.col("day").startswith(r["group_key"])).collect()])
         assert r["n"] == len(values) and max(rank_error(values, e, q) for e, q in zip(r["estimates"], D.PERCENTILES, strict=True)) <= D.RANK_BOUND
+
+
+def test_digests_of_many_partitions_merge_level_by_level(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from corundum.llm import digests as D
+
+    monkeypatch.setattr(D, "_FAN_IN", 2)
+    df = spark.range(0, 9000, 1, 9).select((F.col("id") % 2).alias("k"), F.pow(F.col("id").cast("double"), 1.5).alias("v"))
+    made = D.digests(df, {"k": F.col("k")}, ["v"])
+    assert made.count() == 2 and {sum(r["weights"]) for r in made.collect()} == {4500}
+    assert all(r["certified"] for r in D.percentiles(df, {"k": F.col("k")}, ["v"]).collect())
+
+
+def test_months_from_days_are_certified(spark):
+    from corundum.llm import queries
+
+    got = queries.p3_merged_months(spark, "/root/testdata/sf0.001").collect()
+    assert got and all(r["certified"] and r["rank_error"] <= 0.01 for r in got)

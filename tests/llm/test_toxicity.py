@@ -76,3 +76,28 @@ def test_single_words_and_dotted_words_are_scored():
     assert toxicity.word_windows(None) == toxicity.word_windows("") == toxicity.word_windows(" \n ") == []
     scorer = toxicity.Scorer(toxicity.train([]))
     assert scorer.document("you-stupid-idiot-everybody-hates-you") > 0 and scorer.document("go.kill.yourself.you.worthless.piece.of.shit" + "x" * 3000) > 0
+
+
+def test_one_long_document_leaves_room_for_the_others(spark):
+    rows = [(i, "x" * 40) for i in range(20)] + [(100 + i, "y" * 5000) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, "r", int(i % 2)) for i, _ in rows], "doc_id bigint, rater string, toxic int")
+    got = toxicity.labelled_sample(docs, labels, chars=1000)
+    assert sorted(i for i, _, _ in got) == list(range(20)) and sum(len(t) for _, t, _ in got) <= 1000
+    assert len(toxicity.labelled_sample(docs, labels, most=5)) == 5 and toxicity.labelled_sample(docs.limit(0), labels) == []
+
+
+def test_threshold_follows_the_share_of_all_documents():
+    # Of the marked ones all score up to 0.5; of all documents 4 % do, and below 0.2 many harmless ones as well.
+    found = tuple(1.0 if t <= 0.5 else 0.0 for t in toxicity.GRID)
+    flagged = [0.04 + (0.3 if t < 0.2 else 0.0) if t <= 0.5 else 0.0 for t in toxicity.GRID]
+    assert 0.2 <= toxicity.calibrate(found, flagged) <= 0.5
+    assert toxicity.calibrate(tuple(0.0 for _ in toxicity.GRID), flagged) == toxicity.GRID[-1]
+    assert toxicity.calibrate(found, [0.0] * len(found)) in toxicity.GRID
+
+
+def test_a_dictionary_is_trained_at_every_size():
+    for n in (40, 400):
+        made = toxicity.train_dictionary(toxicity.Counter({f"{w} the {t} of the {u}": 2 for w in ("merge", "check", "open") for t in toxicity._seeds(toxicity.SEED_ORDINARY) for u in map(str, range(n // 40))}))
+        assert made[:4] == b"\x37\xa4\x30\xec" and len(made) <= toxicity.DICTIONARY_BYTES + 1024
+    assert toxicity.train_dictionary(toxicity.Counter()) and toxicity.train_dictionary(toxicity.Counter(["one"]))
