@@ -422,3 +422,15 @@ def test_molecules_of_other_ids_meet_and_large_ones_are_reported(spark):
     done = assemble.assemble(main, xyz, bond)
     why = {r["SourceID"]: r["why"] for r in done.select("SourceID", deliver.block_refusal(F.col("symbols"), F.col("coordinates"), F.col("bonds")).alias("why")).collect()}
     assert why == {"CHEMBL12": "beyond 999 atoms or bonds", "ZZZ": "a coordinate is missing"}
+
+
+def test_broadcasts_are_measured_in_rows_and_bytes(spark):
+    from corundum.session import fits, spread
+
+    df = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("text"), F.array(F.lit(1)).alias("a"))
+    assert fits(df) and not fits(df, rows=99) and not fits(df, size=50_000) and fits(df.limit(0), rows=0)
+    wide = spread(df.coalesce(1))
+    assert wide.count() == 100 and wide.rdd.getNumPartitions() >= 8
+    # What comes out of a shuffle is left alone.
+    grouped = df.groupBy("id").count()
+    assert spread(grouped) is grouped
