@@ -48,22 +48,27 @@ def bond_lists(bond: DataFrame, keep: str = "first") -> DataFrame:
     return one.select("key", F.transform("b", lambda x: F.struct(x["atom1"].alias("a"), x["atom2"].alias("b"))).alias("bonds"))
 
 
-def formal_charge(charges: Column) -> Column:
+def formal_charge(charges: Column, exact: bool = True) -> Column:
     """The sum of partial charges to the nearest integer, ties to even; null if one is missing, not finite or beyond a billion.
 
-    Charges are added as decimals of twelve places, so that no order of adding moves a sum off a tie.
+    Charges are added as decimals of twelve places, so that no order of adding moves a sum off a tie; if not exact, as
+    doubles in the order of the array, whose rounding may do so.
     """
+    if not exact:
+        total = F.aggregate(charges, F.lit(0.0), lambda s, q: s + q)
+        return F.when(F.abs(total) < 1_000_000_000, F.rint(total).cast("int"))
     # Twelve places more than doubles of this size can carry, and sums of up to a million of them fit.
     zero = F.lit(0).cast("decimal(30,12)")
     total = F.aggregate(charges, zero, lambda s, q: (s + q.try_cast("decimal(22,12)")).cast("decimal(30,12)"))
     return F.when(F.abs(total) < 1_000_000_000, F.bround(total, 0).cast("int"))
 
 
-def assemble(main: DataFrame, xyz: DataFrame, bond: DataFrame, honour_status: bool = True) -> DataFrame:
+def assemble(main: DataFrame, xyz: DataFrame, bond: DataFrame, honour_status: bool = True, exact: bool = True) -> DataFrame:
     """One record for each main row with atoms: main inner join atoms, left join bonds, in the batch's columns.
 
     A repeated main row gives a record each; a molecule without atoms is skipped, one without bonds has none. Rows that
     an earlier prefilter flagged are skipped if honour_status. Bonds beyond the atoms are left out; all are single.
+    Charges are added exactly, or as doubles in the order of atoms if not exact.
     """
     lacking = [c for c in ("Internal_E(0K)", "HOMO", "LUMO", "HL_gap") if c not in main.columns]
     keyed = main.withColumns({c: F.lit(None).cast("double") for c in lacking} | {"key": zinc_name(F.col("Zinc_id"))})
@@ -75,7 +80,7 @@ def assemble(main: DataFrame, xyz: DataFrame, bond: DataFrame, honour_status: bo
     n = F.size("symbols")
     bonds = F.array_distinct(F.filter(F.coalesce("bonds", F.array().cast("array<struct<a:int,b:int>>")), lambda b: (b["a"] <= n) & (b["b"] <= n)))
     return met.withColumn("bonds", bonds).select(
-        F.col("key").alias("SourceID"), F.col("smile").alias("SMILES"), F.col("`Internal_E(0K)`").alias("Energy_Ha"), formal_charge(F.col("charges")).alias("FormalCharge"),
+        F.col("key").alias("SourceID"), F.col("smile").alias("SMILES"), F.col("`Internal_E(0K)`").alias("Energy_Ha"), formal_charge(F.col("charges"), exact).alias("FormalCharge"),
         F.lit(1).alias("Multiplicity"), F.col("HOMO").alias("HOMO_Ha"), F.col("LUMO").alias("LUMO_Ha"), F.col("HL_gap").alias("HL_Gap_Ha"),
         n.alias("num_atoms"), F.size("bonds").alias("num_bonds"), "symbols", "coordinates", "charges", "bonds",
     )

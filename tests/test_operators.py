@@ -424,6 +424,26 @@ def test_molecules_of_other_ids_meet_and_large_ones_are_reported(spark):
     assert why == {"CHEMBL12": "beyond 999 atoms or bonds", "ZZZ": "a coordinate is missing"}
 
 
+def test_assemble_left_join_adds_charges_as_its_sql_does(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from tests.conftest import comparison
+
+    # Sums of one half and one and a half; added as doubles in the order of atoms, six of them miss the tie.
+    charges = [[0.1] * 5, [0.75, 0.75], [-0.4, -0.2, 0.1], [0.1, -0.2, -0.4], [0.2, 0.4, -0.1], [0.6, 0.7, 0.2], [0.2, 0.7, 0.6], [0.8, 0.8, 0.8, 0.1], [-0.4, -0.3, 0.4, 0.8], [-0.1, 0.7, 0.7, 0.2], [0.3, None], [0.3, float("nan")]]
+    atoms = [(f"ZINC{i}", "C", 0.0, 0.0, 0.0, q) for i, qs in enumerate(charges, 1) for q in qs]
+    tables = {
+        "main": spark.createDataFrame([(f"ZINC{i}", "C", -1.0, "ok") for i in range(1, len(charges) + 1)], "Zinc_id string, smile string, `Internal_E(0K)` double, energy_status string"),
+        "xyz": spark.createDataFrame([(n, *a) for n, a in enumerate(atoms)], "xyz_seq bigint, Zinc_id string, atom string, final_x double, final_y double, final_z double, charge double"),
+        "bond": spark.createDataFrame([(1, "ZINC1", 1, 2)], "bond_seq bigint, Zinc_id string, atom1 int, atom2 int"),
+    }
+    for name, df in tables.items():
+        pq.write_table(df.withColumn("loaded_at", F.lit("2024-01-01").cast("timestamp_ntz")).toArrow(), f"{tmp_path}/{name}.parquet")
+    found = {r["SourceID"][-2:]: r["FormalCharge"] for r in curation.assemble_left_join(spark, str(tmp_path)).collect()}
+    assert [found[f"{i:02}"] for i in range(1, len(charges) + 1)] == [0, 2, -1, 0, 1, 1, 2, 3, 1, 1, None, None]
+    comparison(spark, str(tmp_path))(curation.assemble_left_join, curation.SQL["assemble_left_join"])
+
+
 def test_broadcasts_are_measured_in_rows_and_bytes(spark):
     from corundum.session import fits, spread
 
